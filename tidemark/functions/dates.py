@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from tidemark.functions.types import ColumnLike, as_col
@@ -22,28 +24,37 @@ _MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 _DAY_NAME = "(?:Sun|Mon|Tues?|Wed(?:nes)?|Thu(?:rs)?|Fri|Sat(?:ur)?)(?:day)?"
 _ZONE_TAIL = "(?i)\\s+\\(?(" + "|".join(z.replace("+", "\\+") for z in sorted(ZONES, key=len, reverse=True)) + ")\\)?$"
 
-# Each shape names the groups that hold day, month, year, time of day and offset (0 = absent).
+# Each shape with the way its groups make up "year|month|day|time|offset".
 _TIME = "(\\d{1,2}:\\d{2}(?::\\d{2})?)"
 _SHAPES = [
-    (f"^(\\d{{1,2}}) ([A-Za-z]{{3,9}}) (\\d{{2}}|\\d{{4}})(?: {_TIME}(?: ([+-]\\d{{4}}))?)?$", (1, 2, 3, 4, 5)),
-    ("^(\\d{1,2})/(\\d{1,2})/(\\d{2}|\\d{4})$", (2, 1, 3, 0, 0)),
-    ("^([A-Za-z]{3,9}) (\\d{1,2}), (\\d{2}|\\d{4})$", (2, 1, 3, 0, 0)),
-    ("^(\\d{4})-(\\d{1,2})-(\\d{1,2}) (\\d{1,2}:\\d{2}:\\d{2})$", (3, 2, 1, 4, 0)),
-    ("^([A-Za-z]{3,9}) (\\d{1,2}) (\\d{1,2}:\\d{2}:\\d{2}) (\\d{2}|\\d{4})$", (2, 1, 4, 3, 0)),
+    (f"^(\\d{{1,2}}) ([A-Za-z]{{3,9}}) (\\d{{2}}|\\d{{4}})(?: {_TIME}(?: ([+-]\\d{{4}}))?)?$", "$3|$2|$1|$4|$5"),
+    ("^(\\d{1,2})/(\\d{1,2})/(\\d{2}|\\d{4})$", "$3|$1|$2||"),
+    ("^([A-Za-z]{3,9}) (\\d{1,2}), (\\d{2}|\\d{4})$", "$3|$1|$2||"),
+    ("^(\\d{4})-(\\d{1,2})-(\\d{1,2}) (\\d{1,2}:\\d{2}:\\d{2})$", "$1|$2|$3|$4|"),
+    ("^([A-Za-z]{3,9}) (\\d{1,2}) (\\d{1,2}:\\d{2}:\\d{2}) (\\d{2}|\\d{4})$", "$4|$1|$2|$3|"),
 ]
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _full_year(text: Column) -> Column:
     """Two digits mean 1920 to 2019."""
     number = text.try_cast("int")
     century = F.when(number >= 20, F.lit(1900)).otherwise(F.lit(2000))
-    return F.when(F.length(text) == 2, number + century).otherwise(number)
+    return F.when(F.length(text) == 2, number + century).otherwise(number).cast("string")
 
 
 def _month(text: Column) -> Column:
-    at = F.instr(F.lit(_MONTHS), F.initcap(F.substring(text, 1, 3)))
-    named = F.when((at > 0) & (at % 3 == 1), ((at - 1) / 3 + 1).cast("int"))
-    return F.when(text.rlike("^\\d+$"), text.try_cast("int")).otherwise(named)
+    number = F.instr(F.lit(_MONTHS), F.initcap(F.substring(text, 1, 3)))
+    named = F.when((number > 0) & (number % 3 == 1), ((number - 1) / 3 + 1).cast("int"))
+    return F.coalesce(text.try_cast("int"), named).cast("string")
+
+
+def _clock(text: Column) -> Column:
+    return F.when(text == "", "00:00:00").when(F.length(text) <= 5, F.concat(text, F.lit(":00"))).otherwise(text)
 
 
 def normalize_date(col: ColumnLike) -> Column:
@@ -56,38 +67,33 @@ def normalize_date(col: ColumnLike) -> Column:
     text = F.regexp_replace(as_col(col), "\\s{2,}", " ")
     text = F.regexp_replace(text, "\\s*\\([-+]\\d{4}\\)$", "")
     text = F.regexp_replace(text, f"(?i)^(.*?)(?:{_DAY_NAME},?\\s*|\\s*\\({_DAY_NAME}\\)$)", "$1")
+    return _let(text, _instant)
+
+
+def _instant(text: Column) -> Column:
     abbreviation = F.upper(F.regexp_extract(text, _ZONE_TAIL, 1))
     zone_of = F.create_map(*[F.lit(v) for pair in ZONES.items() for v in pair])
     zone = F.coalesce(F.try_element_at(zone_of, abbreviation), F.lit("Etc/UTC"))
-    text = F.regexp_replace(text, _ZONE_TAIL, "")
+    bare = F.when(abbreviation == "", text).otherwise(F.regexp_replace(text, _ZONE_TAIL, ""))
+    wall = _let(_let(bare, _parts), _wall_clock)
+    # the wall clock is read as UTC; to_utc_timestamp moves it by the zone's offset, whatever the session zone
+    return _let(wall, lambda w: F.when(w["zoned"], w["time"]).otherwise(F.to_utc_timestamp(w["time"], zone)))
 
-    # the first shape that fits gives one line "yyyy-M-d H:mm:ss|offset", so the parser runs once
+
+def _parts(text: Column) -> Column:
     line = None
-    for pattern, (day, month, year, time, offset) in _SHAPES:
-        clock = F.regexp_extract(text, pattern, time) if time else F.lit("")
-        clock = (
-            F.when(clock == "", F.lit("00:00:00"))
-            .when(F.length(clock) - F.length(F.replace(clock, F.lit(":"), F.lit(""))) == 1, F.concat(clock, F.lit(":00")))
-            .otherwise(clock)
-        )
-        built = F.concat(
-            _full_year(F.regexp_extract(text, pattern, year)).cast("string"), F.lit("-"),
-            _month(F.regexp_extract(text, pattern, month)).cast("string"), F.lit("-"),
-            F.regexp_extract(text, pattern, day), F.lit(" "), clock, F.lit("|"),
-            F.regexp_extract(text, pattern, offset) if offset else F.lit(""),
-        )
+    for pattern, groups in _SHAPES:
+        built = F.regexp_replace(text, pattern, groups)
         line = F.when(text.rlike(pattern), built) if line is None else line.when(text.rlike(pattern), built)
-
-    local = F.substring_index(line, "|", 1)
-    offset = F.substring_index(line, "|", -1)
-    wall = F.try_to_timestamp(F.concat(local, F.lit(" +0000")), F.lit("y-M-d H:m:s Z"))
-    with_offset = F.try_to_timestamp(F.concat(local, F.lit(" "), offset), F.lit("y-M-d H:m:s Z"))
-    return F.when(offset != "", with_offset).otherwise(_from_zone(wall, zone))
-
-
-def _from_zone(wall: Column, zone: Column) -> Column:
-    """Wall clock read as UTC, moved to the instant it names in `zone`.
-
-    `to_utc_timestamp` shifts by the zone's offset and works on UTC readings whatever the session zone.
-    """
-    return F.to_utc_timestamp(wall, zone)
+    return F.split(line, "\\|")
+
+
+def _wall_clock(parts: Column) -> Column:
+    """Time read with the given offset, or as UTC without one."""
+    year, month, day, clock, offset = (F.get(parts, F.lit(i)) for i in range(5))
+    zoned = offset != ""
+    line = F.concat(
+        _full_year(year), F.lit("-"), _month(month), F.lit("-"), day, F.lit(" "), _clock(clock), F.lit(" "),
+        F.when(zoned, offset).otherwise("+0000"),
+    )
+    return F.struct(zoned.alias("zoned"), F.try_to_timestamp(line, F.lit("y-M-d H:m:s Z")).alias("time"))

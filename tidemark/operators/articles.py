@@ -25,7 +25,7 @@ def parse_articles(df: DataFrame, text_col: str = "content") -> DataFrame:
     body_t          the remaining lines, each ended by a line feed
     A header that occurs twice: the first one fills the column.
     """
-    lines = F.split(F.regexp_replace(F.col(text_col), "(\\r\\n|\\r|\\n)$", ""), "\\r\\n|\\r|\\n")
+    lines = F.split(F.regexp_replace(F.col(text_col), "(\\r\\n|\\r|\\n)\\z", ""), "\\r\\n|\\r|\\n")
     out = df.withColumn("_lines", F.transform(lines, clean_control_chars))
     # 0 when every line is a header line
     first_body = F.array_position(F.transform("_lines", lambda line: line.rlike(_HEADER)), False).cast("int")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.scalars import safe_ratio
 from tidemark.functions.text import tokens
@@ -81,6 +81,12 @@ def normalize_tags(df: DataFrame, col: str, mapping: dict[str, str] | None = Non
     return df.withColumn("rejected", F.col(col).isNotNull() & tag.isNull()).withColumn(col, tag)
 
 
+def lexicon_frame(spark: SparkSession, entries: dict[str, str]) -> DataFrame:
+    """A lexicon given in code as (phrase, tag) rows whose size Spark knows."""
+    rows = [F.struct(F.lit(p).alias("phrase"), F.lit(t).alias("tag")) for p, t in entries.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def lexicon_tag(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, max_words: int = 3) -> DataFrame:
     """Tag each token of a text by a lexicon (phrase, tag), as rows (id, pos, token, tag).
 
