@@ -150,6 +150,17 @@ def tune(
     ).fit(train)
 
 
+def text_features(text_cols: Sequence[str], num_features: int, analyzer: str = "standard_stop") -> Pipeline:
+    """Hashed term counts of all columns together, scaled to unit length, as `features`."""
+    return Pipeline(
+        stages=[
+            Analyzer(inputCols=list(text_cols), outputCol="words", kind=analyzer),
+            HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features),
+            Normalizer(inputCol="tf", outputCol="features", p=2.0),
+        ]
+    )
+
+
 def confusion(df: DataFrame, label: str, pred: str) -> DataFrame:
     return df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("n"))
 

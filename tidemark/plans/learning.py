@@ -1 +1,178 @@
-"""Empty so far."""
+"""Training, evaluation and scoring."""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IndexToString
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.functions.text import tokens
+from tidemark.operators import models
+from tidemark.plans import bindings as b
+from tidemark.plans.registry import query
+from tidemark.scratch import fresh_path
+
+
+@query(
+    "m01_label_index",
+    """SELECT lang, CAST(row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS DOUBLE) AS label, count(*) AS n, lang AS restored
+        FROM documents GROUP BY lang""",
+)
+def m01(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = b.documents(spark, sf_dir).select("doc_id", "lang")
+    indexer = models.label_index(docs, "lang")
+    counted = indexer.transform(docs).groupBy("lang", "label").agg(F.count(F.lit(1)).alias("n"))
+    return IndexToString(inputCol="label", outputCol="restored", labels=indexer.labels).transform(counted)
+
+
+_SPLIT = "CAST(('0x' || substr(md5('split:' || text), 1, 8)) AS BIGINT) % 100 < 70"
+
+
+@query("m02_split", f"SELECT doc_id, CASE WHEN {_SPLIT} THEN 'train' ELSE 'test' END AS part FROM documents")
+def m02(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = models.hash_split(b.documents(spark, sf_dir).select("doc_id", "text"), "text", 70, "split")
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.select("doc_id", "part")
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Documents with the language as label, split by a hash of the text; and the label names."""
+    docs = b.documents(spark, sf_dir).select("doc_id", "text", "lang")
+    indexer = models.label_index(docs.select("lang"), "lang")
+    train, test = models.hash_split(indexer.transform(docs), "text", 70, "split")
+    return train, test, indexer.labels
+
+
+def _predictions(spark: SparkSession, sf_dir: str, kind: str, **params) -> DataFrame:
+    train, test, labels = _labelled(spark, sf_dir)
+    model = models.text_classifier(kind, ["text"], labels, **params).fit(train)
+    return models.confusion(model.transform(test), "lang", "predicted_label")
+
+
+@query("m03_naive_bayes")
+def m03(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _predictions(spark, sf_dir, "naive_bayes", num_features=5_000)
+
+
+@query("m04_cross_validate")
+def m04(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test, labels = _labelled(spark, sf_dir)
+    pipeline = models.text_classifier("naive_bayes", ["text"], labels, num_features=5_000)
+    analyzer, _, bayes = pipeline.getStages()[:3]
+    grid = ParamGridBuilder().addGrid(analyzer.kind, ["whitespace", "standard"]).addGrid(bayes.smoothing, [1.0, 0.25]).build()
+    tuned = models.tune(pipeline, grid, train, folds=2)
+    # which setting won, and how it does on the rows kept back
+    best = tuned.bestModel
+    held_out = models.accuracy(best.transform(test), "lang", "predicted_label")
+    return held_out.select(
+        F.lit(best.stages[0].getOrDefault("kind")).alias("analyzer"), F.lit(float(best.stages[2].getOrDefault("smoothing"))).alias("smoothing"),
+        F.lit(len(grid)).alias("settings"), F.lit(float(max(tuned.avgMetrics))).alias("cv_accuracy"), "n", "accuracy", "error",
+    )
+
+
+_PREDICTED = """CASE WHEN CAST(('0x' || substr(md5('guess:' || doc_id), 1, 8)) AS BIGINT) % 100 < 80 THEN lang ELSE 'en' END"""
+
+
+def _saved_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.functions.scalars import hash_bucket
+    from tidemark.scratch import materialize
+
+    guess = F.when(hash_bucket("doc_id", 100, "guess") < 80, F.col("lang")).otherwise("en")
+    return materialize(b.documents(spark, sf_dir).select("doc_id", "lang", guess.alias("predicted")), "predictions")
+
+
+@query(
+    "m05_accuracy",
+    f"""SELECT count(*) AS n, round(avg(CASE WHEN lang = p THEN 1.0::DOUBLE ELSE 0 END), 6) AS accuracy,
+        round(1 - avg(CASE WHEN lang = p THEN 1.0::DOUBLE ELSE 0 END), 6) AS error FROM (SELECT lang, {_PREDICTED} AS p FROM documents)""",
+)
+def m05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = models.accuracy(_saved_predictions(spark, sf_dir), "lang", "predicted")
+    return out.withColumns({c: F.round(c, 6) for c in ("accuracy", "error")})
+
+
+@query("m05_confusion", f"SELECT lang, {_PREDICTED} AS predicted, count(*) AS n FROM documents GROUP BY ALL")
+def m05_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.confusion(_saved_predictions(spark, sf_dir), "lang", "predicted")
+
+
+@query("m06_logistic")
+def m06(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _predictions(spark, sf_dir, "logistic", analyzer="html_standard_stop", idf=True, norm=2.0, num_features=10_000)
+
+
+@query("m07_svm_sentiment")
+def m07(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = b.documents(spark, sf_dir).select("doc_id", "text")
+    labels = b.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    model = models.text_classifier("linear_svm", ["text"], idf=True, norm=2.0, num_features=5_000).fit(docs.join(labels, "doc_id"))
+    # every document is scored, labelled or not
+    return models.score(docs, model, ["text"], "prediction", "sentiment_d").select("doc_id", "sentiment_d")
+
+
+@query("m08_kmeans")
+def m08(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = b.documents(spark, sf_dir).select("doc_id", "text", F.array_join(F.slice(tokens("text"), 1, 5), " ").alias("title"))
+    features = models.text_features(["title", "text"], num_features=10_000).fit(docs).transform(docs).select("doc_id", "features")
+    _, clustered = models.cluster(features, "features", k=30, iters=20)
+    return clustered.select("doc_id", "cluster")
+
+
+@query("m08_kmeans_embeddings")
+def m08_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = b.table(spark, sf_dir, "embeddings").select("vec_id", "label", array_to_vector(models.l2_normalize("embedding")).alias("features"))
+    _, clustered = models.cluster(vectors, "features", k=10, iters=20)
+    return clustered.select("vec_id", "label", "cluster")
+
+
+def _saved_model(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, PipelineModel, str]:
+    """A fitted classifier and the same one after saving and loading."""
+    train, _, labels = _labelled(spark, sf_dir)
+    model = models.text_classifier("naive_bayes", ["text"], labels, num_features=5_000).fit(train)
+    path = fresh_path(spark, "model")
+    models.save_with_meta(
+        spark, model, path, {"numFeatures": "5000", "featureFields": "text", "analyzer": "standard", "normalizer": "N"}
+    )
+    return model, models.load_model(path), path
+
+
+@query("k08_model_save_load", "SELECT count(*) AS n, count(*) AS same FROM documents")
+def k08(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, loaded, _ = _saved_model(spark, sf_dir)
+    docs = b.documents(spark, sf_dir).select("doc_id", "text")
+    # the loaded model scores the rows that the fitted one has scored, so no join is needed to compare
+    once = models.score(docs, model, ["text"], "predicted_label", "before")
+    twice = models.score(once, loaded, ["text"], "predicted_label", "after")
+    return twice.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") == F.col("after")).alias("same"))
+
+
+@query("m09_batch_score", "SELECT doc_id, doc_id % 10 = 0 AS unscored FROM documents")
+def m09(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, loaded, _ = _saved_model(spark, sf_dir)
+    # each tenth document arrives without text and must come out unscored
+    docs = b.documents(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 10 > 0, F.col("text")).alias("text"))
+    scored = models.score(docs, loaded, ["text"], "predicted_label", "the_lang_s")
+    return scored.select("doc_id", F.col("the_lang_s").isNull().alias("unscored"))
+
+
+@query(
+    "m10_model_metadata",
+    "SELECT count(*) AS n, '5000' AS num_features, 'text' AS feature_fields, 'standard' AS analyzer FROM documents",
+)
+def m10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, loaded, path = _saved_model(spark, sf_dir)
+    meta = models.load_meta(spark, path)
+    # the metadata is enough to prepare the columns that the model needs
+    docs = b.documents(spark, sf_dir).select(*meta["featureFields"].split(","))
+    return loaded.transform(docs).agg(F.count("prediction").alias("n")).select(
+        "n", F.lit(meta["numFeatures"]).alias("num_features"), F.lit(meta["featureFields"]).alias("feature_fields"),
+        F.lit(meta["analyzer"]).alias("analyzer"),
+    )
+
+
+def quick_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    """Language classifier for the streaming queries."""
+    train, _, labels = _labelled(spark, sf_dir)
+    return models.text_classifier("naive_bayes", ["body_t"], labels, num_features=5_000).fit(train.withColumnRenamed("text", "body_t"))

@@ -1 +1,69 @@
-"""Empty so far."""
+"""Streaming queries, run over the given tables until the input is used up."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.functions.scalars import iso
+from tidemark.operators.mapping import Rule
+from tidemark.plans import bindings as b
+from tidemark.plans.learning import quick_model
+from tidemark.plans.registry import query
+from tidemark.scratch import fresh_path
+from tidemark.streaming import flows
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    schema = b.table(spark, sf_dir, name).schema
+    return flows.read_stream(spark, sf_dir, schema, f"{name}.parquet")
+
+
+def _run(spark: SparkSession, df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+    out = fresh_path(spark, label)
+    run = flows.start_write(df, out, fresh_path(spark, label + "-checkpoint"), partition_by)
+    run.awaitTermination()
+    return spark.read.schema(df.schema).parquet(out)
+
+
+RULES = [Rule("text", "body_t", "move"), Rule("source", "source_s", "copy"), Rule("n_chars", operation="delete")]
+
+
+@query("st01_score_on_arrival")
+def st01(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quick_model(spark, sf_dir)
+    scored = flows.score_stream(_stream(spark, sf_dir, "documents"), RULES, model, ["body_t"], "predicted_label", "the_lang_s")
+    return _run(spark, scored, "scored").select("doc_id", "lang", "source_s", "the_lang_s")
+
+
+@query(
+    "st02_time_partition_ingest",
+    "SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS n, count(*) AS ids FROM events GROUP BY ALL",
+)
+def st02(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # every event arrives twice
+    once = _stream(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    twice = once.unionByName(_stream(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
+    ingested = flows.ingest_time_partitions(twice, "ts", ["user_id", "event_id"])
+    table = _run(spark, ingested, "ingested", "dt")
+    per_id = table.groupBy("dt", "id").agg(F.count(F.lit(1)).alias("c"))
+    return per_id.groupBy("dt").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("ids"))
+
+
+@query(
+    "st03_stream_sessions",
+    f"""WITH {b.LOGS}, gaps AS (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY clientip ORDER BY ts) AS d FROM logs),
+        s AS (SELECT *, sum(CASE WHEN d > 21600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY clientip ORDER BY ts) AS sid FROM gaps),
+        closed AS (SELECT clientip, min(ts) AS a, max(ts) AS z, sum(bytes) AS total, count(*) AS n FROM s GROUP BY clientip, sid)
+        SELECT clientip, {b.iso_sql('a')} AS session_start, {b.iso_sql('z')} AS session_end, CAST(total AS DOUBLE) AS total_bytes_l,
+          n AS total_requests_l FROM closed
+        WHERE epoch_us(z) + 21600000000 <= (SELECT max(epoch_us(ts)) // 1000 * 1000 - 600000000 FROM events)""",
+)
+def st03(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _stream(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("clientip"), "ts", F.col("value").cast("decimal(18,2)").alias("bytes")
+    )
+    closed = flows.stream_sessions(events, "clientip", "ts", "bytes", gap="6 hours", watermark="10 minutes")
+    out = _run(spark, closed, "sessions")
+    return out.withColumns(
+        {"session_start": iso("session_start"), "session_end": iso("session_end"), "total_bytes_l": F.col("total_bytes_l").cast("double")}
+    )
