@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
-from tidemark.functions.types import ColumnLike, as_col
+from tidemark.functions.types import ColumnLike, as_col, let
 
 # Zone abbreviation to zone. "+3000" is a known misprint for Moscow summer time.
 ZONES = {
@@ -35,11 +33,6 @@ _SHAPES = [
 ]
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _full_year(text: Column) -> Column:
     """Two digits mean 1920 to 2019."""
     number = text.try_cast("int")
@@ -67,7 +60,7 @@ def normalize_date(col: ColumnLike) -> Column:
     text = F.regexp_replace(as_col(col), "\\s{2,}", " ")
     text = F.regexp_replace(text, "\\s*\\([-+]\\d{4}\\)$", "")
     text = F.regexp_replace(text, f"(?i)^(.*?)(?:{_DAY_NAME},?\\s*|\\s*\\({_DAY_NAME}\\)$)", "$1")
-    return _let(text, _instant)
+    return let(text, _instant)
 
 
 def _instant(text: Column) -> Column:
@@ -75,9 +68,9 @@ def _instant(text: Column) -> Column:
     zone_of = F.create_map(*[F.lit(v) for pair in ZONES.items() for v in pair])
     zone = F.coalesce(F.try_element_at(zone_of, abbreviation), F.lit("Etc/UTC"))
     bare = F.when(abbreviation == "", text).otherwise(F.regexp_replace(text, _ZONE_TAIL, ""))
-    wall = _let(_let(bare, _parts), _wall_clock)
+    wall = let(let(bare, _parts), _wall_clock)
     # the wall clock is read as UTC; to_utc_timestamp moves it by the zone's offset, whatever the session zone
-    return _let(wall, lambda w: F.when(w["zoned"], w["time"]).otherwise(F.to_utc_timestamp(w["time"], zone)))
+    return let(wall, lambda w: F.when(w["zoned"], w["time"]).otherwise(F.to_utc_timestamp(w["time"], zone)))
 
 
 def _parts(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.scalars import safe_ratio
 from tidemark.functions.text import tokens
-from tidemark.functions.types import ColumnLike, as_col
+from tidemark.functions.types import ColumnLike, as_col, let
 
 # Spellings of a tag to the one used here.
 TAG_MAP = {
@@ -19,18 +19,18 @@ TAG_MAP = {
 # Output column per tag.
 TAG_COLUMNS = {"O": "O", "I-LOC": "LOC", "I-PER": "PER", "I-MISC": "MISC", "I-ORG": "ORG"}
 
-_PIECE = "^word->(.*)#result->(.*)$"
+# one piece, from the start or an @ to the next @ or the end; the word reaches to the last #result->
+_PIECE = "(?:^|@)word->([^@\\n]*)#result->([^@\\n]*)(?=@|\\z)"
 
 
 def parse_tags(col: ColumnLike) -> Column:
-    """`word->X#result->T` pieces joined by @ to a list of (word, tag); other pieces are skipped."""
-    pieces = F.filter(F.split(as_col(col), "@"), lambda p: p.rlike(_PIECE))
-    return F.transform(
-        pieces,
-        lambda p: F.struct(
-            F.regexp_extract(p, _PIECE, 1).alias("word"), F.regexp_extract(p, _PIECE, 2).alias("tag")
-        ),
-    )
+    """`word->X#result->T` pieces joined by @ to a list of (word, tag); other pieces are skipped.
+
+    Two passes of one expression over the whole text, no function call per piece.
+    """
+    text = as_col(col)
+    words, tags = (F.regexp_extract_all(text, F.lit(_PIECE), F.lit(group)) for group in (1, 2))
+    return F.arrays_zip(words, tags).cast("array<struct<word:string,tag:string>>")
 
 
 def words_with_tag(pairs: ColumnLike, tag: str) -> Column:
@@ -52,21 +52,20 @@ def entity_json(annotations: ColumnLike) -> Column:
     typed = F.filter(
         F.transform(
             as_col(annotations),
-            lambda a: F.struct(
-                F.coalesce(F.try_element_at(a["metadata"], F.lit("entity")), F.lit("")).alias("type"),
-                a["result"].alias("text"),
-            ),
+            lambda a: F.struct(F.try_element_at(a["metadata"], F.lit("entity")).alias("type"), a["result"].alias("text")),
         ),
         lambda t: t["type"] != "",
     )
+    return let(typed, _sets_by_type)
+
+
+def _sets_by_type(typed: Column) -> Column:
+    def texts_of(kind: Column) -> Column:
+        picked = F.transform(F.filter(typed, lambda t: t["type"] == kind), lambda t: t["text"])
+        return F.sort_array(F.array_distinct(picked))
+
     kinds = F.sort_array(F.array_distinct(F.transform(typed, lambda t: t["type"])))
-    values = F.transform(
-        kinds,
-        lambda k: F.sort_array(
-            F.array_distinct(F.transform(F.filter(typed, lambda t: t["type"] == k), lambda t: t["text"]))
-        ),
-    )
-    return F.to_json(F.map_from_arrays(kinds, values))
+    return let(kinds, lambda k: F.to_json(F.map_from_arrays(k, F.transform(k, texts_of))))
 
 
 def normalize_tag(col: ColumnLike, mapping: dict[str, str] | None = None) -> Column:

@@ -88,6 +88,15 @@ def scan(df: DataFrame, require: str | list[str], fields: list[str], splits: int
     return out.repartition(splits) if splits else out
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Scan with fewer tasks than the session has cores (a few files that cannot be split) spread by key.
+
+    For work that costs much more per row than a shuffle. A scan with enough tasks stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_time_partitions(
     spark: SparkSession,
     path: str,
