@@ -7,7 +7,7 @@ small row per (key, slice) that holds its first and last instant and the number
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.scalars import epoch_ms, make_id
 from tidemark.functions.types import as_list
@@ -15,47 +15,44 @@ from tidemark.functions.types import as_list
 HOUR_MS = 3_600_000
 
 
-def _same(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = F.lit(True)
-    for i, c in enumerate(cols):
-        match = left[c].eqNullSafe(right[f"_e_{c}"])
-        cond = match if i == 0 else cond & match
-    return cond
-
-
 def sessionize(
     df: DataFrame, key: str | list[str], ts: str, gap_ms: int = 30_000, slice_ms: int = HOUR_MS
 ) -> DataFrame:
     """Add `diff_ms`, the milliseconds since the key's previous row (null on its first), and `session_id`,
     the running count of gaps strictly longer than `gap_ms`, from 0 per key.
 
-    Rows of one key with equal `ts` share a session. The result does not depend on `slice_ms`, which
-    bounds how many rows one task must sort.
+    Rows of one key with equal `ts` share a session. A row without a key or an instant belongs to no
+    session: both columns are null. The result does not depend on `slice_ms`, which bounds how many rows
+    one task must sort.
+
+    The rows are shuffled once, by (key, slice); the join to the slice rows keeps that partitioning. The
+    slice rows come from a second scan that reads the key and the instant only.
     """
     keys = as_list(key)
-    cut = df.withColumn("_ms", epoch_ms(ts)).withColumn("_slice", F.floor(F.col("_ms") / F.lit(slice_ms)))
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy(ts)
+    where = [*keys, "_slice"]
+    cut = df.withColumn("_ms", epoch_ms(ts)).withColumn("_slice", F.expr(f"_ms div {int(slice_ms)}"))
+    in_slice = Window.partitionBy(*where).orderBy(ts)
     local = cut.withColumn("_gap", F.col("_ms") - F.lag("_ms").over(in_slice)).withColumn(
         "_local", F.sum(F.when(F.col("_gap") > gap_ms, 1).otherwise(0)).over(in_slice)
     )
 
-    edges = local.groupBy(*keys, "_slice").agg(
+    edges = local.groupBy(*where).agg(
         F.min("_ms").alias("_first"), F.max("_ms").alias("_last"), F.max("_local").alias("_inner")
     )
     by_time = Window.partitionBy(*keys).orderBy("_slice")
     before = by_time.rowsBetween(Window.unboundedPreceding, -1)
+    up_to_here = by_time.rowsBetween(Window.unboundedPreceding, 0)
     edges = edges.withColumn("_prev", F.lag("_last").over(by_time)).withColumn(
         "_step", F.when(F.col("_first") - F.col("_prev") > gap_ms, 1).otherwise(0)
     )
-    edges = edges.withColumn(
-        "_offset", F.sum("_step").over(by_time.rowsBetween(Window.unboundedPreceding, 0))
-        + F.coalesce(F.sum("_inner").over(before), F.lit(0)),
-    ).select(*[F.col(c).alias(f"_e_{c}") for c in [*keys, "_slice"]], "_prev", "_offset")
+    offset = F.sum("_step").over(up_to_here) + F.coalesce(F.sum("_inner").over(before), F.lit(0))
+    edges = edges.select(*where, "_prev", offset.alias("_offset"))
 
-    joined = local.join(edges, _same(local, edges, [*keys, "_slice"]))
+    joined = local.join(edges, where, "left")
+    placed = F.col("_offset").isNotNull()
     return joined.select(
         *df.columns,
-        F.coalesce(F.col("_gap"), F.col("_ms") - F.col("_prev")).alias("diff_ms"),
+        F.when(placed, F.coalesce(F.col("_gap"), F.col("_ms") - F.col("_prev"))).alias("diff_ms"),
         (F.col("_local") + F.col("_offset")).cast("bigint").alias("session_id"),
     )
 
@@ -71,7 +68,8 @@ def session_summary(sessions: DataFrame, key: str, ts: str, measure: str) -> Dat
     The totals are built in the map tasks first, so even a session that never ends stays cheap.
     """
     return (
-        sessions.groupBy(key, "session_id")
+        sessions.where(F.col("session_id").isNotNull())
+        .groupBy(key, "session_id")
         .agg(
             F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.sum(measure).alias("total_bytes_l"),
             F.count(F.lit(1)).alias("total_requests_l"),
