@@ -109,13 +109,14 @@ def lexicon_tag(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, m
         )
 
     hits = (
-        doc.select(id_col, F.inline(F.concat(*[spans(size) for size in range(1, max_words + 1)])))
+        doc.select(id_col, F.inline_outer(F.concat(*[spans(size) for size in range(1, max_words + 1)])))
         .join(lexicon.select("phrase", "tag"), "phrase")
         .select(id_col, "at", "size", "tag", F.explode(F.sequence(F.col("at") - 1, F.col("at") + F.col("size") - 2)).alias("pos"))
         .groupBy(id_col, "pos")
         .agg(F.min_by("tag", F.struct(-F.col("size"), "at")).alias("tag"))
     )
-    words = doc.select(id_col, F.posexplode("_tokens").alias("pos", "token"))
+    # outer forms: the plain ones make Spark split every text once more, to see if it is empty
+    words = doc.select(id_col, F.posexplode_outer("_tokens").alias("pos", "token")).where(F.col("token").isNotNull())
     return words.join(hits, [id_col, "pos"], "left").select(
         id_col, "pos", "token", F.coalesce("tag", F.lit("O")).alias("tag")
     )

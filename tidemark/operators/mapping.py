@@ -41,9 +41,13 @@ class Rule:
         if self.operation in ("copy", "move") and not self.target:
             raise ValueError(f"{self.operation} of {self.source!r} needs a target")
 
+    @property
+    def is_pattern(self) -> bool:
+        return len(self.source) > 1 and self.source.startswith("/") and self.source.endswith("/")
+
     def match(self, name: str) -> str | None:
         """The target name if this rule applies to `name` (the name itself where no target is needed)."""
-        if len(self.source) > 1 and self.source.startswith("/") and self.source.endswith("/"):
+        if self.is_pattern:
             found = regex.search(self.source[1:-1], name)
             if not found:
                 return None
@@ -69,18 +73,22 @@ def flat_fields(schema: StructType, prefix: tuple[str, ...] = ()) -> list[tuple[
     return out
 
 
-def map_fields(df: DataFrame, rules: Sequence[Rule], unmapped: Rule | None = None) -> DataFrame:
+def map_fields(
+    df: DataFrame, rules: Sequence[Rule], unmapped: Rule | None = None, multi_valued: Sequence[str] = ("_ss", "_lat_lon")
+) -> DataFrame:
     """Apply `rules` in order to the columns of `df`; nested fields are addressed as `parent.child`.
 
     copy    the target gets the source's value, the source stays
     move    the same, and the source goes
     delete  the source goes
     keep    the source stays as it is and counts as mapped
+    A pattern applies to input fields only, not to targets that earlier rules have made.
     `unmapped` is applied at the end to each input field that no rule matched.
 
     Several sources with one target: the first that is not null, in rule order. A value that is already
-    in the target comes first. If their types differ, the target is text. The definition of these merges
-    is this library's own.
+    in the target comes first. A target whose name ends in one of `multi_valued` takes all values instead,
+    as a list without nulls in rule order. If the types differ, the target is text. The definition of these
+    merges is this library's own.
     """
     fields: dict[str, list[tuple[Column, DataType]]] = {n: [(c, t)] for n, c, t in flat_fields(df.schema)}
     inputs = list(fields)
@@ -101,23 +109,25 @@ def map_fields(df: DataFrame, rules: Sequence[Rule], unmapped: Rule | None = Non
         return True
 
     for rule in rules:
-        for name in [n for n in fields]:
-            if run(rule, name):
+        for name in list(fields):
+            if (name in inputs or not rule.is_pattern) and run(rule, name):
                 touched.add(name)
     if unmapped is not None:
         for name in inputs:
             if name in fields and name not in touched:
                 run(unmapped, name)
 
-    return df.select(*[_merge(values).alias(name) for name, values in fields.items()])
+    return df.select(
+        *[_merge(values, name.endswith(tuple(multi_valued))).alias(name) for name, values in fields.items()]
+    )
 
 
-def _merge(values: list[tuple[Column, DataType]]) -> Column:
+def _merge(values: list[tuple[Column, DataType]], keep_all: bool) -> Column:
     if len(values) == 1:
         return values[0][0]
-    if len({t.simpleString() for _, t in values}) > 1:
-        return F.coalesce(*[c.cast("string") for c, _ in values])
-    return F.coalesce(*[c for c, _ in values])
+    mixed = len({t.simpleString() for _, t in values}) > 1
+    cols = [c.cast("string") if mixed else c for c, _ in values]
+    return F.array_compact(F.array(*cols)) if keep_all else F.coalesce(*cols)
 
 
 # Type suffixes of column names; a list has the doubled letter.

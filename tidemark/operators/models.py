@@ -204,13 +204,22 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def terms_of(df: DataFrame, words: Column, *keep: str) -> DataFrame:
+    """One row per list element, as `term`.
+
+    The outer form is on purpose: for the plain one Spark tests the list's size below the projection that
+    makes it, and so splits every text twice.
+    """
+    return df.select(*keep, F.explode_outer(words).alias("term")).where(F.col("term").isNotNull())
+
+
 def document_frequency(df: DataFrame, tokens_col: str, min_df: float = 0.0, max_df: float = 1.0) -> DataFrame:
     """(term, df, idf) with idf = ln((n + 1) / (df + 1)), for terms in a share of documents within bounds.
 
     Repeats are removed within the row, so counting needs one shuffle, with partial counts before it.
     """
     total = df.agg(F.count(F.lit(1))).scalar()
-    terms = df.select(F.explode(F.array_distinct(tokens_col)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    terms = terms_of(df, F.array_distinct(tokens_col)).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     counted = terms.withColumn("_total", total)
     share = F.col("df") / F.col("_total")
     return counted.where((share >= min_df) & (share <= max_df)).select(
@@ -220,7 +229,7 @@ def document_frequency(df: DataFrame, tokens_col: str, min_df: float = 0.0, max_
 
 def term_counts(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     """(id, term, n)."""
-    return df.select(id_col, F.explode(tokens_col).alias("term")).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n"))
+    return terms_of(df, F.col(tokens_col), id_col).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def l2_normalize(col: str) -> Column:

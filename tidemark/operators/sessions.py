@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.functions.scalars import epoch_ms, make_id
 from tidemark.functions.types import as_list
 
-HOUR_MS = 3_600_000
+SLICE_MS = 300_000
 
 
 def sessionize(
-    df: DataFrame, key: str | list[str], ts: str, gap_ms: int = 30_000, slice_ms: int = HOUR_MS
+    df: DataFrame, key: str | list[str], ts: str, gap_ms: int = 30_000, slice_ms: int = SLICE_MS
 ) -> DataFrame:
     """Add `diff_ms`, the milliseconds since the key's previous row (null on its first), and `session_id`,
     the running count of gaps strictly longer than `gap_ms`, from 0 per key.
@@ -57,7 +57,7 @@ def sessionize(
     )
 
 
-def with_gap_ms(df: DataFrame, key: str | list[str], ts: str, slice_ms: int = HOUR_MS) -> DataFrame:
+def with_gap_ms(df: DataFrame, key: str | list[str], ts: str, slice_ms: int = SLICE_MS) -> DataFrame:
     """Add `diff_ms` only."""
     return sessionize(df, key, ts, slice_ms=slice_ms).drop("session_id")
 

@@ -30,12 +30,6 @@ def r02(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.catalogue(listens, "artist", "song")
 
 
-@query("r03_items_for_user")
-def r03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inter = signals.interactions(b.ratings(spark, sf_dir), "user_id", "movie_id")
-    return recommend.recommend_for_users(inter, 5, item="movie_id")
-
-
 def _similar_sql(source: str, user: str, item: str, n: int) -> str:
     return f"""base AS (SELECT DISTINCT {user} AS u, {item} AS i FROM {source}),
         sizes AS (SELECT i, count(*) AS size FROM base GROUP BY i),
@@ -58,6 +52,30 @@ def r04_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.similar_items(inter, 5, item="movie_id").withColumn("similarity", F.round("similarity", 6))
 
 
+_NEAR = _similar_sql("clicks", "user_id", "item", 10)
+
+
+@query(
+    "r03_items_for_user",
+    f"""WITH {b.CLICKS}, near AS (WITH {_NEAR}),
+        inter AS (SELECT user_id, item, count(*) AS weight FROM clicks GROUP BY user_id, item),
+        scored AS (SELECT user_id, other AS item, sum(weight * CAST(round(similarity * 1000000) AS BIGINT)) AS parts
+          FROM inter JOIN near USING (item) GROUP BY user_id, other)
+        SELECT user_id, item, CAST(parts AS DOUBLE) / 1000000 AS score,
+          CAST(row_number() OVER (PARTITION BY user_id ORDER BY parts DESC, item) AS INTEGER) AS rank
+        FROM scored ANTI JOIN inter USING (user_id, item) QUALIFY rank <= 5""",
+)
+def r03(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inter = signals.interactions(b.clicks(spark, sf_dir))
+    return recommend.items_for_users(inter, recommend.similar_items(inter, 10), 5)
+
+
+@query("r03_als_items_for_user")
+def r03_als(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inter = signals.interactions(b.ratings(spark, sf_dir), "user_id", "movie_id")
+    return recommend.recommend_for_users(inter, 5, item="movie_id")
+
+
 _BOOSTS = """boosts AS (SELECT query, doc_id, weight, CAST(row_number() OVER (PARTITION BY query ORDER BY weight DESC, doc_id) AS INTEGER) AS rank
     FROM weights)"""
 

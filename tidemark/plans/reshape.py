@@ -134,6 +134,21 @@ def p09(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.map_fields(_signals(spark, sf_dir), RULES, unmapped=Rule("/(.*)/", operation="delete"))
 
 
+GEO_RULES = [Rule("/(.*?)lat(itude)?$/", "$1_lat_lon", "move"), Rule("/(.*?)lon(gitude)?$/", "$1_lat_lon", "move")]
+
+
+@query(
+    "p09_geo_fields",
+    f"WITH {b.HOMES} SELECT user_id, CAST(round(latitude, 3) AS VARCHAR) || ',' || CAST(round(longitude, 3) AS VARCHAR) AS home_lat_lon FROM homes",
+)
+def p09_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    homes = b.homes(spark, sf_dir).select(
+        "user_id", F.round("latitude", 3).alias("homelatitude"), F.round("longitude", 3).alias("homelon")
+    )
+    mapped = mapping.map_fields(homes, GEO_RULES)
+    return mapped.withColumn("home_lat_lon", F.array_join(F.col("home_lat_lon").cast("array<string>"), ","))
+
+
 @query(
     "p10_type_suffix_names",
     f"""SELECT event_id AS event_id_l, {b.iso_sql('ts')} AS ts_tdt, user_id AS user_id_l, event_type AS event_type_s, event_type AS event_type_t,

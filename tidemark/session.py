@@ -19,7 +19,7 @@ def build(master: str | None = None, app: str = "tidemark", **extra: str) -> Spa
     """Create a session. On a cluster leave `master` out and let the submit command name it."""
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
