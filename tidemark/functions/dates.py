@@ -42,8 +42,9 @@ def _full_year(text: Column) -> Column:
 
 def _month(text: Column) -> Column:
     number = F.instr(F.lit(_MONTHS), F.initcap(F.substring(text, 1, 3)))
-    named = F.when((number > 0) & (number % 3 == 1), ((number - 1) / 3 + 1).cast("int"))
-    return F.coalesce(text.try_cast("int"), named).cast("string")
+    named = F.when((number > 0) & (number % 3 == 1), ((number - 1) / 3 + 1).cast("int").cast("string"))
+    # digits sort before letters; a name is never tried as a number, since a failing cast is slow
+    return F.when(text < "A", text).otherwise(named)
 
 
 def _clock(text: Column) -> Column:
@@ -65,12 +66,14 @@ def normalize_date(col: ColumnLike) -> Column:
 
 def _instant(text: Column) -> Column:
     abbreviation = F.upper(F.regexp_extract(text, _ZONE_TAIL, 1))
+    return let(abbreviation, lambda short: _with_zone(text, short))
+
+
+def _with_zone(text: Column, short: Column) -> Column:
     zone_of = F.create_map(*[F.lit(v) for pair in ZONES.items() for v in pair])
-    zone = F.coalesce(F.try_element_at(zone_of, abbreviation), F.lit("Etc/UTC"))
-    bare = F.when(abbreviation == "", text).otherwise(F.regexp_replace(text, _ZONE_TAIL, ""))
-    wall = let(let(bare, _parts), _wall_clock)
-    # the wall clock is read as UTC; to_utc_timestamp moves it by the zone's offset, whatever the session zone
-    return let(wall, lambda w: F.when(w["zoned"], w["time"]).otherwise(F.to_utc_timestamp(w["time"], zone)))
+    zone = F.when(short == "", F.lit("Etc/UTC")).otherwise(F.try_element_at(zone_of, short))
+    bare = F.when(short == "", text).otherwise(F.regexp_replace(text, _ZONE_TAIL, ""))
+    return let(let(bare, _parts), lambda parts: _at(parts, zone))
 
 
 def _parts(text: Column) -> Column:
@@ -81,12 +84,11 @@ def _parts(text: Column) -> Column:
     return F.split(line, "\\|")
 
 
-def _wall_clock(parts: Column) -> Column:
-    """Time read with the given offset, or as UTC without one."""
+def _at(parts: Column, zone: Column) -> Column:
+    """The parts as standard timestamp text with an offset or a zone name, which a plain cast can read."""
     year, month, day, clock, offset = (F.get(parts, F.lit(i)) for i in range(5))
-    zoned = offset != ""
     line = F.concat(
         _full_year(year), F.lit("-"), _month(month), F.lit("-"), day, F.lit(" "), _clock(clock), F.lit(" "),
-        F.when(zoned, offset).otherwise("+0000"),
+        F.when(offset != "", offset).otherwise(zone),
     )
-    return F.struct(zoned.alias("zoned"), F.try_to_timestamp(line, F.lit("y-M-d H:m:s Z")).alias("time"))
+    return line.try_cast("timestamp")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.scalars import hash_bucket, safe_ratio
 from tidemark.functions.text import KINDS, analyze
-from tidemark.functions.types import ColumnLike
+from tidemark.functions.types import ColumnLike, as_col, let
 
 
 class Analyzer(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -232,11 +232,14 @@ def term_counts(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     return terms_of(df, F.col(tokens_col), id_col).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def l2_normalize(col: str) -> Column:
+def l2_normalize(col: ColumnLike) -> Column:
     """Array of numbers to unit length, in double; an all-zero array stays."""
-    values = F.transform(col, lambda v: v.cast("double"))
+    return let(F.transform(as_col(col), lambda v: v.cast("double")), _unit)
+
+
+def _unit(values: Column) -> Column:
     norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda s, v: s + v * v))
-    return F.when(norm == 0, values).otherwise(F.transform(values, lambda v: v / norm))
+    return let(norm, lambda n: F.transform(values, lambda v: F.when(n == 0, v).otherwise(v / n)))
 
 
 def word_vectors(input_col: str, output_col: str, dim: int, window: int = 5, step: float = 0.025, iters: int = 1,

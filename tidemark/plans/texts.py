@@ -93,7 +93,9 @@ def x03(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(at, "MMM dd HH:mm:ss yyyy"), F.date_format(at, "EEEE dd MMM yyyy HH:mm '-0530'"),
         F.date_format(at, "dd MMMM yyyy"), F.lit("soon"), F.date_format(at, "EEE, dd MMM yy   HH:mm:ss 'ECT(-0400)'"),
     ]
-    pick = F.element_at(F.array(*forms), (F.col("o_orderkey") % 10 + 1).cast("int"))
+    pick = F.when(F.col("o_orderkey") % 10 == 0, forms[0])
+    for i, form in enumerate(forms[1:], start=1):
+        pick = pick.when(F.col("o_orderkey") % 10 == i, form)
     return b.table(spark, sf_dir, "orders").select("o_orderkey", iso(normalize_date(pick)).alias("moment"))
 
 
