@@ -19,18 +19,24 @@ _LOG_GROUPS = {
 
 
 def parse_access_log(df: DataFrame, line_col: str = "value") -> DataFrame:
-    """Add the fields of a Common Log Format line. A broken line keeps null fields and `rejected` true."""
+    """Add the fields of a Common Log Format line. A broken line keeps null fields and `rejected` true.
+
+    The groups come out of one pass over the line, joined by a control character and cut again.
+    """
     line = F.col(line_col)
-    fields = {name: F.nullif(F.regexp_extract(line, LOG_PATTERN, group), F.lit("")) for name, group in _LOG_GROUPS.items()}
-    size = F.regexp_extract(line, LOG_PATTERN, 10).try_cast("bigint")
-    return df.withColumns(
+    mark = "\u0001"
+    joined = F.regexp_replace(line, LOG_PATTERN, mark.join(f"${i}" for i in range(1, 11)))
+    out = df.withColumn("_parts", F.when(line.rlike(LOG_PATTERN), F.split(joined, mark)))
+    fields = {name: F.nullif(F.get("_parts", F.lit(group - 1)), F.lit("")) for name, group in _LOG_GROUPS.items()}
+    size = F.get("_parts", F.lit(9))
+    return out.withColumns(
         {
             **fields,
-            "bytes": size,
-            "ts": F.try_to_timestamp(F.nullif(F.regexp_extract(line, LOG_PATTERN, 4), F.lit("")), F.lit(LOG_TIME)),
-            "rejected": ~F.coalesce(line.rlike(LOG_PATTERN), F.lit(False)),
+            "bytes": F.when(size != "-", size.try_cast("bigint")),
+            "ts": F.try_to_timestamp(fields["timestamp"], F.lit(LOG_TIME)),
+            "rejected": F.col("_parts").isNull(),
         }
-    )
+    ).drop("_parts")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
