@@ -7,14 +7,14 @@ from tidemark.operators.mapping import Rule, map_fields
 
 def signal(spark):
     return spark.sql(
-        """SELECT 'x' AS type, 'b' AS _lw_batch, 1 AS id, named_struct('userId', u, 'user_id', v, 'query', 'tv', 'x', 'X', 'host_s', 'h', 'deep',
+        """SELECT 'x' AS type, 'b' AS _sys_batch, 1 AS id, named_struct('userId', u, 'user_id', v, 'query', 'tv', 'x', 'X', 'host_s', 'h', 'deep',
            named_struct('z', 5)) AS params FROM VALUES ('u1', CAST(NULL AS STRING)), (CAST(NULL AS STRING), 'u2'), ('u1', 'u2') AS t(u, v)"""
     )
 
 
 def test_copy_move_delete_keep_and_patterns(spark):
     rules = [
-        Rule("/_lw_(.*)/", operation="delete"),
+        Rule("/_sys_(.*)/", operation="delete"),
         Rule("type", "type_s", "copy"),
         Rule("params.query", "query_s", "copy"),
         Rule("params.query", "query_t", "move"),

@@ -122,6 +122,21 @@ def lexicon_tag(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, m
     )
 
 
+def entities_by_document(tagged: DataFrame, id_col: str, token_col: str = "token", tag_col: str = "tag") -> DataFrame:
+    """(id, ner_json) from tagged tokens: JSON map entity type -> sorted set of texts, O left out.
+
+    Repeats go in the map tasks; a document's set holds distinct words only.
+    """
+    kind = F.regexp_replace(tag_col, "^[BI]-", "")
+    sets = (
+        tagged.where(F.col(tag_col) != "O")
+        .groupBy(id_col, kind.alias("type"))
+        .agg(F.sort_array(F.collect_set(token_col)).alias("texts"))
+    )
+    maps = sets.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("type", "texts"))).alias("entries"))
+    return maps.select(id_col, F.to_json(F.map_from_entries("entries")).alias("ner_json"))
+
+
 def prf(predicted: DataFrame, gold: DataFrame, tags: list[str] | None = None) -> DataFrame:
     """Precision, recall and F1 per tag on distinct (word, tag) pairs; null where a denominator is 0.
 

@@ -62,7 +62,8 @@ def column_profile(df: DataFrame, cols: list[str], top_n: int = 10) -> DataFrame
     if textual or listed:
         pairs = [F.array(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))) for c in textual]
         pairs += [_list_pairs(c, types[c]) for c in listed]
-        flat = df.select(F.inline(F.concat(*pairs) if len(pairs) > 1 else pairs[0]))
+        # the outer form keeps Spark from building the list once more to see if it is empty
+        flat = df.select(F.inline_outer(F.concat(*pairs) if len(pairs) > 1 else pairs[0]))
         counted = flat.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
         ranked = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
         top = counted.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= top_n)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import regex
@@ -22,7 +22,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tidemark.functions.scalars import iso, make_id
+from tidemark.functions.scalars import iso, make_id, regex_group
 
 OPERATIONS = ("copy", "move", "delete", "keep")
 
@@ -204,6 +204,30 @@ def mark_clicks(df: DataFrame, item: str, group: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Stage:
+    """One step of a load pipeline; `skip` switches it off without taking it out."""
+
+    label: str
+    apply: Callable[[DataFrame], DataFrame]
+    skip: bool = False
+
+
+def run_stages(df: DataFrame, stages: Sequence[Stage]) -> DataFrame:
+    """Ordered steps as one lazy plan: Spark fuses them, no step is stored."""
+    for stage in stages:
+        if not stage.skip:
+            df = df.transform(stage.apply)
+    return df
+
+
+def regex_extract(
+    df: DataFrame, source: str, pattern: str, group: int, target: str, on_no_match: str | None = None
+) -> DataFrame:
+    """Put one group of the first match into `target`, over what it held."""
+    return df.withColumn(target, regex_group(source, pattern, group, on_no_match))
+
+
 def to_pairs(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
     """All columns of a row as a list of (name, value) without the nulls; instants become ISO text."""
     pairs = []

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.scalars import iso, split_list
+from tidemark.operators.mapping import Rule, Stage, map_fields, regex_extract, run_stages, suffix_names
 from tidemark.plans import bindings as b
 from tidemark.plans.registry import query
 from tidemark.scratch import fresh_path
@@ -306,3 +307,19 @@ def k09(spark: SparkSession, sf_dir: str) -> DataFrame:
         output=fresh_path(spark, "bulk-out"),
     )
     return bulk_load(spark, spec).withColumn("genre", F.array_join("genre", ","))
+
+
+@query(
+    "k10_load_pipeline",
+    """SELECT page_id AS page_id_l, CASE WHEN len(url) <= 100 THEN url END AS path_s, url AS path_t,
+        nullif(regexp_extract(url, '^https?://[^/]+/(?:.+/)*([^/]+)/([^/]+)$', 1), '') AS folder_s, CAST(len(html) AS INTEGER) AS size_i FROM pages""",
+)
+def k10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = b.table(spark, sf_dir, "pages").withColumn("size", F.length("html"))
+    stages = [
+        Stage("folder", lambda df: regex_extract(df, "url", "^https?://[^/]+/(?:.+/)*([^/]+)/([^/]+)$", 1, "folder_s")),
+        Stage("log", lambda df: df.limit(0), skip=True),
+        Stage("fields", lambda df: map_fields(df, [Rule("url", "path", "move"), Rule("html", operation="delete")])),
+        Stage("names", suffix_names),
+    ]
+    return run_stages(pages, stages)

@@ -99,7 +99,7 @@ def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.col("user_id").cast("string")
     return b.table(spark, sf_dir, "events").select(
         "event_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("type"),
-        s.epoch_ms("ts").alias("timestamp"), F.lit("batch-1").alias("_lw_batch_id_s"),
+        s.epoch_ms("ts").alias("timestamp"), F.lit("batch-1").alias("_sys_batch_s"),
         F.struct(
             F.when(even, user).alias("userId"), F.when(~even, user).alias("user_id"),
             F.get_json_object("props", "$.k").alias("docId"), F.col("value").cast("decimal(18,2)").cast("string").alias("weight"),
@@ -110,7 +110,7 @@ def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RULES = [
-    Rule("/_lw_(.*)/", operation="delete"),
+    Rule("/_sys_(.*)/", operation="delete"),
     Rule("type", "type_s", "copy"),
     Rule("timestamp", "timestamp_tdt", "move"),
     Rule("params.query", "query_s", "copy"),

@@ -11,7 +11,10 @@ from tidemark.functions.dates import normalize_date
 from tidemark.functions.text import STOP_WORDS, analyze, sentences, strip_html, tokens
 from tidemark.operators import articles, entities, models
 from tidemark.plans import bindings as b
+from tidemark.operators.mapping import Stage, parse_json_field
 from tidemark.plans.registry import query
+from tidemark.scratch import fresh_path
+from tidemark.sources.jobs import LoadSpec, bulk_load
 
 _CTRL = "'[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]'"
 _TOKS = b.tokens_sql("text")
@@ -323,22 +326,53 @@ LEXICON = {
 }
 
 
-@query(
-    "n05_lexicon_tag",
-    f"""WITH d AS (SELECT doc_id, {_TOKS} AS toks FROM documents),
-        lex AS (SELECT * FROM (VALUES {', '.join(f"('{p}', '{t}')" for p, t in LEXICON.items())}) AS v(phrase, tag)),
-        starts AS (SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS p FROM d),
-        spans AS (SELECT doc_id, p, size, array_to_string(toks[p:p + size - 1], ' ') AS phrase
-          FROM starts, (VALUES (1), (2), (3)) AS s(size) WHERE p + size - 1 <= len(toks)),
-        hits AS (SELECT doc_id, p, size, tag, unnest(range(p - 1, p + size - 1)) AS pos FROM spans JOIN lex USING (phrase)),
-        best AS (SELECT doc_id, pos, tag FROM hits QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY size DESC, p) = 1),
-        words AS (SELECT doc_id, p - 1 AS pos, toks[p] AS token FROM starts)
-        SELECT doc_id, CAST(pos AS INTEGER) AS pos, token, coalesce(tag, 'O') AS tag FROM words LEFT JOIN best USING (doc_id, pos)""",
-)
+_LEXICON_SQL = f"""WITH d AS (SELECT doc_id, {_TOKS} AS toks FROM documents),
+    lex AS (SELECT * FROM (VALUES {', '.join(f"('{p}', '{t}')" for p, t in LEXICON.items())}) AS v(phrase, tag)),
+    starts AS (SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS p FROM d),
+    spans AS (SELECT doc_id, p, size, array_to_string(toks[p:p + size - 1], ' ') AS phrase
+      FROM starts, (VALUES (1), (2), (3)) AS s(size) WHERE p + size - 1 <= len(toks)),
+    hits AS (SELECT doc_id, p, size, tag, unnest(range(p - 1, p + size - 1)) AS pos FROM spans JOIN lex USING (phrase)),
+    best AS (SELECT doc_id, pos, tag FROM hits QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY size DESC, p) = 1),
+    words AS (SELECT doc_id, p - 1 AS pos, toks[p] AS token FROM starts)"""
+_TAGGED_SQL = """SELECT doc_id, CAST(pos AS INTEGER) AS pos, token, coalesce(tag, 'O') AS tag FROM words LEFT JOIN best USING (doc_id, pos)"""
+
+
+@query("n05_lexicon_tag", f"{_LEXICON_SQL} {_TAGGED_SQL}")
 def n05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.lexicon_tag(b.documents(spark, sf_dir), "doc_id", "text", entities.lexicon_frame(spark, LEXICON))
 
 
+def _found(tag: str) -> str:
+    return f"string_agg(DISTINCT token, '+' ORDER BY token) FILTER (tag = 'I-{tag}')"
+
+
+@query(
+    "n05_entity_load_job",
+    f"""{_LEXICON_SQL}, tagged AS ({_TAGGED_SQL})
+        SELECT d.doc_id, md5(text) AS text_md5, {_found('LOC')} AS location, {_found('PER')} AS person, {_found('ORG')} AS organization,
+          {_found('MISC')} AS misc, 'entities' AS data_source
+        FROM documents d LEFT JOIN tagged t ON d.doc_id = t.doc_id GROUP BY d.doc_id, text""",
+)
+def n05_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: read, tag, JSON per document, SQL over `_input`, parse and rename, write."""
+
+    def tag(df: DataFrame) -> DataFrame:
+        known = df.where(F.col("text").isNotNull()).select("doc_id", "text")
+        tagged = entities.lexicon_tag(known, "doc_id", "text", entities.lexicon_frame(spark, LEXICON))
+        return known.join(entities.entities_by_document(tagged, "doc_id"), "doc_id", "left")
+
+    names = {"LOC": "location", "PER": "person", "ORG": "organization", "MISC": "misc"}
+    spec = LoadSpec(
+        source="entities", format="parquet", path=f"{sf_dir}/documents.parquet", transform=tag,
+        sql="select monotonically_increasing_id() as id, doc_id, text, ner_json from _input",
+        stages=[Stage("parse", lambda df: parse_json_field(df, "ner_json", names)), Stage("drop", lambda df: df.drop("ner_json", "id"))],
+        output=fresh_path(spark, "entities"),
+    )
+    loaded = bulk_load(spark, spec)
+    lists = [F.nullif(F.array_join(c, "+"), F.lit("")).alias(c) for c in names.values()]
+    return loaded.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), *lists, "data_source")
+
+
 @query(
     "n06_prf",
     f"""WITH w AS (SELECT doc_id, unnest({_TOKS}) AS x FROM documents),

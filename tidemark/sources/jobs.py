@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.mapping import Stage, run_stages
 from tidemark.sources.writers import load
 
 
@@ -18,6 +19,7 @@ class LoadSpec:
 
     transform  DataFrame -> DataFrame, runs first
     sql        query over the view `_input`, runs on what `transform` returns
+    stages     load pipeline that the rows go through last
     clear      drop the earlier rows of this source first
     """
 
@@ -28,6 +30,7 @@ class LoadSpec:
     read_options: dict[str, str] = field(default_factory=dict)
     transform: Callable[[DataFrame], DataFrame] | None = None
     sql: str | None = None
+    stages: Sequence[Stage] = ()
     output_partitions: int | None = None
     batch_size: int | None = None
     clear: bool = True
@@ -47,6 +50,7 @@ def prepare(spark: SparkSession, spec: LoadSpec) -> DataFrame:
         view = f"_input_{uuid.uuid4().hex}"
         df.createOrReplaceTempView(view)
         df = spark.sql(re.sub(r"\b_input\b", view, spec.sql))
+    df = run_stages(df, spec.stages)
     if spec.output_partitions:
         df = df.repartition(spec.output_partitions)
     return df

@@ -74,11 +74,11 @@ def read_corpus(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", pa
 
 def explode_signals(df: DataFrame, json_col: str) -> DataFrame:
     """`{query: {signals: [{docId, count}], rank: [...]}}` to one row (query, doc_id, count) per signal."""
+    # the outer forms keep Spark from parsing the text once more to see if it is empty
     shape = "map<string,struct<signals:array<struct<docId:string,count:string>>,rank:array<string>>>"
-    per_query = df.select(F.explode(F.from_json(json_col, shape)).alias("query", "entry"))
-    return per_query.select("query", F.inline("entry.signals").alias("doc_id", "count")).select(
-        "query", "doc_id", F.col("count").try_cast("int").alias("count")
-    )
+    per_query = df.select(F.explode_outer(F.from_json(json_col, shape)).alias("query", "entry"))
+    flat = per_query.select("query", F.inline_outer("entry.signals").alias("doc_id", "count"))
+    return flat.where(F.col("doc_id").isNotNull()).select("query", "doc_id", F.col("count").try_cast("int").alias("count"))
 
 
 def scan(df: DataFrame, require: str | list[str], fields: list[str], splits: int | None = None) -> DataFrame:

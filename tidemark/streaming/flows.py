@@ -54,6 +54,8 @@ def stream_sessions(stream: DataFrame, key: str, ts: str, measure: str, gap: str
     A session closes once the watermark has passed its end, so in append mode the newest sessions are
     still open; rows later than the watermark are dropped. Two rows exactly one gap apart share a session.
     """
+    # rows of one key are merged into sessions before the shuffle, so a busy key ships few rows
+    stream.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     typed = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     return (
         typed.withWatermark(ts, watermark)
