@@ -122,3 +122,30 @@ def test_scratch_follows_the_setting(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     made = materialize(spark.range(5), "t")
     assert made.count() == 5 and shared_root(spark) in made.inputFiles()[0]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    a = writers.write_bucketed(spark.range(100).withColumn("x", F.col("id") + 1), "bucketed_a", fresh_path(spark, "a"), "id", 4)
+    b = writers.write_bucketed(spark.range(50).withColumn("y", F.col("id") * 2), "bucketed_b", fresh_path(spark, "b"), "id", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = a.join(b, "id").groupBy("id").agg(F.sum("y").alias("s"))
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_word_list_with_quotes(spark):
+    path = fresh_path(spark, "words")
+    spark.createDataFrame([('" NN x O',), ("EU NNP I-NP I-ORG",), ("",)], "v string").coalesce(1).write.text(path)
+    rows = readers.read_delimited(spark, path, " ", "w string, p string, c string, t string", quote="").collect()
+    assert [(r.w, r.t) for r in rows] == [('"', "O"), ("EU", "I-ORG")]
+
+
+def test_every_row_has_a_bucket(spark):
+    from tidemark.operators.models import hash_split
+
+    df = spark.createDataFrame([("a",), (None,)], "k string")
+    one, two = hash_split(df, "k", 50)
+    assert one.count() + two.count() == 2

@@ -85,8 +85,11 @@ def clean_control_chars(col: ColumnLike) -> Column:
 
 
 def hash_bucket(key: ColumnLike, buckets: int, seed: int | str = 0) -> Column:
-    """Bucket 0..buckets-1 that depends only on the key and the seed, never on partitioning."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), as_col(key).cast("string")).cast("binary"))
+    """Bucket 0..buckets-1 that depends only on the key and the seed, never on partitioning.
+
+    A null key counts as empty text, so that every row has a bucket.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(as_col(key).cast("string"), F.lit(""))).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
 
 

@@ -9,6 +9,8 @@ from tidemark.functions.scalars import iso
 from tidemark.operators import facets, joins, predicates
 from tidemark.plans import bindings as b
 from tidemark.plans.registry import query
+from tidemark.scratch import fresh_path
+from tidemark.sources import writers
 
 _BUCKET = "CAST(('0x' || substr(md5('{seed}:' || {key}), 1, 8)) AS BIGINT) % 100"
 
@@ -205,6 +207,21 @@ def j06_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("user_id", "zip_code", "state")
 
 
+@query(
+    "j06_bucketed_join",
+    f"""WITH {b.RATINGS}, {b.MOVIES} SELECT movie_id, title, count(*) AS n, CAST(sum(rating) AS BIGINT) AS total
+        FROM ratings JOIN movies USING (movie_id) GROUP BY movie_id, title""",
+)
+def j06_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(spark, name)
+        return writers.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, "movie_id", 8)
+
+    left = stored(b.ratings(spark, sf_dir), "ratings-by-movie")
+    right = stored(b.movies(spark, sf_dir).select("movie_id", "title"), "movies-by-movie")
+    return left.join(right, "movie_id").groupBy("movie_id", "title").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total"))
+
+
 @query(
     "j07_three_way",
     f"""WITH {b.USERS}, {b.ZIPS}, {b.RATINGS}, {b.MOVIES} SELECT user_id, gender, place_name, title, movie_id, rating

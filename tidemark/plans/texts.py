@@ -14,6 +14,7 @@ from tidemark.plans import bindings as b
 from tidemark.operators.mapping import Stage, parse_json_field
 from tidemark.plans.registry import query
 from tidemark.scratch import fresh_path
+from tidemark.sources import readers
 from tidemark.sources.jobs import LoadSpec, bulk_load
 
 _CTRL = "'[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]'"
@@ -390,6 +391,33 @@ def n06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
+_GOLD_SQL = f"""SELECT x AS word, {_TAG_SQL.format('doc_id % 2')} AS tag FROM (SELECT doc_id, unnest({_TOKS}) AS x FROM documents)"""
+_PRED_SQL = f"""SELECT x AS word, {_TAG_SQL.format(0)} AS tag FROM (SELECT doc_id, unnest({_TOKS}) AS x FROM documents)"""
+
+
+@query(
+    "n06_gold_file_prf",
+    f"""WITH g AS (SELECT DISTINCT * FROM ({_GOLD_SQL})), p AS (SELECT DISTINCT * FROM ({_PRED_SQL})),
+        c AS (SELECT tag, count(*) FILTER (p.word IS NOT NULL AND g.word IS NOT NULL) AS common, count(p.word) AS retrieved, count(g.word) AS relevant
+          FROM p FULL JOIN g USING (word, tag) GROUP BY tag)
+        SELECT tag, common, retrieved, relevant, round(common / retrieved, 6) AS precision, round(common / relevant, 6) AS recall FROM c""",
+)
+def n06_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold tags from a blank-separated word list with the tag in the fourth column, predictions from tag strings."""
+    path = fresh_path(spark, "gold")
+    gold = models.terms_of(b.documents(spark, sf_dir), tokens("text"), "doc_id")
+    # the gold tags differ from the predicted ones in every other document, and some begin with B
+    tag = F.when(F.col("doc_id") % 2 == 0, _tag_of(F.col("term"))).otherwise(_tag_of(F.col("term"), 1))
+    spelled = F.regexp_replace(tag, "^I-(PER|LOC)$", "B-$1")
+    gold.select(F.concat_ws(" ", "term", F.lit("NN"), F.lit("x"), spelled)).write.text(path)
+    lines = readers.read_delimited(spark, path, " ", "_c0 string, _c1 string, _c2 string, _c3 string", quote="")
+    named = entities.normalize_tags(lines.select(F.col("_c0").alias("word"), F.col("_c3").alias("tag")), "tag")
+    tagged = _tagged(spark, sf_dir).select(F.inline_outer(entities.parse_tags("finished_ner")))
+    predicted = tagged.where(F.col("word").isNotNull())
+    out = entities.prf(predicted, named.where(~F.col("rejected"))).drop("f1")
+    return out.withColumns({c: F.round(c, 6) for c in ("precision", "recall")})
+
+
 _SENTENCES = """[trim(x) FOR x IN regexp_split_to_array(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(10), 'g'), '[\\r\\n]+') IF trim(x) <> '']"""
 
 

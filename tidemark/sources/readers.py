@@ -49,12 +49,15 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataF
 
 
 def read_delimited(
-    spark: SparkSession, path: str, sep: str, schema: StructType | str, header: bool = False
+    spark: SparkSession, path: str, sep: str, schema: StructType | str, header: bool = False, quote: str = '"'
 ) -> DataFrame:
-    """Delimited text. Quotes inside a quoted field may be bare: only quote + separator ends the field."""
+    """Delimited text. Quotes inside a quoted field may be bare: only quote + separator ends the field.
+
+    `quote=""` reads quotes as plain characters, as word lists need it.
+    """
     return (
         spark.read.schema(schema)
-        .options(sep=sep, header=header, escape='"', unescapedQuoteHandling="STOP_AT_CLOSING_QUOTE")
+        .options(sep=sep, header=header, quote=quote, escape='"', unescapedQuoteHandling="STOP_AT_CLOSING_QUOTE")
         .csv(path)
     )
 

@@ -34,6 +34,20 @@ def write_batched(df: DataFrame, path: str, batch_size: int, fmt: str = "parquet
     df.write.mode(mode).option("maxRecordsPerFile", batch_size).format(fmt).save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Catalogue table at `path`, hashed by key into `buckets` parts and sorted within them.
+
+    Two tables with the same key and number of buckets are joined and grouped by that key without a
+    shuffle, however often. The rows are hashed before the write, so each bucket is one file.
+    """
+    spark = df.sparkSession
+    (
+        df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+        .bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    )
+    return spark.table(table)
+
+
 def with_output_partitions(df: DataFrame, n: int) -> DataFrame:
     """Even, round-robin spread over `n` output partitions."""
     return df.repartition(n)
