@@ -17,8 +17,11 @@ def test_click_weights_and_boosts(spark):
 
 def test_boost_text_round_trip(spark):
     df = spark.createDataFrame([("doc10", 81)], "doc_id string, weight int").select(signals.boost_text("doc_id", "weight").alias("b"))
-    df = df.unionByName(spark.createDataFrame([("map(query({!field f='id' v=''}), 0, 0, 1, x)",)], "b string"))
-    assert [(r.boost_doc, r.boost_weight, r.rejected) for r in signals.parse_boosts(df, "b").collect()] == [("doc10", 81.0, False), (None, None, True)]
+    more = ["map(query({!field f='id' v=''}), 0, 0, 1, x)", "map(query({!field f='id' v='doc7'}), 0, 0, 1, 300)"]
+    df = df.unionByName(spark.createDataFrame([(m,) for m in more], "b string"))
+    assert [(r.boost_doc, r.boost_weight, r.rejected) for r in signals.parse_boosts(df, "b").collect()] == [
+        ("doc10", 81.0, False), (None, None, True), ("doc7", 300.0, False),
+    ]
 
 
 def test_rank_check(spark):

@@ -4,7 +4,7 @@ from tidemark.functions.scalars import iso
 from tidemark.operators import articles, entities, models
 
 ARTICLE = (
-    "From: Al <al@example>\nSubject:\t Big  news \nMessage-ID: <1@x>\nNewsgroups: alt.a, ,misc.b\n"
+    "From: Al <al@example>\nSubject:\t Big  news \t\nMessage-ID: <1@x>\nNewsgroups: alt.a, ,\tmisc.b\n"
     "Date: 20 Apr 93 16:15:19 GMT\nX-Note(a): keep \nnot a header\nFoo: in body\n\nend\n"
 )
 

@@ -42,11 +42,11 @@ def parse_articles(df: DataFrame, text_col: str = "content") -> DataFrame:
         "body_t", F.when(F.size(body) > 0, F.concat(F.array_join(body, "\n"), F.lit("\n"))).otherwise(F.lit(""))
     )
 
-    columns = {f"{name}_txt_en": F.trim(_first_value(name)) for name in _TEXT_FIELDS}
-    columns["Message_ID_s"] = F.trim(_first_value("Message-ID"))
+    columns = {f"{name}_txt_en": _trimmed(_first_value(name)) for name in _TEXT_FIELDS}
+    columns["Message_ID_s"] = _trimmed(_first_value("Message-ID"))
     columns["Newsgroups_ss"] = _listed_groups(_first_value("Newsgroups"))
-    columns["Date_s"] = F.trim(_first_value("Date"))
-    columns["Date_tdt"] = normalize_date(F.trim(_first_value("Date")))
+    columns["Date_s"] = _trimmed(_first_value("Date"))
+    columns["Date_tdt"] = normalize_date(_trimmed(_first_value("Date")))
     columns["other_txt"] = F.transform(
         F.filter("_head", lambda h: ~h["name"].isin(*_SPECIAL)),
         lambda h: F.struct(
@@ -60,8 +60,12 @@ def _first_value(name: str) -> Column:
     return F.get(F.filter("_head", lambda h: h["name"] == F.lit(name)), F.lit(0))["value"]
 
 
+def _trimmed(value: Column) -> Column:
+    return F.btrim(value, F.lit(" \t"))
+
+
 def _listed_groups(value: Column) -> Column:
-    return F.array_remove(F.transform(F.split(value, ","), lambda g: F.trim(g)), "")
+    return F.array_remove(F.transform(F.split(value, ","), _trimmed), "")
 
 
 def path_group(path: str | Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
+    CountVectorizer,
     HashingTF,
     IndexToString,
     Normalizer,
@@ -68,24 +69,45 @@ class TokenWeight(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable
         return df.withColumn(self.getOutputCol(), F.concat(*parts))
 
 
-def vectorize(weights: Mapping[str, int], num_features: int = 10_000, idf: bool = False, norm: float | None = 2.0) -> list:
-    """Stages from text columns with weights to the column `features`."""
+def vectorize(
+    weights: Mapping[str, int],
+    num_features: int = 10_000,
+    idf: bool = False,
+    norm: float | None = 2.0,
+    min_df: float = 0.0,
+    max_df: float = 1.0,
+    analyzer: str = "html_standard_stop",
+) -> list:
+    """Stages from text columns with weights to the column `features`.
+
+    Terms are hashed. With bounds on the share of documents a term occurs in, the `num_features` most
+    frequent terms within the bounds make up a vocabulary instead, which Spark holds on the driver.
+    """
     cols = list(weights)
-    stages: list = [
-        TokenWeight(inputCols=cols, outputCol="words", weights=[weights[c] for c in cols], kind="html_standard_stop"),
-        HashingTF(inputCol="words", outputCol="counts", numFeatures=num_features),
-    ]
-    last = "counts"
+    stages: list = [TokenWeight(inputCols=cols, outputCol="words", weights=[weights[c] for c in cols], kind=analyzer)]
+    if min_df > 0 or max_df < 1:
+        stages.append(CountVectorizer(inputCol="words", outputCol="counts", vocabSize=num_features, minDF=min_df, maxDF=max_df))
+    else:
+        stages.append(HashingTF(inputCol="words", outputCol="counts", numFeatures=num_features))
     if idf:
-        stages.append(IDF(inputCol=last, outputCol="tfidf"))
-        last = "tfidf"
+        stages.append(IDF(inputCol="counts", outputCol="tfidf"))
     if norm:
-        stages.append(Normalizer(inputCol=last, outputCol="features", p=norm))
+        stages.append(Normalizer(inputCol="tfidf" if idf else "counts", outputCol="features", p=norm))
     else:
         stages[-1].setOutputCol("features")
     return stages
 
 
+def field_classifier(kind: str, weights: Mapping[str, int], labels: Sequence[str], idf: bool = True, norm: float | None = 2.0, **params) -> Pipeline:
+    """Classifier over several weighted text columns; `params` go to `vectorize` where it knows them, else
+    to the classifier."""
+    known = {k: params.pop(k) for k in ("num_features", "min_df", "max_df", "analyzer") if k in params}
+    stages = vectorize(weights, idf=idf, norm=norm, **known)
+    stages.append(classifier_stage(kind, featuresCol="features", **params))
+    stages.append(IndexToString(inputCol="prediction", outputCol="predicted_label", labels=list(labels)))
+    return Pipeline(stages=stages)
+
+
 def label_index(df: DataFrame, col: str, out: str = "label"):
     """Fitted indexer: labels by frequency, the most frequent first, ties by name."""
     return StringIndexer(inputCol=col, outputCol=out, stringOrderType="frequencyDesc", handleInvalid="skip").fit(df)

@@ -46,7 +46,7 @@ def boost_text(doc_id: ColumnLike, weight: ColumnLike) -> Column:
 def parse_boosts(df: DataFrame, col: str) -> DataFrame:
     """Add `boost_doc`, `boost_weight` and `rejected` (true where either part is not found)."""
     doc = F.nullif(F.regexp_extract(col, "v='(\\w+)", 1), F.lit(""))
-    weight = F.nullif(F.regexp_extract(col, "(\\d+\\.\\d+)\\)", 1), F.lit("")).try_cast("double")
+    weight = F.nullif(F.regexp_extract(col, "(\\d+(?:\\.\\d+)?)\\)", 1), F.lit("")).try_cast("double")
     return df.withColumns({"boost_doc": doc, "boost_weight": weight, "rejected": doc.isNull() | weight.isNull()})
 
 

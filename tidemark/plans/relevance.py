@@ -94,7 +94,7 @@ def r06(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = signals.boost_text("doc_id", "weight")
     # two of the queries have boosts that lack a part
     broken = F.when(F.col("query") == "q3", F.replace(text, F.lit("v='"), F.lit("v=")))
-    broken = broken.when(F.col("query") == "q4", F.replace(text, F.lit("."), F.lit(""))).otherwise(text)
+    broken = broken.when(F.col("query") == "q4", F.replace(text, F.lit(".0)"), F.lit("x)"))).otherwise(text)
     return signals.parse_boosts(_weights(spark, sf_dir).withColumn("boost", broken), "boost").drop("boost", "weight")
 
 
