@@ -92,28 +92,25 @@ def lexicon_tag(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, m
     A token takes the tag of the longest phrase that covers it, the earliest of equally long ones, and O
     without any. Phrases are lower-case tokens joined by single blanks, each with one tag.
 
-    Spans of one to `max_words` tokens are looked up by a join; Spark broadcasts a lexicon that is below
-    its size limit. The spans that hit are few; they are laid over the tokens by (id, pos), a key that
-    spreads even one endless document over all tasks.
+    Each token is joined to the lexicon by the first word of a phrase, and the tokens ahead decide if the
+    rest fits; Spark broadcasts a lexicon that is below its size limit. The phrases found are few; they are
+    laid over the tokens by (id, pos), a key that spreads even one endless document over all tasks.
     """
     doc = df.select(id_col, tokens(text_col).alias("_tokens"))
-    count = F.size("_tokens")
-
-    def spans(size: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda at: at + size - 1 <= count)
-        return F.transform(
-            starts,
-            lambda at: F.struct(
-                at.alias("at"), F.lit(size).alias("size"), F.array_join(F.slice("_tokens", at, size), " ").alias("phrase")
-            ),
-        )
-
+    phrases = lexicon.select("tag", F.split("phrase", " ").alias("_words")).select(
+        "tag", "_words", F.get("_words", F.lit(0)).alias("_first"), F.size("_words").alias("_size")
+    )
+    starts = F.transform(
+        "_tokens",
+        lambda token, at: F.struct(token.alias("_first"), at.alias("_at"), F.slice("_tokens", at + 1, max_words).alias("_ahead")),
+    )
     hits = (
-        doc.select(id_col, F.inline_outer(F.concat(*[spans(size) for size in range(1, max_words + 1)])))
-        .join(lexicon.select("phrase", "tag"), "phrase")
-        .select(id_col, "at", "size", "tag", F.explode(F.sequence(F.col("at") - 1, F.col("at") + F.col("size") - 2)).alias("pos"))
+        doc.select(id_col, F.inline_outer(starts))
+        .join(phrases, "_first")
+        .where(F.slice("_ahead", F.lit(1), F.col("_size")) == F.col("_words"))
+        .select(id_col, "_at", "_size", "tag", F.explode(F.sequence(F.col("_at"), F.col("_at") + F.col("_size") - 1)).alias("pos"))
         .groupBy(id_col, "pos")
-        .agg(F.min_by("tag", F.struct(-F.col("size"), "at")).alias("tag"))
+        .agg(F.min_by("tag", F.struct(-F.col("_size"), "_at")).alias("tag"))
     )
     # outer forms: the plain ones make Spark split every text once more, to see if it is empty
     words = doc.select(id_col, F.posexplode_outer("_tokens").alias("pos", "token")).where(F.col("token").isNotNull())

@@ -358,7 +358,7 @@ def n05_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: read, tag, JSON per document, SQL over `_input`, parse and rename, write."""
 
     def tag(df: DataFrame) -> DataFrame:
-        known = df.where(F.col("text").isNotNull()).select("doc_id", "text")
+        known = readers.spread(df.where(F.col("text").isNotNull()).select("doc_id", "text"), "doc_id")
         tagged = entities.lexicon_tag(known, "doc_id", "text", entities.lexicon_frame(spark, LEXICON))
         return known.join(entities.entities_by_document(tagged, "doc_id"), "doc_id", "left")
 
