@@ -8,11 +8,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions.scalars import hash_bucket
 from tidemark.functions.text import tokens
 from tidemark.operators import models
 from tidemark.plans import bindings as b
 from tidemark.plans.registry import query
-from tidemark.scratch import fresh_path
+from tidemark.scratch import fresh_path, materialize
 
 
 @query(
@@ -76,9 +77,6 @@ _PREDICTED = """CASE WHEN CAST(('0x' || substr(md5('guess:' || doc_id), 1, 8)) A
 
 
 def _saved_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.functions.scalars import hash_bucket
-    from tidemark.scratch import materialize
-
     guess = F.when(hash_bucket("doc_id", 100, "guess") < 80, F.col("lang")).otherwise("en")
     return materialize(b.documents(spark, sf_dir).select("doc_id", "lang", guess.alias("predicted")), "predictions")
 
