@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, ngram_join, sharding, substrings
+from tidemark.llm import bpe, decontaminate, ngram_join, sharding, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +90,22 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, min(b) AS component_id FROM docs LE
 GROUP BY doc_id, n""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(_table(spark, sf_dir, "documents"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_register("op10_lexicon_bpe")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = bpe.read_rules(tokenizer_path())
+    lexicon = bpe.build_lexicon(documents, "text", rules)
+    encoded = bpe.encode(documents, lexicon, rules, decoded=True)
+    return encoded.select(
+        "doc.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
