@@ -12,6 +12,7 @@ Encoding a word takes many merges, and few words make up most of a corpus. So:
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import mmap
@@ -30,7 +31,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import pick
+from tidemark.llm.frames import pick, share
 
 #: Words in the lexicon; it takes some tens of bytes for each.
 LEXICON = 1 << 16
@@ -309,10 +310,10 @@ class Codec:
 
 def word_counts(documents: DataFrame, text: str, rules: Rules) -> DataFrame:
     """word (UTF-8) and n, its number of occurrences in all documents."""
-    shared = documents.sparkSession.sparkContext.broadcast(rules)
+    shared = share(documents.sparkSession, rules)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = shared.value.codec()
+        codec = shared().codec()
         pieces: Counter[str] = Counter()
 
         def flush() -> pa.RecordBatch:
@@ -345,14 +346,11 @@ def build_lexicon(documents: DataFrame, text: str, rules: Rules, size: int = LEX
 def encode(documents: DataFrame, lexicon: bytes, rules: Rules, text: str = "text", decoded: bool = False) -> DataFrame:
     """Every row of documents as doc (a struct of its columns, so no name clashes) with ids, a list of ints, and on demand decoded, the
     text that decoding these ids gives. Null and empty texts have no ids and decode to the empty text."""
-    import hashlib
-
-    context = documents.sparkSession.sparkContext
-    shared, digest = context.broadcast((rules, lexicon)), hashlib.sha256(lexicon).hexdigest()[:16]
+    shared, digest = share(documents.sparkSession, (rules, lexicon)), hashlib.sha256(lexicon).hexdigest()[:16]
     rows = documents.select(F.struct(*(f"`{c}`" for c in documents.columns)).alias("doc"), F.col(f"`{text}`").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, content = shared.value
+        own, content = shared()
         codec = own.codec(map_lexicon(content, digest))
         for batch in batches:
             column = batch.column(1)
@@ -369,11 +367,11 @@ def encode(documents: DataFrame, lexicon: bytes, rules: Rules, text: str = "text
 
 def decode(encoded: DataFrame, rules: Rules, ids: str = "ids") -> DataFrame:
     """Every row as doc (a struct of its columns) with decoded; a null list decodes to the empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(rules)
+    shared = share(encoded.sparkSession, rules)
     rows = encoded.select(F.struct(*(f"`{c}`" for c in encoded.columns)).alias("doc"), F.col(f"`{ids}`").alias("ids"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = shared.value.codec()
+        codec = shared().codec()
         for batch in batches:
             texts = [codec.decode(x.as_py() or ()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc", "decoded"])

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import Any
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.scratch import materialize
 
 
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast a value with its classes, so that they need not be installed on the executors. Call the result inside a task."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
 def text_key(text: Column | str) -> Column:
     """16 bytes that equal texts share; null counts as empty."""
     return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))))

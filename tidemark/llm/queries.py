@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, ngram_join, sharding, substrings
+from tidemark.llm import bpe, decontaminate, ngram_join, sharding, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +57,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register("op5_compression")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, _table(spark, sf_dir, "labels"), where=~toxicity.held_out(F.col("doc_id")))
+    return toxicity.score(documents, model).select(
+        "doc.doc_id", toxicity.held_out(F.col("doc.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 _WORDS6 = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 
