@@ -6,11 +6,11 @@ the rarer first; two sets that link must then share one of the first n - ceil(pe
 1. All shingles of all documents are counted in a table of fixed size (by their top bits), which gives the order. Any order is right;
    one by rarity keeps the lists of documents per shingle short.
 2. Documents with equal sets are one class, and classes with equal prefixes and size one group: its prefix is joined once, for all.
-3. Rounds. In every list of a shingle, groups and members meet one head, not each other, so candidates grow with the lists and not
-   with their squares. Candidates that pass the bounds on size and on position are verified on whole sets. What is linked
-   already needs no further pair: links are reported as components.
-4. The rest. Pairs of a list that are still in different components are all verified, group pairs first by their bounds, then their members.
-   So no link between different texts is lost.
+3. Heads. In every list of a shingle all groups meet a few heads, and members meet their group's head, so candidates grow with the
+   lists and not with their squares. Candidates that pass the bounds on size and on position are verified on whole sets. What
+   is linked already needs no further pair: links are reported as components.
+4. The rest. Pairs of a list that are then in different components are all verified: pairs of groups by the bounds, and those that
+   pass expanded to their members. So no link between different texts is lost.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from tidemark.scratch import materialize
 #: The counters: 2**COUNTER_BITS, in chunks of 2**16.
 COUNTER_BITS = 22
 FILTER_BITS = 24
-#: Rounds with heads before the rest is compared pair by pair.
-ROUNDS = 3
+#: Heads of a list: the smallest id, and others by so many hashes.
+HEADS = 2
 
 
 def shingle_sets(found: W.Words, size: int) -> Iterator[np.ndarray]:
@@ -114,7 +114,7 @@ def prefixes(documents: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def whole_sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """set_id and members, the whole set, for the given nodes (set_id, and doc_id of a document that has it)."""
+    """set_id and members, the whole set, of the documents with the doc_id of a node; a few others may come along, and repeats."""
     bits = documents.sparkSession.sparkContext.broadcast(bit_filter(nodes.select(F.xxhash64("doc_id").alias("h")), "h", FILTER_BITS))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +126,7 @@ def whole_sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                 members = W.lists(W.signed(np.concatenate(sets)), np.array([len(own) for own in sets]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), members], names=["set_id", "members"])
 
-    rows = documents.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(gather, "set_id binary, members array<long>")
-    return rows.join(nodes.select("set_id"), "set_id", "leftsemi").dropDuplicates(["set_id"])
+    return documents.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(gather, "set_id binary, members array<long>")
 
 
 def _bounds(percent: int) -> Column:
@@ -139,73 +138,70 @@ def _bounds(percent: int) -> Column:
     return (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent) & (F.least(F.col("nx") - F.col("ix"), F.col("ny") - F.col("iy")) >= need)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose whole sets link, as (a, b)."""
+def _verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (x, y) whose whole sets link, as (a, b). Sets are made again for the documents of these pairs only."""
+    pairs = materialize(pairs.distinct(), "shingle-pairs")
+    nodes = pairs.select(F.explode(F.array("x", "y")).alias("set_id")).distinct()
+    sets = materialize(whole_sets(documents, classes.join(nodes, "set_id", "leftsemi"), size), "shingle-sets")
     left, right = (sets.select(F.col("set_id").alias(c), F.col("members").alias(f"m{c}")) for c in "xy")
-    shared = F.size(F.array_intersect("mx", "my"))
-    return (
-        pairs.select("x", "y").join(left, "x").join(right, "y")
-        .select("x", "y", shared.alias("shared"), (F.size("mx") + F.size("my")).alias("both"))
-        .where(F.col("shared") * 100 >= (F.col("both") - F.col("shared")) * percent)
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+    linked = (
+        pairs.join(left, "x").join(right, "y")
+        .select("x", "y", F.size(F.array_intersect("mx", "my")).alias("shared"), (F.size("mx") + F.size("my")).alias("total"))
+        .where(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent)
     )
+    return materialize(linked.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "shingle-links")
 
 
-def _labelled(entries: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links, "shingle-components").withColumnRenamed("id", "node")
-    return entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _entries(classes: DataFrame) -> DataFrame:
+    return classes.select(F.col("set_id").alias("node"), "doc_id", "n", F.posexplode("prefix").alias("i", "token"))
 
 
 def verified_links(documents: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Verified links (a, b) between sets which connect every component; classes has doc_id, n, set_id, prefix_id, prefix."""
     groups = classes.groupBy("n", "prefix_id").agg(F.min(F.struct("doc_id", "set_id")).alias("head"), F.count("*").alias("rows"))
-    members = classes.select("doc_id", "n", "set_id", "prefix_id").join(groups.where("rows > 1"), ["n", "prefix_id"]).where("set_id <> head.set_id")
-    members = materialize(members.select("n", "doc_id", F.col("set_id").alias("x"), F.col("head.set_id").alias("y")), "shingle-members")
-
-    heads = classes.join(members.select(F.col("x").alias("set_id")), "set_id", "leftanti")
-    entries = heads.select(F.col("set_id").alias("node"), "doc_id", "n", F.posexplode("prefix").alias("i", "token"))
-    listed = entries.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
-    entries = materialize(entries.join(listed, "token"), "shingle-entries")
-
-    nodes = entries.select(F.col("node").alias("set_id"), "doc_id").union(members.select("x", "doc_id"))
-    nodes = nodes.union(groups.where("rows > 1").select("head.set_id", "head.doc_id")).distinct()
-    sets = materialize(whole_sets(documents, nodes, size), "shingle-sets")
-
-    links = materialize(_verified(members, sets, percent), "shingle-links")
-    # a member that does not link with its group's head gets entries of its own
-    loose = members.join(links.select(F.col("a").alias("x")).distinct(), "x", "leftanti").select(F.col("x").alias("set_id"))
-    own = classes.join(loose, "set_id").select(F.col("set_id").alias("node"), "doc_id", "n", F.posexplode("prefix").alias("i", "token"))
-    heirs = classes.join(members.select(F.col("y").alias("set_id")).distinct(), "set_id").select(F.col("set_id").alias("node"), "doc_id", "n", F.posexplode("prefix").alias("i", "token"))
-    entries = materialize(entries.unionByName(own).unionByName(heirs).distinct(), "shingle-entries")
-
-    for turn in range(ROUNDS):
-        labelled = _labelled(entries, links)
-        order = F.col("doc_id") if turn == 0 else F.xxhash64("node", F.lit(turn))
-        first = (
-            labelled.groupBy("token").agg(
-                F.min_by(F.struct("node", "n", "i", "component"), F.struct(order, "node")).alias("head"), (F.min("component") < F.max("component")).alias("open")
-            ).where("open")
-        )
-        pairs = labelled.join(first, "token").where("component <> head.component").select(
-            F.col("node").alias("x"), F.col("n").alias("nx"), F.col("i").alias("ix"), F.col("head.node").alias("y"), F.col("head.n").alias("ny"), F.col("head.i").alias("iy")
-        )
-        found = materialize(_verified(pairs.where(_bounds(percent)).select("x", "y").distinct(), sets, percent), "shingle-links")
-        links = links.union(found)
+    members = classes.select("n", "prefix_id", "set_id").join(groups.where("rows > 1"), ["n", "prefix_id"]).where("set_id <> head.set_id")
+    members = materialize(members.select(F.col("set_id").alias("x"), F.col("head.set_id").alias("y")), "shingle-members")
+
+    entries = _entries(classes.join(members.select(F.col("x").alias("set_id")), "set_id", "leftanti"))
+    listed = entries.groupBy("token").agg(
+        F.count("*").alias("rows"), F.min(F.struct("doc_id", "node", "n", "i")).alias("h0"),
+        *(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("doc_id"), "node", "n", "i")).alias(f"h{k}") for k in range(1, HEADS + 1)),
+    ).where("rows > 1")
+    heads = [f"h{k}" for k in range(HEADS + 1)]
+    entries = materialize(
+        entries.join(listed.select("token", F.array(*(F.struct(*(F.col(f"{h}.{c}").alias(c) for c in ("node", "n", "i"))) for h in heads)).alias("heads")), "token"),
+        "shingle-entries",
+    )
+    near = entries.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("i").alias("ix"), F.explode(F.array_distinct("heads")).alias("h")).select(
+        "x", "nx", "ix", F.col("h.node").alias("y"), F.col("h.n").alias("ny"), F.col("h.i").alias("iy")
+    ).where("x <> y").where(_bounds(percent)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    links = _verified(members.union(near), documents, classes, size, percent)
+
+    # a member that does not link with its group's head stands for itself from now on, and so needs the entries of its group
+    followers = materialize(members.join(links.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "leftsemi"), "shingle-followers")
+    apart = members.join(followers, ["x", "y"], "leftanti")
+    split = classes.join(apart.select(F.explode(F.array("x", "y")).alias("set_id")).distinct(), "set_id")
+    entries = entries.drop("heads").unionByName(_entries(split)).distinct()
+    found = components(links, "shingle-components").withColumnRenamed("id", "node")
+    labelled = materialize(entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "shingle-labelled")
 
     # what is still apart: in each list, everything outside its largest component against all that is in another one
-    labelled = materialize(_labelled(entries, links), "shingle-labelled")
     largest = labelled.groupBy("token", "component").agg(F.count("*").alias("rows")).groupBy("token").agg(
-        F.max_by("component", F.struct("rows", "component")).alias("largest"), F.count("*").alias("parts")
-    ).where("parts > 1")
-    open_lists = materialize(labelled.join(largest, "token"), "shingle-open")
-    x = open_lists.where("component <> largest").select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("i").alias("ix"), F.col("component").alias("cx"))
-    y = open_lists.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("i").alias("iy"), F.col("component").alias("cy"))
-    near = x.join(y, (x["token"] == y["token"]) & (F.col("cx") != F.col("cy")) & _bounds(percent)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    # group pairs that passed the bounds are expanded to their members
-    followers = members.join(links.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "leftsemi").select(F.col("y").alias("node"), F.col("x").alias("member"))
-    rest = near.join(followers.withColumnsRenamed({"node": "x", "member": "xx"}), "x", "left").join(followers.withColumnsRenamed({"node": "y", "member": "yy"}), "y", "left")
-    rest = rest.select(F.explode(F.array_distinct(F.array("x", F.coalesce("xx", "x")))).alias("x"), "y", "yy").select("x", F.explode(F.array_distinct(F.array("y", F.coalesce("yy", "y")))).alias("y")).distinct()
-    return links.union(_verified(rest, sets, percent))
+        F.max(F.struct("rows", "component")).alias("largest"), F.count("*").alias("parts")
+    ).where("parts > 1").select("token", "largest.component")
+    x = labelled.join(largest.withColumnRenamed("component", "largest"), "token").where("component <> largest").select(
+        "token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("i").alias("ix"), F.col("component").alias("cx")
+    )
+    y = labelled.select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("i").alias("iy"), F.col("component").alias("cy"))
+    rest = x.join(y, (x["token"] == y["token"]) & (F.col("cx") != F.col("cy")) & _bounds(percent)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    # pairs of groups that passed the bounds are expanded to their members; those verified by now need not be looked at again
+    for side in "xy":
+        own = followers.select(F.col("y").alias(side), F.col("x").alias("member"))
+        rest = rest.join(own, side, "left").select(
+            F.explode(F.array_distinct(F.array(side, F.coalesce("member", side)))).alias(side), "y" if side == "x" else "x"
+        )
+    rest = rest.join(materialize(near.distinct(), "shingle-near"), ["x", "y"], "leftanti")
+    return links.union(_verified(rest, documents, classes, size, percent))
 
 
 def link_components(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
