@@ -80,7 +80,7 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = substrings.remove_repeats(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return rows.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -34,7 +34,7 @@ ANCHOR = 7
 #: Occurrences from which on an anchor's windows are dealt out one by one.
 HOT = 20_000
 #: Windows compiled into one automaton, about; one anchor's windows always share one.
-SHARD_WINDOWS = 50_000
+SHARD_WINDOWS = 20_000
 FILTER_BITS = 26
 
 
@@ -80,11 +80,12 @@ def repeated_segments(rows: DataFrame, first: DataFrame, width: int) -> DataFram
 
     def slices(batch: pa.RecordBatch) -> Iterator[tuple]:
         """The texts that are (but for a few others) the first of their equals."""
-        keep = np.flatnonzero(in_filter(own.value, batch.column("row_hash").to_numpy().view(np.uint64)))
-        batch = batch.take(pa.array(keep))
-        for row, end, data, offsets in W.slices(batch.column("text")):
-            found = W.find(data, offsets)
-            yield batch.slice(row, end - row), data, found, *_segments(found, width, ANCHOR)
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            part = part.take(pa.array(np.flatnonzero(in_filter(own.value, part.column("row_hash").to_numpy().view(np.uint64)))))
+            for row, end, data, offsets in W.slices(part.column("text")):
+                found = W.find(data, offsets)
+                yield part.slice(row, end - row), data, found, *_segments(found, width, ANCHOR)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,9 +201,9 @@ def repeated_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     return first.join(spans, ["row_id", "doc_id"], "left").where("copies OR begins IS NOT NULL")
 
 
-def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """Every row of documents as doc (a struct of all its columns, so no name clashes), n_words, n_removed and kept, the words that
-    stay, joined by one space.
+def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, carry: list[str] | None = None) -> DataFrame:
+    """Every row of documents as doc (a struct of its columns, or of those named by carry, so no name clashes), n_words, n_removed and
+    kept, the words that stay, joined by one space.
 
     A later row with the text of an earlier one loses all its words, if they make up a window at all; rows with the same id and text
     are one document. Null and empty texts keep the empty text, and rows without an id all their words.
@@ -212,15 +213,17 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         bit_filter(spans.select(F.xxhash64("row_id").alias("h")), "h", FILTER_BITS - 2)
     )
     rows = documents.select(
-        F.struct(*(f"`{c}`" for c in documents.columns)).alias("doc"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+        F.struct(*(f"`{c}`" for c in carry or documents.columns)).alias("doc"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
         text_key(F.col(f"`{text}`")).alias("row_id"), F.col(f"`{text}`").alias("text"),
     ).withColumn("row_hash", F.xxhash64("row_id"))
     doc = f"doc {rows.schema['doc'].dataType.simpleString()}"
 
     def choose(batches: Iterator[pa.RecordBatch], hit: bool) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = in_filter(bits.value, batch.column("row_hash").to_numpy().view(np.uint64))
-            yield batch.take(pa.array(np.flatnonzero(found == hit)))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                found = in_filter(bits.value, batch.column("row_hash").to_numpy().view(np.uint64))
+                yield batch.take(pa.array(np.flatnonzero(found == hit)))
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
