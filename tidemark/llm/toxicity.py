@@ -7,9 +7,8 @@ ordinary documents. A document's evidence is the sum over its whole text of the
 logistic curve over evidence and length, fitted on the same documents, turns it into a score.
 
 Only fitting takes a sample: at most `TOXIC` toxic and `ORDINARY` ordinary labelled documents, those with the least hashes of their
-ids. Odd and even hashes are held apart: dictionaries are trained on one half and calibrated on the other. The toxic dictionary is trained on
-the windows of toxic text that the ordinary sample does not have and the ordinary dictionary cannot shorten, for the rest is the same
-in both. Scoring takes every document whole.
+ids. The toxic dictionary is trained on the windows that several toxic texts have, the ordinary sample does not have and the ordinary
+dictionary cannot shorten, for the rest is the same in both. Scoring takes every document whole.
 """
 
 from __future__ import annotations
@@ -35,6 +34,10 @@ LEVEL = 19
 ORDINARY_BYTES, TOXIC_BYTES = 1_000_000, 16_384
 #: Least gain a window's lengths must stand for (a log ratio) to count as evidence.
 WORTH = 1.5
+#: Evidence beyond this changes nothing.
+MOST = 100.0
+#: Toxic documents that must have a window before it may enter the toxic dictionary, so that it holds no single document by heart.
+SEVERAL = 3
 CACHE = 1 << 18
 
 
@@ -94,13 +97,12 @@ class Scorer(dict):
     def __missing__(self, window: str) -> float:
         if len(self) >= CACHE:
             self.clear()
-        worth = self.model.worth.get(self.lengths(window), 0.0)
-        self[window] = worth = worth if worth > WORTH else 0.0
+        self[window] = worth = self.model.worth.get(self.lengths(window), 0.0)
         return worth
 
     def features(self, text: str | None) -> tuple[float, float, float]:
         found = windows(text)
-        return 1.0, min(sum(map(self.__getitem__, found)), 100.0), float(np.log1p(len(found)))
+        return 1.0, min(sum(map(self.__getitem__, found)), MOST), float(np.log1p(len(found)))
 
     def score(self, text: str | None) -> float:
         return float(1 / (1 + np.exp(-np.dot(self.features(text), self.model.curve))))
@@ -119,49 +121,43 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def train(samples: list[tuple[str | None, int, bool]], shares: dict[int, float] | None = None) -> Model:
-    """Fit on (text, label, half) samples; shares gives each label's weight, so that a sample with other shares than the corpus does not
-    shift the scores. Without samples of both labels every text scores the share of label 1, or 0."""
-    labels = {y for _, y, _ in samples}
-    if labels != {0, 1}:
-        return Model(b"", b"", {}, (30.0 if labels == {1} else -30.0, 0.0, 0.0))
-    halves = {half for _, _, half in samples}
-    first = [(windows(t), y) for t, y, half in samples if half or len(halves) == 1]
-    if {y for _, y in first} != {0, 1}:  # too few to hold apart
-        first = [(windows(t), y) for t, y, _ in samples]
-    plain = [w for w, y in first if y == 0]
+def _dictionaries(samples: list[tuple[list[str], int]]) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary of labelled documents, given by their windows."""
+    plain = [found for found, y in samples if not y]
     ordinary = _train([" ".join(w[i : i + 8]).encode("utf-8", "replace") for w in plain for i in range(0, len(w), 8)], ORDINARY_BYTES, 50)
-    common = set().union(*plain)
-    press = _compressor(ordinary)
+    common, press = set().union(*plain), _compressor(ordinary)
     empty = len(press.compress(TAIL))
+    seen = Counter(w for found, y in samples if y for w in set(found) - common)
     novel: dict[str, bytes] = {}
-    for found, y in first:
-        for w in found if y else ():
-            if w not in common and w not in novel:
-                framed = _framed(w)
-                # what the ordinary dictionary leaves about as long as it was
-                novel[w] = framed if len(press.compress(framed + TAIL)) - empty >= min(5, len(framed)) else b""
-    toxic = _train([b"".join(novel[w] for w in dict.fromkeys(found) if w in novel) for found, y in first if y], TOXIC_BYTES, 32)
-
-    model = Model(ordinary, toxic, {}, (0.0, 0.0, 0.0))
-    rest = [(windows(t), y) for t, y, half in samples if not half]
-    if {y for _, y in rest} != {0, 1}:
-        rest = [(windows(t), y) for t, y, _ in samples]
-    scorer, pairs = model.scorer(), {}
+    for w in (w for w, n in seen.items() if n >= SEVERAL):
+        framed = _framed(w)
+        # what the ordinary dictionary leaves about as long as it was
+        novel[w] = framed if len(press.compress(framed + TAIL)) - empty >= min(5, len(framed)) else b""
+    toxic = [b"".join(novel[w] for w in dict.fromkeys(found) if w in novel) for found, y in samples if y]
+    return ordinary, _train(toxic, TOXIC_BYTES, 32)
+
+
+def train(samples: list[tuple[str | None, int]], shares: dict[int, float] | None = None) -> Model:
+    """Fit on (text, label) samples; shares gives each label's weight, so that a sample with other shares than the corpus does not
+    shift the scores. Without samples of both labels every text scores the share of label 1, or 0."""
+    labels = {y for _, y in samples}
+    if labels != {0, 1}:
+        return Model(b"", b"", {}, (30.0 if labels == {1} else -30.0, 0.0, 0.0))
+    cut = [(windows(t), y) for t, y in samples]
+    dictionaries = _dictionaries(cut)
+    scorer = Scorer(Model(*dictionaries, {}, (0.0, 0.0, 0.0)))
+    pairs = {w: scorer.lengths(w) for w in set().union(*(found for found, _ in cut))}
+    looked = [(Counter(map(pairs.__getitem__, found)), len(found), y) for found, y in cut]
     counts: tuple[Counter, Counter] = (Counter(), Counter())
-    for found, y in rest:
-        for w, n in Counter(found).items():
-            pair = pairs.get(w)
-            if pair is None:
-                pair = pairs[w] = scorer.lengths(w)
-            counts[y][pair] += n
+    for seen, _, y in looked:
+        counts[y].update(seen)
     total = [sum(c.values()) + 100 for c in counts]
-    model.worth = {k: float(np.log((counts[1][k] + 1) / total[1]) - np.log((counts[0][k] + 1) / total[0])) for k in {*counts[0], *counts[1]}}
-    scorer = model.scorer()
-    x = np.array([scorer.features(" ".join(found)) for found, _ in rest])
-    y = np.array([label for _, label in rest], float)
-    model.curve = tuple(_logistic(x, y, np.array([(shares or {}).get(int(v), 1.0) for v in y])))
-    return model
+    worth = {k: float(np.log((counts[1][k] + 1) / total[1]) - np.log((counts[0][k] + 1) / total[0])) for k in {*counts[0], *counts[1]}}
+    worth = {k: v for k, v in worth.items() if v > WORTH}
+    x = np.array([(1.0, min(sum(worth.get(k, 0.0) * n for k, n in seen.items()), MOST), np.log1p(n)) for seen, n, _ in looked])
+    y = np.array([label for _, _, label in looked], float)
+    curve = _logistic(x, y, np.array([(shares or {}).get(int(v), 1.0) for v in y]))
+    return Model(*dictionaries, worth, tuple(curve))
 
 
 def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", where: Column | None = None) -> Model:
@@ -180,12 +176,12 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
         part = marked.where(F.col("y") == y).orderBy("h", "doc_id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "y", (F.col("h") % 2 == 0).alias("half"), "h", F.crc32(F.coalesce("text", F.lit(""))).alias("c")).collect()  # the bound above
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "y", "h", F.crc32(F.coalesce("text", F.lit(""))).alias("c")).collect()  # the bound above
     rows.sort(key=lambda r: (r["h"], r["c"]))
     taken = Counter(r["y"] for r in rows)
     shares = {y: total[y] / taken[y] for y in taken}
     least = min(shares.values(), default=1.0)
-    return train([(r["text"], r["y"], r["half"]) for r in rows], {y: s / least for y, s in shares.items()})
+    return train([(r["text"], r["y"]) for r in rows], {y: s / least for y, s in shares.items()})
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
