@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, ngram_join, sharding, substrings, toxicity
+from tidemark.llm import bpe, chat, decontaminate, ngram_join, sharding, substrings, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,6 +101,37 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(_table(spark, sf_dir, "documents"))
 
 
+@_register("op7_role_machine", r"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (SELECT *, length(text) + length(regexp_replace(text, '[^<\[|]', '', 'g')) + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 15
+  WHEN 'assistant' THEN 9 ELSE 11 + length(role) + length(regexp_replace(role, '[^<\[|]', '', 'g')) END AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars FROM sized GROUP BY conv_id""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.conversations_read_back(chat.format_turns(turns)).drop("in_order")
+
+
+@_register("op9_small_worlds", """
+WITH RECURSIVE ok AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+  AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a), c AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
