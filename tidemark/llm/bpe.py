@@ -64,11 +64,12 @@ class Rules:
         self.suffix = model["end_of_word_suffix"]
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
-        self.tokens = {i: t for t, i in {**self.vocab, **self.special}.items()}
+        named = {i: t for t, i in {**self.vocab, **self.special}.items()}
+        self.tokens = [named.get(i) for i in range(max(named) + 1)]
         pairs = (p.split(" ") if isinstance(p, str) else p for p in model["merges"])
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[int, int] = {}
         for rank, (a, b) in enumerate(pairs):
-            self.merges[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+            self.merges[self.vocab[a] << 20 | self.vocab[b]] = rank << 20 | self.vocab[a + b]
         letters = byte_letters()
         self.inner = [self.vocab.get(x) for x in letters]
         self.last = [self.vocab.get(x + self.suffix) for x in letters]
@@ -79,38 +80,51 @@ class Rules:
         return Codec(self, lexicon)
 
 
-def merge(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Join neighbours, always the pair of least rank and of those the leftmost, until none can be joined."""
+_NONE = 1 << 62  # above any rank
+
+
+def merge(symbols: list[int], merges: dict[int, int]) -> list[int]:
+    """Join neighbours, always the pair of least rank and of those the leftmost, until none can be joined.
+
+    `merges` leads from a pair, as first << 20 | second, to its rank and result, as rank << 20 | joined.
+    """
     if len(symbols) > 64:
         return _merge_long(symbols, merges)
-    while len(symbols) > 1:
-        best = min(((known[0], i, known[1]) for i, pair in enumerate(zip(symbols, symbols[1:], strict=False)) if (known := merges.get(pair))), default=None)
-        if best is None:
+    get = merges.get
+    ranks = [get(a << 20 | b, _NONE) for a, b in zip(symbols, symbols[1:], strict=False)]
+    while ranks:
+        best = min(ranks)
+        if best == _NONE:
             break
-        _, i, joined = best
-        symbols[i : i + 2] = [joined]
+        i = ranks.index(best)
+        joined = symbols[i] = best & 0xFFFFF
+        del symbols[i + 1], ranks[i]
+        if i:
+            ranks[i - 1] = get(symbols[i - 1] << 20 | joined, _NONE)
+        if i < len(ranks):
+            ranks[i] = get(joined << 20 | symbols[i + 1], _NONE)
     return symbols
 
 
-def _merge_long(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+def _merge_long(symbols: list[int], merges: dict[int, int]) -> list[int]:
     """The same with a heap and linked neighbours, for words of any length."""
     n = len(symbols)
     after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-    heap: list[tuple[int, int, int, int, int]] = []
+    heap: list[tuple[int, int, int, int]] = []
 
     def offer(i: int) -> None:
         j = after[i]
-        if j >= 0 and (known := merges.get((symbols[i], symbols[j]))):
-            heapq.heappush(heap, (known[0], i, symbols[i], symbols[j], known[1]))
+        if j >= 0 and (known := merges.get(symbols[i] << 20 | symbols[j])) is not None:
+            heapq.heappush(heap, (known, i, symbols[i], symbols[j]))
 
     for i in range(n - 1):
         offer(i)
     while heap:
-        _, i, a, b, joined = heapq.heappop(heap)
+        known, i, a, b = heapq.heappop(heap)
         j = after[i] if symbols[i] == a else -1
         if j < 0 or symbols[j] != b:
             continue
-        symbols[i], symbols[j] = joined, -1
+        symbols[i], symbols[j] = known & 0xFFFFF, -1
         after[i] = after[j]
         if after[i] >= 0:
             before[after[i]] = i
@@ -288,6 +302,11 @@ class Codec:
         return ids
 
     def encode_piece(self, piece: str) -> list[int]:
+        if piece.isascii():  # most pieces are a word, or a word and one sign
+            if piece.isalpha():
+                return self.encode_word(piece.lower().encode())
+            if piece[:-1].isalpha() and piece[-1] in ",.;:!?":
+                return [*self.encode_word(piece[:-1].lower().encode()), *self.encode_word(piece[-1].encode())]
         out: list[int] = []
         for word in self.words(piece):
             if isinstance(word, int):
@@ -304,8 +323,8 @@ class Codec:
         tokens = self.rules.tokens
         try:
             return " ".join([tokens[i] for i in ids])
-        except KeyError:
-            return " ".join([tokens[i] for i in ids if i in tokens])
+        except (IndexError, TypeError):
+            return " ".join([tokens[i] for i in ids if 0 <= i < len(tokens) and tokens[i] is not None])
 
 
 def word_counts(documents: DataFrame, text: str, rules: Rules) -> DataFrame:
