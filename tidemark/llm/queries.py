@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, ngram_join, sharding, substrings, toxicity, vectors
+from tidemark.llm import bpe, chat, decontaminate, lm, ngram_join, sharding, substrings, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +57,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register("op3_pseudo_likelihood")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(documents, lm.train(documents)).select("doc.doc_id", "n_tokens", "log_likelihood", "per_token")
+
+
 @_register("op5_compression")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
