@@ -21,7 +21,7 @@ def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
 
 def text_key(text: Column | str) -> Column:
     """16 bytes that equal texts share; null counts as empty."""
-    return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))))
+    return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")))
 
 
 def pick(documents: DataFrame, **columns: str) -> DataFrame:

@@ -22,10 +22,10 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import bit_filter, components, in_filter, pick
+from tidemark.llm.frames import bit_filter, components, in_filter, pick, text_key
 from tidemark.scratch import materialize
 
 #: The counters: 2**COUNTER_BITS, in chunks of 2**16.
@@ -85,7 +85,7 @@ def rarity(documents: DataFrame, size: int) -> np.ndarray:
 
 
 def prefixes(documents: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n (size of the set), set_id and prefix_id (16 bytes that equal sets and prefixes share), prefix (the set's first shingles
+    """doc_id, row_id, n (size of the set), set_id and prefix_id (16 bytes that equal sets and prefixes share), prefix (the set's first shingles
     in the order of all, as longs)."""
     level = documents.sparkSession.sparkContext.broadcast(rarity(documents, size))
 
@@ -105,12 +105,13 @@ def prefixes(documents: DataFrame, size: int, percent: int) -> DataFrame:
                     lengths.append(first)
                 prefix = W.lists(W.signed(np.concatenate(heads)), np.array(lengths))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(row, end - row), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(prefix_ids, pa.binary()), prefix],
-                    names=["doc_id", "n", "set_id", "prefix_id", "prefix"],
+                    [batch.column("doc_id").slice(row, end - row), batch.column("row_id").slice(row, end - row), pa.array(n, pa.int64()),
+                     pa.array(ids, pa.binary()), pa.array(prefix_ids, pa.binary()), prefix],
+                    names=["doc_id", "row_id", "n", "set_id", "prefix_id", "prefix"],
                 )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(cut, f"doc_id {kind}, n long, set_id binary, prefix_id binary, prefix array<long>")
+    return documents.select("doc_id", text_key("text").alias("row_id"), "text").mapInArrow(cut, f"doc_id {kind}, row_id binary, n long, set_id binary, prefix_id binary, prefix array<long>")
 
 
 def whole_sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -204,6 +205,19 @@ def verified_links(documents: DataFrame, classes: DataFrame, size: int, percent:
     return links.union(_verified(rest, documents, classes, size, percent))
 
 
+def _grouped(documents: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """doc_id, row_id (the text's key), n, component (a set_id, null for a text without words) of every row, and component_id."""
+    rows = pick(documents, doc_id=doc_id, text=text)
+    heads = materialize(prefixes(rows, size, percent), "shingle-prefixes")
+    classes = heads.where("n > 0").groupBy("n", "set_id", "prefix_id").agg(F.min("doc_id").alias("doc_id"), F.min("prefix").alias("prefix"))
+    classes = materialize(classes, "shingle-classes")
+    found = components(verified_links(rows, classes, size, percent), "shingle-components").withColumnRenamed("id", "set_id")
+    named = classes.select("set_id", "doc_id").join(found, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(smallest, "component").select("set_id", "component", "component_id")
+    return heads.select("doc_id", "row_id", "n", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id")).join(named, "set_id", "left")
+
+
 def link_components(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """One row per row of documents: doc_id, n_shingles, component_id, the smallest doc_id reachable by links.
 
@@ -212,22 +226,23 @@ def link_components(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     same id are taken as they come, each with its own text. Rows without an id count as rows, but no component is named after them.
     Other columns are not read.
     """
-    rows = pick(documents, doc_id=doc_id, text=text)
-    heads = materialize(prefixes(rows, size, percent), "shingle-prefixes")
-    classes = heads.where("n > 0").groupBy("n", "set_id", "prefix_id").agg(F.min("doc_id").alias("doc_id"), F.min("prefix").alias("prefix"))
-    classes = materialize(classes, "shingle-classes")
-    found = components(verified_links(rows, classes, size, percent), "shingle-components").withColumnRenamed("id", "set_id")
-    named = classes.select("set_id", "doc_id").join(found, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "component").select("set_id", "component_id")
-    return heads.select("doc_id", "n", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id")).join(named, "set_id", "left").select(
+    return _grouped(documents, doc_id, text, size, percent).select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of documents, all columns, whose id is the smallest of their component; one row of each id stays, the first by text."""
-    kept = link_components(documents, doc_id, text, size, percent).where("doc_id <=> component_id").select("doc_id").distinct()
-    key = "_".join(["kept_id", *documents.columns])  # a name no column has
-    rows = documents.join(kept.withColumnRenamed("doc_id", key), F.col(f"`{doc_id}`").eqNullSafe(F.col(key)), "leftsemi")
-    return rows
+    """One row, all columns, of each component: the one with the smallest id (rows without an id come last, ties go by the text's key).
+
+    Texts without words link with nothing, so they all stay; rows with the same id and text are one document, of which one row stays.
+    """
+    grouped = _grouped(documents, doc_id, text, size, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_id")).alias("first")
+    kept = grouped.where("component IS NOT NULL").groupBy("component").agg(first).select("first.doc_id", "first.row_id")
+    kept = kept.unionByName(grouped.where("component IS NULL").select("doc_id", "row_id")).distinct()
+    own = "_".join(["kept", *documents.columns])  # names that no column has
+    rows = documents.withColumns({f"{own}_id": F.col(f"`{doc_id}`"), f"{own}_key": text_key(f"`{text}`")})
+    here = kept.select(F.col("doc_id").alias(f"{own}_doc"), F.col("row_id").alias(f"{own}_row"))
+    chosen = rows.join(here, F.col(f"{own}_id").eqNullSafe(F.col(f"{own}_doc")) & (F.col(f"{own}_key") == F.col(f"{own}_row")), "leftsemi")
+    nth = F.row_number().over(Window.partitionBy(f"{own}_id", f"{own}_key").orderBy(F.lit(0)))
+    return chosen.withColumn(f"{own}_nth", nth).where(f"`{own}_nth` = 1").select(*(f"`{c}`" for c in documents.columns))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, lm, ngram_join, sharding, substrings, toxicity, vectors
+from tidemark.llm import bpe, chat, decontaminate, lm, ngram_join, pages, sharding, substrings, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,6 +63,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents, lm.train(documents)).select("doc.doc_id", "n_tokens", "log_likelihood", "per_token")
 
 
+@_register("op4_block_labeller")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "pages")
+    found = pages.extract(table, pages.fit(table), carry=["page_id", "url"])
+    return found.select("doc.page_id", "doc.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @_register("op5_compression")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
