@@ -318,10 +318,11 @@ def _made_up(rng: random.Random, pool: list[str]) -> tuple[str, list[str]]:
 
     article, shown = [], []
     for k in range(rng.randint(1, 12)):
-        kind = rng.choice(("h2", "li", "blockquote", "pre", "td")) if k and rng.random() < 0.2 else "p"
+        kind = rng.choice(("h2", "li", "blockquote", "pre", "td", "figure")) if k and rng.random() < 0.3 else "p"
         body = words(2, 6) if kind == "h2" else text()
         shown.append(body)
-        article.append(f"<{kind}>{body}" + rng.choice(("</" + kind + ">", "" if kind in ("p", "li") else "</" + kind + ">")))
+        around = {"td": "<table><tr>{}</tr></table>", "li": "<ul>{}</ul>"}.get(kind, "{}")
+        article.append(around.format(f"<{kind}>{body}" + rng.choice(("</" + kind + ">", "" if kind in ("p", "li") else "</" + kind + ">"))))
         if rng.random() < 0.08:
             article.append(wrap(sentence(), "div.ad", "aside.promo", "div.share", "div.related", "aside", "div.newsletter"))
     title = words(2, 8)
