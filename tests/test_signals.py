@@ -156,3 +156,10 @@ def test_items_for_users_stay_in_their_block(spark):
     assert not any((r.user_id, r.item) in seen for r in recs)
     als = recommend.recommend_for_users(inter, 3, rank=4, iterations=5).collect()
     assert sum(r.item // 100 == r.user_id % 2 for r in als) / len(als) > 0.95
+
+
+def test_a_variant_without_results_scores_zero(spark):
+    truth = spark.createDataFrame([("q1", "a", 2), ("q2", "b", 1)], "query string, doc_id string, grade int")
+    results = spark.createDataFrame([("v1", "q1", "a", 1), ("v1", "q2", "b", 1), ("v2", "q1", "a", 1)], "variant string, query string, doc_id string, rank int")
+    means = {r.variant: (r.queries, r.recall_at_k) for r in signals.mean_metrics(signals.ranking_metrics(results, truth, 3)).collect()}
+    assert means == {"v1": (2, 1.0), "v2": (2, 0.5)}

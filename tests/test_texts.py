@@ -15,7 +15,7 @@ def parse(spark, *texts):
 
 def test_article(spark):
     row = parse(spark, ARTICLE)[0]
-    assert row.From_txt_en == "Al <al@example>" and row.Subject_txt_en == "Big  news" and row.Sender_txt_en is None
+    assert row.From_txt_en == ["Al <al@example>"] and row.Subject_txt_en == ["Big  news"] and row.Sender_txt_en == []
     assert row.Message_ID_s == "<1@x>" and row.Newsgroups_ss == ["alt.a", "misc.b"]
     assert row.Date_s == "20 Apr 93 16:15:19 GMT" and row.Date_tdt.isoformat() == "1993-04-20T16:15:19"
     assert [(o.name, o.value) for o in row.other_txt] == [("X_Note_a_", "keep ")]
@@ -32,6 +32,20 @@ def test_article_edges(spark):
     assert rows[5].From_txt_en is None
 
 
+def test_repeated_headers_are_kept(spark):
+    row = parse(spark, "From: a\nNewsgroups: x\nDate: 20 Apr 93\nFrom: b \nNewsgroups: y, z\nDate: later\nMessage-ID: <1>\nMessage-ID: <2>\n\nend")[0]
+    assert row.From_txt_en == ["a", "b"] and row.Newsgroups_ss == ["x", "y", "z"]
+    assert row.Date_s == "20 Apr 93" and row.Message_ID_s == "<1>"
+    assert [(o.name, o.value) for o in row.other_txt] == [("Date", "later"), ("Message_ID", "<2>")]
+
+
+def test_phrases_of_any_length(spark):
+    docs = spark.createDataFrame([(1, "new york city hall of the north"), (2, "new york city")], "id long, t string")
+    lex = entities.lexicon_frame(spark, {"new york city hall of": "I-LOC", "new york": "I-ORG"})
+    tags = {(r.id, r.pos): r.tag for r in entities.lexicon_tag(docs, "id", "t", lex).collect()}
+    assert [tags[1, i] for i in range(7)] == ["I-LOC"] * 5 + ["O"] * 2 and [tags[2, i] for i in range(3)] == ["I-ORG", "I-ORG", "O"]
+
+
 def test_article_key(spark):
     df = spark.createDataFrame([("file:/c/sci.med/101", ["x.y"]), ("101", ["x.y", "z"])], "path string, Newsgroups_ss array<string>")
     assert [(r.newsgroup_s, r.id) for r in articles.article_key(df).collect()] == [("sci.med", "sci.med_101"), ("x.y", "x.y_101")]

@@ -11,19 +11,20 @@ from tidemark.functions.types import as_col
 _HEADER = "^[^: \\t]+:"
 # Header fields with a column of their own.
 _TEXT_FIELDS = ("From", "Subject", "Sender")
-_SPECIAL = (*_TEXT_FIELDS, "Message-ID", "Newsgroups", "Date")
+_SINGLE = ("Message-ID", "Date")
+_SPECIAL = (*_TEXT_FIELDS, *_SINGLE, "Newsgroups")
 
 
 def parse_articles(df: DataFrame, text_col: str = "content") -> DataFrame:
     """Split an article at its first line that is not `Name: value` and add its fields.
 
-    Message_ID_s, From_txt_en, Subject_txt_en, Sender_txt_en  trimmed text
-    Newsgroups_ss   list, cut at commas
-    Date_s, Date_tdt  the text as given and the instant, null where it cannot be read
-    other_txt       list of (name, value) for the remaining headers, in order; characters other than
-                    letters, digits and _ in a name become _
+    From_txt_en, Subject_txt_en, Sender_txt_en  lists of trimmed texts, one for each time the header occurs
+    Newsgroups_ss   list of the groups of all such headers, cut at commas
+    Message_ID_s    trimmed text of the first such header
+    Date_s, Date_tdt  the first date as given and its instant, null where it cannot be read
+    other_txt       list of (name, value) for the remaining headers in order, further Message-ID and Date
+                    headers among them; characters other than letters, digits and _ in a name become _
     body_t          the remaining lines, each ended by a line feed
-    A header that occurs twice: the first one fills the column.
     """
     lines = F.split(F.regexp_replace(F.col(text_col), "(\\r\\n|\\r|\\n)\\z", ""), "\\r\\n|\\r|\\n")
     out = df.withColumn("_lines", F.transform(lines, clean_control_chars))
@@ -42,13 +43,13 @@ def parse_articles(df: DataFrame, text_col: str = "content") -> DataFrame:
         "body_t", F.when(F.size(body) > 0, F.concat(F.array_join(body, "\n"), F.lit("\n"))).otherwise(F.lit(""))
     )
 
-    columns = {f"{name}_txt_en": _trimmed(_first_value(name)) for name in _TEXT_FIELDS}
+    columns = {f"{name}_txt_en": F.transform(_values(name), _trimmed) for name in _TEXT_FIELDS}
     columns["Message_ID_s"] = _trimmed(_first_value("Message-ID"))
-    columns["Newsgroups_ss"] = _listed_groups(_first_value("Newsgroups"))
+    columns["Newsgroups_ss"] = _listed_groups(F.array_join(_values("Newsgroups"), ","))
     columns["Date_s"] = _trimmed(_first_value("Date"))
     columns["Date_tdt"] = normalize_date(_trimmed(_first_value("Date")))
     columns["other_txt"] = F.transform(
-        F.filter("_head", lambda h: ~h["name"].isin(*_SPECIAL)),
+        F.filter("_head", _is_other),
         lambda h: F.struct(
             F.regexp_replace(h["name"], "[^_A-Za-z0-9]", "_").alias("name"), h["value"].alias("value")
         ),
@@ -56,8 +57,18 @@ def parse_articles(df: DataFrame, text_col: str = "content") -> DataFrame:
     return out.withColumns(columns).drop("_lines", "_first", "_head")
 
 
+def _values(name: str) -> Column:
+    return F.transform(F.filter("_head", lambda h: h["name"] == F.lit(name)), lambda h: h["value"])
+
+
 def _first_value(name: str) -> Column:
-    return F.get(F.filter("_head", lambda h: h["name"] == F.lit(name)), F.lit(0))["value"]
+    return F.get(_values(name), F.lit(0))
+
+
+def _is_other(header: Column, at: Column) -> Column:
+    """Headers without a column, and those after the first of a name whose column takes one."""
+    first = F.array_position(F.transform("_head", lambda h: h["name"]), header["name"]) - 1
+    return ~header["name"].isin(*_SPECIAL) | (header["name"].isin(*_SINGLE) & (at > first))
 
 
 def _trimmed(value: Column) -> Column:

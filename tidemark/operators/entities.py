@@ -6,16 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.scalars import safe_ratio
 from tidemark.functions.text import tokens
-from tidemark.functions.types import ColumnLike, as_col, let
-
-# Spellings of a tag to the one used here.
-TAG_MAP = {
-    "I-org": "I-ORG", "B-org": "I-ORG", "I-ORG": "I-ORG", "B-ORG": "I-ORG",
-    "I-per": "I-PER", "B-per": "I-PER", "I-PER": "I-PER", "B-PER": "I-PER",
-    "I-gpe": "I-LOC", "B-gpe": "I-LOC", "I-geo": "I-LOC", "B-geo": "I-LOC", "I-LOC": "I-LOC", "B-LOC": "I-LOC",
-    "I-tim": "I-MISC", "B-tim": "I-MISC", "I-art": "I-MISC", "B-art": "I-MISC", "I-nat": "I-MISC",
-    "B-nat": "I-MISC", "I-eve": "I-MISC", "B-eve": "I-MISC", "I-MISC": "I-MISC", "B-MISC": "I-MISC", "O": "O",
-}
+from tidemark.functions.types import ColumnLike, as_col
+
+# Kinds of entities in small letters and the kind each counts as.
+_KINDS = {"org": "ORG", "per": "PER", "gpe": "LOC", "geo": "LOC", "tim": "MISC", "art": "MISC", "nat": "MISC", "eve": "MISC"}
+_TARGETS = ("ORG", "PER", "LOC", "MISC")
+
+
+def _tag_map() -> dict[str, str]:
+    """Either prefix becomes I-, and a kind in small letters its target; targets and O stay."""
+    kinds = {**_KINDS, **{t: t for t in _TARGETS}}
+    return {"O": "O", **{f"{prefix}-{kind}": f"I-{target}" for kind, target in kinds.items() for prefix in "IB"}}
+
+
+TAG_MAP = _tag_map()
 # Output column per tag.
 TAG_COLUMNS = {"O": "O", "I-LOC": "LOC", "I-PER": "PER", "I-MISC": "MISC", "I-ORG": "ORG"}
 
@@ -56,16 +60,17 @@ def entity_json(annotations: ColumnLike) -> Column:
         ),
         lambda t: t["type"] != "",
     )
-    return let(typed, _sets_by_type)
-
+    # one pass over the sorted distinct pairs: a pair opens a new entry, or adds its text to the last one
+    empty = F.array().cast("array<struct<key:string,value:array<string>>>")
 
-def _sets_by_type(typed: Column) -> Column:
-    def texts_of(kind: Column) -> Column:
-        picked = F.transform(F.filter(typed, lambda t: t["type"] == kind), lambda t: t["text"])
-        return F.sort_array(F.array_distinct(picked))
+    def add(entries: Column, pair: Column) -> Column:
+        last = F.get(entries, F.size(entries) - 1)
+        one = F.struct(pair["type"].alias("key"), F.array(pair["text"]).alias("value"))
+        more = F.struct(last["key"].alias("key"), F.array_append(last["value"], pair["text"]).alias("value"))
+        same = F.coalesce(last["key"] == pair["type"], F.lit(False))
+        return F.when(same, F.concat(F.slice(entries, F.lit(1), F.size(entries) - 1), F.array(more))).otherwise(F.array_append(entries, one))
 
-    kinds = F.sort_array(F.array_distinct(F.transform(typed, lambda t: t["type"])))
-    return let(kinds, lambda k: F.to_json(F.map_from_arrays(k, F.transform(k, texts_of))))
+    return F.to_json(F.map_from_entries(F.aggregate(F.sort_array(F.array_distinct(typed)), empty, add)))
 
 
 def normalize_tag(col: ColumnLike, mapping: dict[str, str] | None = None) -> Column:
@@ -86,23 +91,24 @@ def lexicon_frame(spark: SparkSession, entries: dict[str, str]) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def lexicon_tag(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, max_words: int = 3) -> DataFrame:
+def lexicon_tag(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame) -> DataFrame:
     """Tag each token of a text by a lexicon (phrase, tag), as rows (id, pos, token, tag).
 
     A token takes the tag of the longest phrase that covers it, the earliest of equally long ones, and O
-    without any. Phrases are lower-case tokens joined by single blanks, each with one tag.
+    without any. Phrases are lower-case tokens joined by single blanks, of any length, each with one tag.
 
-    Each token is joined to the lexicon by the first word of a phrase, and the tokens ahead decide if the
-    rest fits; Spark broadcasts a lexicon that is below its size limit. The phrases found are few; they are
+    Each token is joined to the lexicon by the first word of a phrase, and the tokens ahead, as many as the
+    longest phrase has, decide if the rest fits; Spark broadcasts a lexicon that is below its size limit. The phrases found are few; they are
     laid over the tokens by (id, pos), a key that spreads even one endless document over all tasks.
     """
-    doc = df.select(id_col, tokens(text_col).alias("_tokens"))
+    longest = lexicon.select(F.coalesce(F.max(F.size(F.split("phrase", " "))), F.lit(1))).scalar()
+    doc = df.select(id_col, tokens(text_col).alias("_tokens"), longest.alias("_longest"))
     phrases = lexicon.select("tag", F.split("phrase", " ").alias("_words")).select(
         "tag", "_words", F.get("_words", F.lit(0)).alias("_first"), F.size("_words").alias("_size")
     )
     starts = F.transform(
         "_tokens",
-        lambda token, at: F.struct(token.alias("_first"), at.alias("_at"), F.slice("_tokens", at + 1, max_words).alias("_ahead")),
+        lambda token, at: F.struct(token.alias("_first"), at.alias("_at"), F.slice("_tokens", at + 1, F.col("_longest")).alias("_ahead")),
     )
     hits = (
         doc.select(id_col, F.inline_outer(starts))

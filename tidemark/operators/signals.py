@@ -100,7 +100,8 @@ def ranking_metrics(results: DataFrame, truth: DataFrame, k: int) -> DataFrame:
     """Per variant and query: precision@k, recall@k, reciprocal rank, average precision and nDCG@k.
 
     `results` has (variant, query, doc_id, rank) with ranks from 1; `truth` has (query, doc_id, grade).
-    Gain is the grade, the discount 1/log2(rank + 1). Queries without relevant documents are left out.
+    Gain is the grade, the discount 1/log2(rank + 1). Queries without relevant documents are left out; a
+    variant that shows nothing for a query with relevant documents scores 0 there.
     Averages go over the relevant documents of the query, found or not.
     """
     top = results.where(F.col("rank") <= k)
@@ -123,14 +124,16 @@ def ranking_metrics(results: DataFrame, truth: DataFrame, k: int) -> DataFrame:
         .agg(F.sum(F.col("grade") / F.log2(F.col("_place") + 1)).alias("idcg"))
     )
     relevant = truth.groupBy("query").agg(F.count(F.lit(1)).alias("relevant"))
+    variants = results.select(F.sort_array(F.collect_set("variant"))).scalar()  # a handful
     return (
-        found.join(relevant, "query")
+        relevant.withColumn("variant", F.explode(variants))
+        .join(found, ["variant", "query"], "left")
         .join(ideal, "query")
         .select(
             "variant",
             "query",
-            (F.col("hits") / F.lit(float(k))).alias("precision_at_k"),
-            safe_ratio(F.col("hits"), F.col("relevant")).alias("recall_at_k"),
+            (F.coalesce("hits", F.lit(0)) / F.lit(float(k))).alias("precision_at_k"),
+            safe_ratio(F.coalesce("hits", F.lit(0)), F.col("relevant")).alias("recall_at_k"),
             F.coalesce(1 / F.col("first_hit"), F.lit(0.0)).alias("reciprocal_rank"),
             F.coalesce(F.col("precision_sum") / F.col("relevant"), F.lit(0.0)).alias("average_precision"),
             F.coalesce(F.col("dcg") / F.col("idcg"), F.lit(0.0)).alias("ndcg_at_k"),

@@ -138,16 +138,16 @@ _METRICS = f"""WITH {_WEIGHTS}, {_BOOSTS}, {_TRUTH},
     shuffled AS (SELECT query, doc_id, CAST(row_number() OVER (PARTITION BY query
       ORDER BY CAST(('0x' || substr(md5('order:' || doc_id), 1, 8)) AS BIGINT) % 10000, doc_id) AS INTEGER) AS rank FROM weights),
     results AS (SELECT 'v1' AS variant, query, doc_id, rank FROM boosts WHERE rank <= 10
-      UNION ALL SELECT 'v2', query, doc_id, rank FROM shuffled WHERE rank <= 10),
+      UNION ALL SELECT 'v2', query, doc_id, rank FROM shuffled WHERE rank <= 10 AND query <> 'q3'),
     hits AS (SELECT variant, query, rank, grade, sum(CASE WHEN grade IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY variant, query ORDER BY rank) AS seen
       FROM results LEFT JOIN truth USING (query, doc_id)),
     found AS (SELECT variant, query, count(grade) AS n, min(rank) FILTER (grade IS NOT NULL) AS first_hit,
       sum(CAST(seen AS DOUBLE) / rank) FILTER (grade IS NOT NULL) AS ps, sum(grade / log2(rank + 1)) AS dcg FROM hits GROUP BY variant, query),
     ideal AS (SELECT query, count(*) AS relevant, sum(grade / log2(place + 1)) FILTER (place <= 10) AS idcg FROM
       (SELECT query, grade, row_number() OVER (PARTITION BY query ORDER BY grade DESC, doc_id) AS place FROM truth) GROUP BY query),
-    metrics AS (SELECT variant, query, n / 10.0::DOUBLE AS precision_at_k, CAST(n AS DOUBLE) / relevant AS recall_at_k,
+    metrics AS (SELECT variant, query, coalesce(n, 0) / 10.0::DOUBLE AS precision_at_k, CAST(coalesce(n, 0) AS DOUBLE) / relevant AS recall_at_k,
       coalesce(1.0::DOUBLE / first_hit, 0) AS reciprocal_rank, coalesce(ps / relevant, 0) AS average_precision, coalesce(dcg / idcg, 0) AS ndcg_at_k
-      FROM found JOIN ideal USING (query))"""
+      FROM ideal CROSS JOIN (SELECT DISTINCT variant FROM results) LEFT JOIN found USING (variant, query))"""
 _NAMES = ["precision_at_k", "recall_at_k", "reciprocal_rank", "average_precision", "ndcg_at_k"]
 
 
@@ -156,7 +156,9 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_clicks = signals.boosts(weights, 10)
     # the other variant shows the documents in an order that knows nothing of clicks
     mixed = weights.withColumn("weight", -hash_bucket("doc_id", 10_000, "order"))
-    results = by_clicks.withColumn("variant", F.lit("v1")).unionByName(signals.boosts(mixed, 10).withColumn("variant", F.lit("v2")))
+    # ... and shows nothing at all for one query
+    others = signals.boosts(mixed, 10).where("query <> 'q3'").withColumn("variant", F.lit("v2"))
+    results = by_clicks.withColumn("variant", F.lit("v1")).unionByName(others)
     return signals.ranking_metrics(results.drop("weight"), signals.ground_truth(weights, min_weight=2), 10)
 
 

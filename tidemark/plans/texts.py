@@ -39,6 +39,7 @@ def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Message-ID: <"), doc_id, F.lit("@example>\n"),
         F.lit("Newsgroups: alt."), F.col("lang"), F.lit(", ,misc."), F.col("source"), F.lit("\n"),
         F.lit("Date: Tue, 20 Apr 93 16:15:19 GMT\n"),
+        F.when(F.col("doc_id") % 2 == 0, "From: list@hub.example\nNewsgroups:talk.all\nDate: never\n").otherwise(""),
         F.lit("X-Size(chars): "), F.col("n_chars").cast("string"), F.lit("\n"),
         F.lit("Lines: "), F.size(F.split("text", "\n")).cast("string"), F.lit("\n\n"),
     )
@@ -54,16 +55,17 @@ _BODY = f"regexp_replace(regexp_replace(text, '\\r\\n|\\r', chr(10), 'g'), {_CTR
 
 @query(
     "x01_article_parse",
-    f"""SELECT doc_id, 'user' || doc_id || '@' || source || '.example' AS from_txt_en, array_to_string({_TOKS}[1:5], ' ') AS subject_txt_en,
-        '<' || doc_id || '@example>' AS message_id_s, 'alt.' || lang || '|misc.' || source AS newsgroups_ss, 'Tue, 20 Apr 93 16:15:19 GMT' AS date_s,
-        '1993-04-20T16:15:19.000Z' AS date_tdt, 'X_Size_chars_=' || n_chars || ';Lines=' || len(string_split(text, chr(10))) AS other_txt,
+    f"""SELECT doc_id, 'user' || doc_id || '@' || source || '.example' || CASE WHEN doc_id % 2 = 0 THEN '|list@hub.example' ELSE '' END AS from_txt_en, array_to_string({_TOKS}[1:5], ' ') AS subject_txt_en,
+        '<' || doc_id || '@example>' AS message_id_s, 'alt.' || lang || '|misc.' || source || CASE WHEN doc_id % 2 = 0 THEN '|talk.all' ELSE '' END AS newsgroups_ss,
+        'Tue, 20 Apr 93 16:15:19 GMT' AS date_s, '1993-04-20T16:15:19.000Z' AS date_tdt,
+        CASE WHEN doc_id % 2 = 0 THEN 'Date=never;' ELSE '' END || 'X_Size_chars_=' || n_chars || ';Lines=' || len(string_split(text, chr(10))) AS other_txt,
         md5(chr(10) || regexp_replace({_BODY}, '\\n\\z', '') || chr(10)) AS body_md5 FROM documents""",
 )
 def x01(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = articles.parse_articles(_articles(spark, sf_dir))
     other = F.transform("other_txt", lambda h: F.concat(h["name"], F.lit("="), h["value"]))
     return parsed.select(
-        "doc_id", F.col("From_txt_en").alias("from_txt_en"), F.col("Subject_txt_en").alias("subject_txt_en"),
+        "doc_id", F.array_join("From_txt_en", "|").alias("from_txt_en"), F.array_join("Subject_txt_en", "|").alias("subject_txt_en"),
         F.col("Message_ID_s").alias("message_id_s"), F.array_join("Newsgroups_ss", "|").alias("newsgroups_ss"),
         F.col("Date_s").alias("date_s"), iso("Date_tdt").alias("date_tdt"), F.array_join(other, ";").alias("other_txt"),
         F.md5(F.col("body_t").cast("binary")).alias("body_md5"),
@@ -322,7 +324,7 @@ def n04(spark: SparkSession, sf_dir: str) -> DataFrame:
 # A small lexicon of words that the documents hold.
 LEXICON = {
     "the": "I-MISC", "of the": "I-LOC", "in the": "I-LOC", "and the": "I-ORG", "the and": "I-PER", "and": "I-ORG",
-    "that the and": "I-PER", "la": "I-LOC", "le la": "I-PER", "of": "I-MISC",
+    "that the and": "I-PER", "la": "I-LOC", "le la": "I-PER", "of": "I-MISC", "the and to is of": "I-ORG", "in the and of the": "I-LOC",
 }
 
 
@@ -330,7 +332,7 @@ _LEXICON_SQL = f"""WITH d AS (SELECT doc_id, {_TOKS} AS toks FROM documents),
     lex AS (SELECT * FROM (VALUES {', '.join(f"('{p}', '{t}')" for p, t in LEXICON.items())}) AS v(phrase, tag)),
     starts AS (SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS p FROM d),
     spans AS (SELECT doc_id, p, size, array_to_string(toks[p:p + size - 1], ' ') AS phrase
-      FROM starts, (VALUES (1), (2), (3)) AS s(size) WHERE p + size - 1 <= len(toks)),
+      FROM starts, (SELECT DISTINCT len(string_split(phrase, ' ')) AS size FROM lex) AS s WHERE p + size - 1 <= len(toks)),
     hits AS (SELECT doc_id, p, size, tag, unnest(range(p - 1, p + size - 1)) AS pos FROM spans JOIN lex USING (phrase)),
     best AS (SELECT doc_id, pos, tag FROM hits QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY size DESC, p) = 1),
     words AS (SELECT doc_id, p - 1 AS pos, toks[p] AS token FROM starts)"""
@@ -364,8 +366,8 @@ def n05_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = {"LOC": "location", "PER": "person", "ORG": "organization", "MISC": "misc"}
     spec = LoadSpec(
         source="entities", format="parquet", path=f"{sf_dir}/documents.parquet", transform=tag,
-        sql="select monotonically_increasing_id() as id, doc_id, text, ner_json from _input",
-        stages=[Stage("parse", lambda df: parse_json_field(df, "ner_json", names)), Stage("drop", lambda df: df.drop("ner_json", "id"))],
+        sql="SELECT doc_id, text, ner_json FROM _input WHERE doc_id IS NOT NULL",
+        stages=[Stage("parse", lambda df: parse_json_field(df, "ner_json", names)), Stage("drop", lambda df: df.drop("ner_json"))],
         output=fresh_path(spark, "entities"),
     )
     loaded = bulk_load(spark, spec)
