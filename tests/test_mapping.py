@@ -5,35 +5,35 @@ from tidemark.operators import mapping
 from tidemark.operators.mapping import Rule, map_fields
 
 
-def signal(spark):
+def visit(spark):
     return spark.sql(
-        """SELECT 'x' AS type, 'b' AS _sys_batch, 1 AS id, named_struct('userId', u, 'user_id', v, 'query', 'tv', 'x', 'X', 'host_s', 'h', 'deep',
-           named_struct('z', 5)) AS params FROM VALUES ('u1', CAST(NULL AS STRING)), (CAST(NULL AS STRING), 'u2'), ('u1', 'u2') AS t(u, v)"""
+        """SELECT 'buy' AS kind, 'r' AS internal_run, 1 AS id, named_struct('visitor', u, 'guest', v, 'asked', 'tv', 'x', 'X', 'sent_by', 'h', 'deep',
+           named_struct('z', 5)) AS details FROM VALUES ('u1', CAST(NULL AS STRING)), (CAST(NULL AS STRING), 'u2'), ('u1', 'u2') AS t(u, v)"""
     )
 
 
 def test_copy_move_delete_keep_and_patterns(spark):
     rules = [
-        Rule("/_sys_(.*)/", operation="delete"),
-        Rule("type", "type_s", "copy"),
-        Rule("params.query", "query_s", "copy"),
-        Rule("params.query", "query_t", "move"),
-        Rule("params.userId", "user_id", "move"),
-        Rule("params.user_id", "user_id", "move"),
+        Rule("/^internal_/", operation="delete"),
+        Rule("kind", "kind_s", "copy"),
+        Rule("details.asked", "asked_s", "copy"),
+        Rule("details.asked", "asked_t", "move"),
+        Rule("details.visitor", "person", "move"),
+        Rule("details.guest", "person", "move"),
         Rule("id", "id", "keep"),
-        Rule(r"/params\.(.*)(?<!_.{1,2})$/", "params.$1_s", "move"),
+        Rule("/^details[.]([a-z.]+)$/", "visit.$1_s", "move"),
     ]
-    out = map_fields(signal(spark), rules)
-    assert set(out.columns) == {"type", "id", "params.host_s", "type_s", "query_s", "query_t", "user_id", "params.x_s", "params.deep.z_s"}
-    assert [r["user_id"] for r in out.collect()] == ["u1", "u2", "u1"]  # the first that is not null
+    out = map_fields(visit(spark), rules)
+    assert set(out.columns) == {"kind", "id", "details.sent_by", "kind_s", "asked_s", "asked_t", "person", "visit.x_s", "visit.deep.z_s"}
+    assert [r["person"] for r in out.collect()] == ["u1", "u2", "u1"]  # the first that is not null
 
 
 def test_unmapped_rule_and_order(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
-    assert map_fields(df, [Rule("a", "a", "keep")], Rule("/(.*)/", operation="delete")).columns == ["a"]
+    assert map_fields(df, [Rule("a", "a", "keep")], Rule("/./", operation="delete")).columns == ["a"]
     assert map_fields(df, [Rule("a", "z", "move"), Rule("a", "y", "copy")]).columns == ["b", "c", "z"]  # a is gone by then
     assert map_fields(df, [Rule("a", "y", "copy"), Rule("a", "z", "move")]).columns == ["b", "c", "y", "z"]
-    assert map_fields(df, [], Rule("/(.*)/", "$1_i", "move")).columns == ["a_i", "b_i", "c_i"]
+    assert map_fields(df, [], Rule("/^(.)$/", "$1_i", "move")).columns == ["a_i", "b_i", "c_i"]
 
 
 def test_target_that_exists_keeps_its_value_first(spark):
@@ -42,9 +42,9 @@ def test_target_that_exists_keeps_its_value_first(spark):
 
 
 def test_multi_valued_and_mixed_types(spark):
-    df = spark.createDataFrame([(44.9, -93.2, "a", 1), (None, -93.2, None, 2)], "homelat double, homelongitude double, p string, q int")
+    df = spark.createDataFrame([(44.9, -93.2, "a", 1), (None, -93.2, None, 2)], "home_north double, home_east double, p string, q int")
     rules = [
-        Rule("/(.*?)lat(itude)?$/", "$1_lat_lon", "move"), Rule("/(.*?)lon(gitude)?$/", "$1_lat_lon", "move"),
+        Rule("/^([a-z]+)_north$/", "$1_lat_lon", "move"), Rule("/^([a-z]+)_east$/", "$1_lat_lon", "move"),
         Rule("p", "r", "move"), Rule("q", "r", "move"),
     ]
     rows = map_fields(df, rules).collect()
@@ -60,7 +60,7 @@ def test_bad_rules():
 
 
 def test_one_projection(spark):
-    plan = map_fields(signal(spark), [Rule("type", "type_s", "copy"), Rule("params.query", "q", "move")])._jdf.queryExecution().optimizedPlan().toString()
+    plan = map_fields(visit(spark), [Rule("kind", "kind_s", "copy"), Rule("details.asked", "q", "move")])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Project") <= 1
 
 
@@ -72,6 +72,13 @@ def test_suffix_names(spark):
     assert row["long_s"] is None and len(row["long_t"]) == 101 and row["s_s"] == "abc"
 
 
+def test_suffixes_of_other_types(spark):
+    df = spark.sql("SELECT CAST(1.5 AS DECIMAL(9,2)) AS price, CAST(2 AS SHORT) AS sh, map('a', 1) AS m, named_struct('x', 1) AS st, 'u' AS url_is, array(1.5) AS ps, X'41' AS raw")
+    out = mapping.suffix_names(df)
+    assert out.columns == ["price_d", "sh_i", "m_s", "m_t", "st_s", "st_t", "url_is_s", "url_is_t", "ps_dd", "raw_s", "raw_t"]
+    assert tuple(out.first()) == (1.5, 2, '{"a":1}', '{"a":1}', '{"x":1}', '{"x":1}', "u", "u", [1.5], "A", "A")
+
+
 def test_signals(spark):
     df = spark.createDataFrame([(None, '{"docId":"d1","count":2}'), ("click", '{"docId":"d2"}'), ("other", "{}")], "type string, params string")
     out = mapping.format_signals(df, params_schema="docId string, count int", allowed_types=["general", "click"])

@@ -16,16 +16,21 @@ ZONES = {
     "PDT": "America/Los_Angeles", "PST": "America/Los_Angeles", "TUR": "Asia/Istanbul", "UT": "Etc/UTC",
     "UTC": "Etc/UTC",
 }
-# English month names, by their first three letters.
-_MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+# English names of months and days.
+_MONTHS = [
+    "January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December",
+]
+_DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
-_DAY_NAME = "(?:Sun|Mon|Tues?|Wed(?:nes)?|Thu(?:rs)?|Fri|Sat(?:ur)?)(?:day)?"
-_ZONE_TAIL = "(?i)\\s+\\(?(" + "|".join(z.replace("+", "\\+") for z in sorted(ZONES, key=len, reverse=True)) + ")\\)?$"
+# a day's name, or any beginning of it from three letters on
+_BEGINNINGS = [day[:n] for day in _DAYS for n in range(len(day), 2, -1)]
+_DAY_WORD = "(?i)(?:^| )(?:" + "|".join(_BEGINNINGS) + "),?(?= |$)"
+_ZONE_TAIL = "(?i) (" + "|".join(z.replace("+", "\\+") for z in sorted(ZONES, key=len, reverse=True)) + ")(?: [+-]\\d{4})?$"
 
 # Each shape with the way its groups make up "year|month|day|time|offset".
 _TIME = "(\\d{1,2}:\\d{2}(?::\\d{2})?)"
 _SHAPES = [
-    (f"^(\\d{{1,2}}) ([A-Za-z]{{3,9}}) (\\d{{2}}|\\d{{4}})(?: {_TIME}(?: ([+-]\\d{{4}}))?)?$", "$3|$2|$1|$4|$5"),
+    (f"^(\\d{{1,2}}) ([A-Za-z]{{3,9}}) (\\d{{2}}|\\d{{4}})(?: {_TIME}(?: ([+-]\\d{{4}})(?: [+-]\\d{{4}})?)?)?$", "$3|$2|$1|$4|$5"),
     ("^(\\d{1,2})/(\\d{1,2})/(\\d{2}|\\d{4})$", "$3|$1|$2||"),
     ("^([A-Za-z]{3,9}) (\\d{1,2}), (\\d{2}|\\d{4})$", "$3|$1|$2||"),
     ("^(\\d{4})-(\\d{1,2})-(\\d{1,2}) (\\d{1,2}:\\d{2}:\\d{2})$", "$1|$2|$3|$4|"),
@@ -41,7 +46,7 @@ def _full_year(text: Column) -> Column:
 
 
 def _month(text: Column) -> Column:
-    number = F.instr(F.lit(_MONTHS), F.initcap(F.substring(text, 1, 3)))
+    number = F.instr(F.lit("".join(name[:3] for name in _MONTHS)), F.initcap(F.substring(text, 1, 3)))
     named = F.when((number > 0) & (number % 3 == 1), ((number - 1) / 3 + 1).cast("int").cast("string"))
     # digits sort before letters; a name is never tried as a number, since a failing cast is slow
     return F.when(text < "A", text).otherwise(named)
@@ -54,14 +59,12 @@ def _clock(text: Column) -> Column:
 def normalize_date(col: ColumnLike) -> Column:
     """Instant for a mail date, null where no known shape fits.
 
-    Steps: runs of blanks to one; a bracketed offset at the end goes; the first day name goes; a zone
-    abbreviation at the end is taken off and decides the zone (UTC without one); then the date shapes.
-    An explicit +hhmm or -hhmm offset wins over the zone.
+    Brackets and runs of blanks count as one blank. Words that name a day go. A zone abbreviation at the end,
+    also one before an offset, is taken off and decides the zone (UTC without one); then the date shapes.
+    Without an abbreviation the first +hhmm or -hhmm decides.
     """
-    text = F.regexp_replace(as_col(col), "\\s{2,}", " ")
-    text = F.regexp_replace(text, "\\s*\\([-+]\\d{4}\\)$", "")
-    text = F.regexp_replace(text, f"(?i)^(.*?)(?:{_DAY_NAME},?\\s*|\\s*\\({_DAY_NAME}\\)$)", "$1")
-    return let(text, _instant)
+    text = F.regexp_replace(as_col(col), "[()\\s]+", " ")
+    return let(F.btrim(F.regexp_replace(text, _DAY_WORD, "")), _instant)
 
 
 def _instant(text: Column) -> Column:

@@ -2,25 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-import regex
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    BooleanType,
-    DataType,
-    DateType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructType,
-    TimestampNTZType,
-    TimestampType,
-)
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType, TimestampNTZType, TimestampType
 
 from tidemark.functions.scalars import iso, make_id, regex_group
 
@@ -48,12 +35,12 @@ class Rule:
     def match(self, name: str) -> str | None:
         """The target name if this rule applies to `name` (the name itself where no target is needed)."""
         if self.is_pattern:
-            found = regex.search(self.source[1:-1], name)
+            found = re.search(self.source[1:-1], name)
             if not found:
                 return None
             if not self.target:
                 return name
-            return regex.sub(r"\$(\d)", lambda m: found.group(int(m.group(1))) or "", self.target)
+            return re.sub(r"\$(\d)", lambda m: found.group(int(m.group(1))) or "", self.target)
         return (self.target or name) if self.source == name else None
 
 
@@ -130,30 +117,54 @@ def _merge(values: list[tuple[Column, DataType]], keep_all: bool) -> Column:
     return F.array_compact(F.array(*cols)) if keep_all else F.coalesce(*cols)
 
 
-# Type suffixes of column names; a list has the doubled letter.
+# Type suffixes of column names; a list has the doubled letter. Short, byte and decimal numbers are
+# widened to the type of their suffix.
 _SUFFIX = {
-    StringType: "_s", IntegerType: "_i", LongType: "_l", DoubleType: "_d", FloatType: "_f", BooleanType: "_b",
-    TimestampType: "_tdt", TimestampNTZType: "_tdt", DateType: "_tdt",
+    "string": "_s", "int": "_i", "smallint": "_i", "tinyint": "_i", "bigint": "_l", "double": "_d", "decimal": "_d", "float": "_f",
+    "boolean": "_b", "timestamp": "_tdt", "timestamp_ntz": "_tdt", "date": "_tdt",
 }
-_KNOWN = regex.compile(r"_(s|ss|t|txt|txt_en|tdt|d|i|l|f|b|is|ls|ds|lat_lon)$")
+_WIDENED = {"smallint": "int", "tinyint": "int", "decimal": "double"}
+_TEXT_SUFFIXES = ("_s", "_t", "_txt", "_txt_en", "_lat_lon")
+
+
+def _kind(kind: DataType) -> str:
+    return kind.typeName() if kind.typeName() == "decimal" else kind.simpleString()
+
+
+def _has_suffix(name: str, kind: DataType) -> bool:
+    """Whether the name ends in a suffix that fits the type."""
+    if isinstance(kind, ArrayType):
+        own = _SUFFIX.get(_kind(kind.elementType), "_s")
+        return name.endswith((own + own[-1], "_txt", "_txt_en", "_lat_lon"))
+    own = _SUFFIX.get(_kind(kind))
+    return own is not None and name.endswith(_TEXT_SUFFIXES if own == "_s" else own)
 
 
 def suffix_names(df: DataFrame, max_len: int = 100, exclude: Sequence[str] = ("id",)) -> DataFrame:
     """Name each column by its type. Text gives `<name>_t`, and `<name>_s` for values of at most `max_len`
-    characters; a name that already ends in a suffix stays."""
+    characters; a name that already ends in a suffix of its type stays. Structs, maps and lists of such become
+    JSON text, and other types without a suffix plain text."""
     out = []
     for f in df.schema.fields:
-        col = F.col(_quoted([f.name]))
-        if f.name in exclude or _KNOWN.search(f.name):
+        col, kind = F.col(_quoted([f.name])), f.dataType
+        if f.name in exclude or _has_suffix(f.name, kind):
             out.append(col)
-        elif isinstance(f.dataType, StringType):
+            continue
+        nested = kind.elementType if isinstance(kind, ArrayType) else kind
+        if _kind(nested) not in _SUFFIX:
+            complex_type = isinstance(kind, (ArrayType, MapType, StructType))
+            col, kind = F.to_json(col) if complex_type else col.cast("string"), StringType()
+        if isinstance(kind, StringType):
             out.append(F.when(F.length(col) <= max_len, col).alias(f.name + "_s"))
             out.append(col.alias(f.name + "_t"))
-        elif isinstance(f.dataType, ArrayType):
-            element = _SUFFIX.get(type(f.dataType.elementType), "_s")
-            out.append(col.alias(f.name + element + element[-1]))
+        elif isinstance(kind, ArrayType):
+            element = _kind(kind.elementType)
+            wide = _WIDENED.get(element)
+            suffix = _SUFFIX[element]
+            out.append((col.cast(f"array<{wide}>") if wide else col).alias(f.name + suffix + suffix[-1]))
         else:
-            out.append(col.alias(f.name + _SUFFIX.get(type(f.dataType), "_s")))
+            wide = _WIDENED.get(_kind(kind))
+            out.append((col.cast(wide) if wide else col).alias(f.name + _SUFFIX[_kind(kind)]))
     return df.select(*out)
 
 

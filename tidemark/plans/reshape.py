@@ -11,11 +11,11 @@ from tidemark.operators.mapping import Rule
 from tidemark.plans import bindings as b
 from tidemark.plans.registry import query
 
-# The genre flags of a movie row, in order.
-GENRES = (
-    "unknown action adventure animation children comedy crime documentary drama fantasy filmnoir horror musical "
-    "mystery romance scifi thriller war western"
-).split()
+# Names of the flags of a row, in the order of their bits.
+FLAGS = [
+    "boxed", "bulk", "coated", "cold", "custom", "export", "fragile", "heavy", "import", "large", "light", "liquid", "matte", "new",
+    "polished", "rare", "sealed", "small", "used",
+]
 
 
 _SECOND = "CAST(date_trunc('second', ts) AS TIMESTAMP)"
@@ -93,48 +93,48 @@ def p08(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# a signal: some fields at the top, some below `params`, and a field that only half of the rows have
-def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+# a visit: some fields at the top, some below `details`, and a visitor under one of two names
+def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.col("event_id") % 2 == 0
     user = F.col("user_id").cast("string")
     return b.table(spark, sf_dir, "events").select(
-        "event_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("type"),
-        s.epoch_ms("ts").alias("timestamp"), F.lit("batch-1").alias("_sys_batch_s"),
+        "event_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind"),
+        s.epoch_ms("ts").alias("seen"), F.lit("run 1").alias("internal_run"),
         F.struct(
-            F.when(even, user).alias("userId"), F.when(~even, user).alias("user_id"),
-            F.get_json_object("props", "$.k").alias("docId"), F.col("value").cast("decimal(18,2)").cast("string").alias("weight"),
-            F.concat(F.lit("q"), (F.col("user_id") % 10).cast("string")).alias("query"), F.lit("web").alias("host_s"),
-            F.col("event_type").alias("page"),
-        ).alias("params"),
+            F.when(even, user).alias("visitor"), F.when(~even, user).alias("guest"),
+            F.get_json_object("props", "$.k").alias("shown"), F.col("value").cast("decimal(18,2)").cast("string").alias("amount"),
+            F.concat(F.lit("q"), (F.col("user_id") % 10).cast("string")).alias("asked"), F.lit("web").alias("sent_by"),
+            F.col("event_type").alias("section"),
+        ).alias("details"),
     )
 
 
 RULES = [
-    Rule("/_sys_(.*)/", operation="delete"),
-    Rule("type", "type_s", "copy"),
-    Rule("timestamp", "timestamp_tdt", "move"),
-    Rule("params.query", "query_s", "copy"),
-    Rule("params.query", "query_t", "move"),
-    Rule("params.docId", "doc_id_s", "move"),
-    Rule("params.userId", "user_id", "move"),
-    Rule("params.user_id", "user_id", "move"),
+    Rule("/^internal_/", operation="delete"),
+    Rule("kind", "kind_s", "copy"),
+    Rule("seen", "seen_tdt", "move"),
+    Rule("details.asked", "asked_s", "copy"),
+    Rule("details.asked", "asked_t", "move"),
+    Rule("details.shown", "shown_s", "move"),
+    Rule("details.visitor", "person_s", "move"),
+    Rule("details.guest", "person_s", "move"),
     Rule("event_id", "event_id", "keep"),
-    Rule(r"/params\.(.*)(?<!_.{1,2})$/", "params.$1_s", "move"),
+    Rule("/^details[.]([a-z]+)$/", "visit.$1_s", "move"),
 ]
 
 
 @query(
     "p09_field_mapping",
-    """SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type END AS type_s, epoch_us(ts) // 1000 AS timestamp_tdt,
-        'q' || (user_id % 10) AS query_s, 'q' || (user_id % 10) AS query_t, json_extract_string(props, '$.k') AS doc_id_s,
-        CAST(user_id AS VARCHAR) AS user_id, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS "params.weight_s",
-        event_type AS "params.page_s", CASE WHEN event_type <> 'view' THEN event_type END AS "type" FROM events""",
+    """SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type END AS kind_s, epoch_us(ts) // 1000 AS seen_tdt,
+        'q' || (user_id % 10) AS asked_s, 'q' || (user_id % 10) AS asked_t, json_extract_string(props, '$.k') AS shown_s,
+        CAST(user_id AS VARCHAR) AS person_s, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS "visit.amount_s",
+        event_type AS "visit.section_s", CASE WHEN event_type <> 'view' THEN event_type END AS kind FROM events""",
 )
 def p09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mapping.map_fields(_signals(spark, sf_dir), RULES, unmapped=Rule("/(.*)/", operation="delete"))
+    return mapping.map_fields(_visits(spark, sf_dir), RULES, unmapped=Rule("/./", operation="delete"))
 
 
-GEO_RULES = [Rule("/(.*?)lat(itude)?$/", "$1_lat_lon", "move"), Rule("/(.*?)lon(gitude)?$/", "$1_lat_lon", "move")]
+PLACE_RULES = [Rule("/^([a-z]+)_north$/", "$1_lat_lon", "move"), Rule("/^([a-z]+)_east$/", "$1_lat_lon", "move")]
 
 
 @query(
@@ -143,9 +143,9 @@ GEO_RULES = [Rule("/(.*?)lat(itude)?$/", "$1_lat_lon", "move"), Rule("/(.*?)lon(
 )
 def p09_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     homes = b.homes(spark, sf_dir).select(
-        "user_id", F.round("latitude", 3).alias("homelatitude"), F.round("longitude", 3).alias("homelon")
+        "user_id", F.round("latitude", 3).alias("home_north"), F.round("longitude", 3).alias("home_east")
     )
-    mapped = mapping.map_fields(homes, GEO_RULES)
+    mapped = mapping.map_fields(homes, PLACE_RULES)
     return mapped.withColumn("home_lat_lon", F.array_join(F.col("home_lat_lon").cast("array<string>"), ","))
 
 
@@ -222,12 +222,12 @@ _FLAG = "CASE WHEN (flags >> {i}) & 1 = 1 THEN '{g}' END"
 @query(
     "p15_flags_to_labels",
     f"WITH {b.MOVIES} SELECT movie_id, concat_ws(',', "
-    + ", ".join(_FLAG.format(i=i, g=g) for i, g in enumerate(GENRES))
+    + ", ".join(_FLAG.format(i=i, g=g) for i, g in enumerate(FLAGS))
     + ") AS genre, CAST(bit_count(flags & 524287) AS INTEGER) AS n FROM movies",
 )
 def p15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = [F.getbit(F.col("flags"), F.lit(i)).cast("string") for i in range(len(GENRES))]
-    genre = s.flags_to_array(flags, GENRES)
+    flags = [F.getbit(F.col("flags"), F.lit(i)).cast("string") for i in range(len(FLAGS))]
+    genre = s.flags_to_array(flags, FLAGS)
     return b.movies(spark, sf_dir).select("movie_id", F.array_join(genre, ",").alias("genre"), F.size(genre).alias("n"))
 
 
