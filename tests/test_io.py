@@ -70,6 +70,34 @@ def test_retention_keeps_the_newest(spark):
     assert sorted(r.dt for r in spark.read.schema("ts timestamp, dt string").parquet(path).select("dt").distinct().collect()) == ["2024-01-07", "2024-01-08", "2024-01-09"]
 
 
+def test_ranks(spark):
+    text = '{"tv":{"signals":[],"rank":["d1","d2"]},"led":{"rank":[]}}'
+    df = spark.createDataFrame([(text,)], "j string")
+    assert sorted(tuple(r) for r in readers.explode_ranks(df, "j").collect()) == [("tv", "d1", 1), ("tv", "d2", 2)]
+
+
+@pytest.mark.parametrize("delete", [True, False])
+def test_retention_over_what_is_stored(spark, tmp_path, delete):
+    path = str(tmp_path / "days")
+    days = lambda low, high: spark.range(low, high).select(F.expr("timestamp_seconds(id * 86400)").alias("ts"), "id")
+    writers.write_time_partitions(days(0, 5), path, "ts", max_active=3, mode="append", delete_expired=delete)
+    assert writers.stored_partitions(spark, path) == ["1970-01-03", "1970-01-04", "1970-01-05"]
+    writers.write_time_partitions(days(1, 7), path, "ts", max_active=3, mode="append", delete_expired=delete)
+    newest = ["1970-01-05", "1970-01-06", "1970-01-07"]
+    assert writers.stored_partitions(spark, path) == (newest if delete else ["1970-01-03", "1970-01-04", *newest])
+
+
+def test_upsert_table(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "id long, at int, v string"
+    first = spark.range(200).selectExpr("id", "0 AS at", "'old' AS v")
+    assert len(writers.upsert_table(path, first, "id", ["at"], parts=8)) == 8
+    change = spark.createDataFrame([(3, 1, "new"), (3, 2, "newer"), (900, 0, "added")], schema)
+    assert len(writers.upsert_table(path, change, "id", ["at"], parts=8)) <= 2
+    assert writers.upsert_table(path, change.where("false"), "id", ["at"], parts=8) == []
+    rows = {r["id"]: r["v"] for r in writers.read_upserted(spark, path, schema).collect()}
+    assert len(rows) == 201 and rows[3] == "newer" and rows[900] == "added" and rows[4] == "old"
+
+
 def test_upsert(spark):
     target = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "id int, v string, at int")
     changes = spark.createDataFrame([(2, "c", 2), (3, "d", 1), (1, "old", 0)], "id int, v string, at int")

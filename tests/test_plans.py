@@ -30,7 +30,6 @@ def test_no_cross_join_and_no_python(spark, sf_dir, name):
         ("t01_topk", ["TakeOrderedAndProject"]),
         ("a05_popular_topk", ["TakeOrderedAndProject", "BroadcastHashJoin"]),
         ("w03_latest_per_key", ["WindowGroupLimit", "Partial"]),
-        ("k02_keyed_upsert", ["WindowGroupLimit"]),
         ("r05_boost_ranking", ["WindowGroupLimit", "partial_count"]),
         ("a07_session_agg", ["partial_sum"]),
         ("a11_column_profile", ["partial_count", "WindowGroupLimit"]),

@@ -41,9 +41,8 @@ def test_gaps_by_hand(spark):
     }
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100, 10**9])
 @pytest.mark.parametrize("slice_ms", [1_000, 45_000, 3_600_000, 10**12])
-def test_slices_do_not_change_the_result(spark, slice_ms, hot_rows):
+def test_slices_do_not_change_the_result(spark, slice_ms):
     rng = random.Random(7)
     rows = []
     for client in "abcde":
@@ -52,19 +51,18 @@ def test_slices_do_not_change_the_result(spark, slice_ms, hot_rows):
             at += rng.choice([0, 1, 500, 29_999, 30_000, 30_001, 90_000, 7_200_000])
             rows.append((client, at, n))
     want = by_hand(rows, 30_000)
-    got = sessions.sessionize(frame(spark, rows), "client", "ts", 30_000, slice_ms, hot_rows).collect()
+    got = sessions.sessionize(frame(spark, rows), "client", "ts", 30_000, slice_ms).collect()
     assert len(got) == len(rows)
     assert {(r.client, r.ms, r.n): r.session_id for r in got} == want
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10**6])
-def test_equals_the_plain_window(spark, sf_dir, hot_rows):
+def test_equals_the_plain_window(spark, sf_dir):
     logs = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     w = Window.partitionBy("user_id").orderBy("ts")
     plain = logs.withColumn("d", F.unix_millis("ts") - F.lag(F.unix_millis("ts")).over(w)).withColumn(
         "s", F.sum(F.when(F.col("d") > 21_600_000, 1).otherwise(0)).over(w)
     )
-    ours = sessions.sessionize(logs, "user_id", "ts", 21_600_000, hot_rows=hot_rows)
+    ours = sessions.sessionize(logs, "user_id", "ts", 21_600_000)
     assert ours.select("event_id", "diff_ms", "session_id").exceptAll(plain.select("event_id", "d", "s")).isEmpty()
 
 
@@ -94,22 +92,39 @@ def test_hot_key_is_spread(spark):
         F.concat(F.lit("c"), (F.col("id") % 50).cast("string")).alias("client"), (F.col("id") * 9_000).alias("ms"), F.col("id").cast("int").alias("n")
     )
     logs = hot.unionByName(cold).withColumn("ts", F.timestamp_millis("ms"))
-    out = sessions.sessionize(logs, "client", "ts", hot_rows=10_000).withColumn("task", F.spark_partition_id())
+    out = sessions.sessionize(logs, "client", "ts").withColumn("task", F.spark_partition_id())
     per_task = [r["count"] for r in out.groupBy("task").count().collect()]
     assert sum(per_task) == 50_000
     assert max(per_task) < 25_000
-    plain = sessions.sessionize(logs, "client", "ts").exceptAll(out.drop("task"))
+    plain = sessions.sessionize(logs, "client", "ts", slice_ms=10**12).exceptAll(out.drop("task"))
     assert plain.isEmpty()
 
 
 def test_null_keys_stay_whole(spark):
     rows = [(None if n % 3 else "a", n * 1_000, n) for n in range(300)]
-    out = sessions.sessionize(frame(spark, rows), "client", "ts", hot_rows=10, slice_ms=20_000)
+    out = sessions.sessionize(frame(spark, rows), "client", "ts", slice_ms=20_000)
     assert out.count() == 300 and out.where("session_id IS NULL").count() == 200
     assert out.where("client = 'a'").agg(F.max("session_id")).first()[0] == 0
 
 
 def test_two_key_columns(spark):
     rows = [("a", 0, 1), ("a", 40_000, 1), ("a", 0, 2), ("a", 10, 2)]
-    out = sessions.sessionize(frame(spark, rows), ["client", "n"], "ts", hot_rows=0, slice_ms=1_000)
+    out = sessions.sessionize(frame(spark, rows), ["client", "n"], "ts", slice_ms=1_000)
     assert sorted((r.n, r.ms, r.session_id) for r in out.collect()) == [(1, 0, 0), (1, 40_000, 1), (2, 0, 0), (2, 10, 0)]
+
+
+def test_many_large_keys_and_a_burst(spark):
+    """More large keys than any list of them would hold, and one key with a burst inside one slice, on one path with two scans."""
+    many = spark.range(120_000).select((F.col("id") % 12_000).cast("string").alias("client"), (F.floor(F.col("id") / 12_000) * 20_000 * (1 + F.col("id") % 2)).alias("ms"))
+    burst = spark.range(20_000).select(F.lit("burst").alias("client"), (F.col("id") % 900).alias("ms"))
+    logs = many.unionByName(burst).withColumn("ts", F.timestamp_millis("ms"))
+    out = sessions.sessionize(logs, "client", "ts", 30_000)
+    ends = {r[0]: r[1:] for r in out.where("client IN ('0', '1', 'burst')").groupBy("client").agg(F.max("session_id"), F.count("*")).collect()}
+    assert ends == {"0": (0, 10), "1": (9, 10), "burst": (0, 20_000)}
+    assert out.where("session_id IS NULL").isEmpty()
+
+
+def test_two_scans(spark, sf_dir):
+    logs = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    plan = sessions.sessionize(logs, "user_id", "ts")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 2

@@ -14,7 +14,8 @@ def cache_as(spark: SparkSession, sql: str, name: str) -> DataFrame:
 
 def show_tables(spark: SparkSession, like: str | None = None) -> DataFrame:
     """Names of tables and views; `like` takes * and | as Spark does."""
-    return spark.sql("SHOW TABLES" + (f" LIKE '{like}'" if like else "")).select("tableName", "isTemporary")
+    pattern = (like or "*").replace("\\", "\\\\").replace("'", "\\'")
+    return spark.sql(f"SHOW TABLES LIKE '{pattern}'").select("tableName", "isTemporary")
 
 
 def table_sizes(spark: SparkSession, like: str | None = None) -> DataFrame:
@@ -55,10 +56,14 @@ def set_cached(spark: SparkSession, name: str, on: bool) -> bool:
     return spark.catalog.isCached(name)
 
 
-def define_view(df: DataFrame, name: str, where: Column | None = None, cols: list[str] | None = None) -> DataFrame:
-    """Named view with a filter and a projection; Spark merges both into the queries that use it."""
+def define_view(
+    df: DataFrame, name: str, where: Column | None = None, cols: list[str] | None = None, sort: list[str | Column] | None = None
+) -> DataFrame:
+    """Named view with a filter, a projection and an order; Spark merges them into the queries that use it."""
     out = df if where is None else df.where(where)
     if cols:
         out = out.select(*cols)
+    if sort:
+        out = out.orderBy(*sort)
     out.createOrReplaceTempView(name)
     return out

@@ -1,8 +1,8 @@
-"""Joins. Broadcasts are left to Spark's own size test or guarded by a row count."""
+"""Joins. Broadcasts are left to Spark's own size test."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
 from tidemark.functions.types import as_list
 
@@ -27,13 +27,13 @@ def join_topk(
 ) -> DataFrame:
     """Aggregate `fact` by key, keep the first `n` groups by `order`, then look up `dim`.
 
-    The join's small side has at most `n` rows, so sending it to every task is safe for any input size.
+    Spark knows that the small side has at most `n` rows, and decides by that.
     """
     grouped = fact.groupBy(key).agg(*aggs)
     if keep is not None:
         grouped = grouped.where(keep)
     top = grouped.orderBy(*order).limit(n)
-    return dim.join(F.broadcast(top), key)
+    return dim.join(top, key)
 
 
 def join_filtered(fact: DataFrame, dim: DataFrame, predicate: Column, on: Keys) -> DataFrame:
@@ -42,22 +42,15 @@ def join_filtered(fact: DataFrame, dim: DataFrame, predicate: Column, on: Keys)
     return fact.join(dim.where(predicate), on, "inner")
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True if `df` has at most `max_rows` rows; reads no more than it needs to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def hash_join(left: DataFrame, right: DataFrame, on: Keys, strategy: str = "hash", max_rows: int = 100_000) -> DataFrame:
+def hash_join(left: DataFrame, right: DataFrame, on: Keys, strategy: str = "hash") -> DataFrame:
     """Inner join with a chosen strategy.
 
-    hash       both sides partitioned by the key, a hash table per partition of the right side
-    broadcast  the right side goes to every task if it has at most `max_rows` rows, else as `auto`
-    auto       Spark decides
+    hash   both sides partitioned by the key, a hash table per partition of the right side
+    merge  both sides partitioned and sorted by the key
+    auto   Spark decides, by the sizes it knows or finds at run time
     """
-    if strategy == "hash":
-        return left.join(right.hint("shuffle_hash"), on)
-    if strategy == "broadcast":
-        return left.join(F.broadcast(right) if is_small(right, max_rows) else right, on)
-    if strategy == "auto":
-        return left.join(right, on)
-    raise ValueError(f"unknown strategy {strategy!r}")
+    hints = {"hash": "shuffle_hash", "merge": "merge", "auto": None}
+    if strategy not in hints:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    hint = hints[strategy]
+    return left.join(right.hint(hint) if hint else right, on)

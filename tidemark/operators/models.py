@@ -12,15 +12,17 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
+    ElementwiseProduct,
     HashingTF,
     IndexToString,
     Normalizer,
     StringIndexer,
     Word2Vec,
 )
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -69,6 +71,27 @@ class TokenWeight(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable
         return df.withColumn(self.getOutputCol(), F.concat(*parts))
 
 
+class FrequencyBounds(Estimator):
+    """Blanks the buckets of a vector column whose share of documents (with a value there) is out of bounds.
+
+    Fitting is one aggregate over vectors of a fixed length; the fitted stage is Spark's own element-wise product.
+    """
+
+    def __init__(self, input_col: str, output_col: str, min_df: float, max_df: float):
+        super().__init__()
+        self.input_col, self.output_col, self.min_df, self.max_df = input_col, output_col, min_df, max_df
+
+    def setOutputCol(self, value: str) -> FrequencyBounds:  # noqa: N802
+        self.output_col = value
+        return self
+
+    def _fit(self, df: DataFrame) -> ElementwiseProduct:
+        found = df.select(Summarizer.numNonZeros(F.col(self.input_col)).alias("n"), F.count(self.input_col).alias("rows")).first()
+        low, high = self.min_df * found["rows"], self.max_df * found["rows"]
+        mask = Vectors.dense([1.0 if low <= n <= high else 0.0 for n in found["n"]])
+        return ElementwiseProduct(scalingVec=mask, inputCol=self.input_col, outputCol=self.output_col)
+
+
 def vectorize(
     weights: Mapping[str, int],
     num_features: int = 10_000,
@@ -80,15 +103,15 @@ def vectorize(
 ) -> list:
     """Stages from text columns with weights to the column `features`.
 
-    Terms are hashed. With bounds on the share of documents a term occurs in, the `num_features` most
-    frequent terms within the bounds make up a vocabulary instead, which Spark holds on the driver.
+    Terms are hashed, with or without bounds on the share of documents a term occurs in; the bounds hold for
+    the buckets of the hash, whose number is fixed.
     """
     cols = list(weights)
     stages: list = [TokenWeight(inputCols=cols, outputCol="words", weights=[weights[c] for c in cols], kind=analyzer)]
-    if min_df > 0 or max_df < 1:
-        stages.append(CountVectorizer(inputCol="words", outputCol="counts", vocabSize=num_features, minDF=min_df, maxDF=max_df))
-    else:
-        stages.append(HashingTF(inputCol="words", outputCol="counts", numFeatures=num_features))
+    bounded = min_df > 0 or max_df < 1
+    stages.append(HashingTF(inputCol="words", outputCol="hashed" if bounded else "counts", numFeatures=num_features))
+    if bounded:
+        stages.append(FrequencyBounds("hashed", "counts", min_df, max_df))
     if idf:
         stages.append(IDF(inputCol="counts", outputCol="tfidf"))
     if norm:

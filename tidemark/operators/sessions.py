@@ -1,9 +1,8 @@
 """Gap-based sessions that hold up when one key has a large share of all rows.
 
-A plain window by key sorts all rows of that key in one task. That is fine for most keys. For the few that
-have very many rows the time line is cut into slices of fixed length: their rows are windowed by (key,
-slice), and the slices are joined up through one small row each that holds its first and last instant and
-the number of breaks inside.
+A plain window by key sorts all rows of that key in one task. Here the time line of every key is cut into slices
+of fixed length: rows are windowed by (key, slice), and the slices are joined up through one small row each that
+holds its first and last instant and the number of breaks inside. There is one path for all keys.
 """
 
 from __future__ import annotations
@@ -15,42 +14,27 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.functions.scalars import epoch_ms, make_id
 from tidemark.functions.types import as_list
 
-SLICE_MS = 300_000
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
+SLICE_MS = 60_000
 
 
-def sessionize(
-    df: DataFrame,
-    key: str | list[str],
-    ts: str,
-    gap_ms: int = 30_000,
-    slice_ms: int = SLICE_MS,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def sessionize(df: DataFrame, key: str | list[str], ts: str, gap_ms: int = 30_000, slice_ms: int = SLICE_MS) -> DataFrame:
     """Add `diff_ms`, the milliseconds since the key's previous row (null on its first), and `session_id`,
     the running count of gaps strictly longer than `gap_ms`, from 0 per key.
 
     Rows of one key with equal `ts` share a session. A row without a key or an instant belongs to no
     session: both columns are null.
 
-    `slice_ms` and `hot_rows` (keys with more rows are cut into slices) change how the work is spread, not
-    the result. The rows are shuffled once, by (key, slice), and the join to the slice rows keeps that
-    partitioning. `df` is read several times, mostly for its key and instant only; write it to a table
-    first if it is expensive.
+    `slice_ms` changes how the work is spread, not the result: no task sees more of a key than one slice of its
+    time, and the rows between slices are one per (key, slice). The rows are shuffled once, by (key, slice), and
+    the join to the slice rows keeps that partitioning. `df` is read twice, once for its key and instant only.
     """
     keys = as_list(key)
     where = [*keys, "_slice"]
     complete = reduce(lambda a, c: a & c, [F.col(c).isNotNull() for c in [*keys, ts]])
-    known = df.where(complete)
-
-    # the largest keys only, and at most MAX_HOT_KEYS of them, so the broadcast is bounded
-    sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = sizes.orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT_KEYS).select(*keys, F.lit(True).alias("_hot"))
-    cut = (
-        known.withColumn("_ms", epoch_ms(ts))
-        .join(F.broadcast(hot), keys, "left")
-        .withColumn("_slice", F.when(F.col("_hot"), F.expr(f"_ms div {int(slice_ms)}")).otherwise(F.lit(0)))
+    # rows without a key or an instant are spread by their content, so that they do not pile up in one task
+    spread = -1 - F.pmod(F.xxhash64(*(F.col(c) for c, kind in df.dtypes if not kind.startswith("map"))), F.lit(1 << 20))
+    cut = df.withColumns({"_ms": epoch_ms(ts), "_known": complete}).withColumn(
+        "_slice", F.when(F.col("_known"), F.expr(f"_ms div {int(slice_ms)}")).otherwise(spread)
     )
 
     def windowed(part: DataFrame) -> DataFrame:
@@ -59,7 +43,7 @@ def sessionize(
         return gap.withColumn("_local", F.sum(F.when(F.col("_gap") > gap_ms, 1).otherwise(0)).over(in_slice))
 
     edges = (
-        windowed(cut.where("_hot").select(*where, ts, "_ms"))
+        windowed(cut.where("_known").select(*where, ts, "_ms"))
         .groupBy(*where)
         .agg(F.min("_ms").alias("_first"), F.max("_ms").alias("_last"), F.max("_local").alias("_inner"))
     )
@@ -73,20 +57,16 @@ def sessionize(
     edges = edges.select(*where, "_prev", offset.alias("_offset"))
 
     joined = windowed(cut).join(edges, where, "left")
-    placed = joined.select(
+    return joined.select(
         *df.columns,
-        F.coalesce(F.col("_gap"), F.col("_ms") - F.col("_prev")).alias("diff_ms"),
-        (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("bigint").alias("session_id"),
+        F.when(F.col("_known"), F.coalesce(F.col("_gap"), F.col("_ms") - F.col("_prev"))).alias("diff_ms"),
+        F.when(F.col("_known"), F.col("_local") + F.col("_offset")).cast("bigint").alias("session_id"),
     )
-    none = F.lit(None).cast("bigint")
-    return placed.unionByName(df.where(~complete).select(*df.columns, none.alias("diff_ms"), none.alias("session_id")))
 
 
-def with_gap_ms(
-    df: DataFrame, key: str | list[str], ts: str, slice_ms: int = SLICE_MS, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_gap_ms(df: DataFrame, key: str | list[str], ts: str, slice_ms: int = SLICE_MS) -> DataFrame:
     """Add `diff_ms` only."""
-    return sessionize(df, key, ts, slice_ms=slice_ms, hot_rows=hot_rows).drop("session_id")
+    return sessionize(df, key, ts, slice_ms=slice_ms).drop("session_id")
 
 
 def session_summary(sessions: DataFrame, key: str, ts: str, measure: str) -> DataFrame:

@@ -197,6 +197,16 @@ def a10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return click_weights(b.clicks(spark, sf_dir).withColumnRenamed("item", "doc_id"))
 
 
+@query(
+    "a10_click_weight_sum",
+    f"WITH {b.CLICKS} SELECT query, item AS doc_id, CAST(sum(1 + user_id % 3) AS BIGINT) AS weight FROM clicks GROUP BY query, item",
+)
+def a10_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals that carry a weight of their own."""
+    clicks = b.clicks(spark, sf_dir).withColumnRenamed("item", "doc_id").withColumn("count", 1 + F.col("user_id") % 3)
+    return click_weights(clicks, "count")
+
+
 _PROFILE = f"""WITH {b.USERS}, u AS (SELECT *, string_split(lower(occupation), 'i') AS parts FROM users),
   vals AS (SELECT 'gender' AS "column", gender AS value FROM u UNION ALL SELECT 'occupation', occupation FROM u
     UNION ALL SELECT 'parts', unnest(parts) FROM u),
@@ -321,5 +331,5 @@ def d05(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = bounding_box("latitude", "longitude", b.CENTRE, b.RADIUS_KM) & (
         distance_km("latitude", "longitude", b.CENTRE) <= b.RADIUS_KM
     )
-    catalog.define_view(b.homes(spark, sf_dir), "near_homes", near, ["user_id", "place_name", "latitude"])
-    return spark.table("near_homes").withColumn("latitude", F.round("latitude", 4)).orderBy("user_id")
+    catalog.define_view(b.homes(spark, sf_dir), "near_homes", near, ["user_id", "place_name", "latitude"], sort=["user_id"])
+    return spark.table("near_homes").withColumn("latitude", F.round("latitude", 4))

@@ -9,7 +9,7 @@ from tidemark.functions.scalars import iso
 from tidemark.operators import facets, joins, predicates
 from tidemark.plans import bindings as b
 from tidemark.plans.registry import query
-from tidemark.scratch import fresh_path
+from tidemark.scratch import fresh_path, materialize
 from tidemark.sources import writers
 
 _BUCKET = "CAST(('0x' || substr(md5('{seed}:' || {key}), 1, 8)) AS BIGINT) % 100"
@@ -203,7 +203,7 @@ def j06(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {b.USERS}, {b.ZIPS} SELECT user_id, zip_code, state FROM users JOIN zips USING (zip_code)",
 )
 def j06_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = joins.hash_join(b.users(spark, sf_dir), b.zips(spark, sf_dir), "zip_code", "broadcast")
+    joined = joins.hash_join(b.users(spark, sf_dir), b.zips(spark, sf_dir), "zip_code", "auto")
     return joined.select("user_id", "zip_code", "state")
 
 
@@ -213,13 +213,19 @@ def j06_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM ratings JOIN movies USING (movie_id) GROUP BY movie_id, title""",
 )
 def j06_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings, movies = b.ratings(spark, sf_dir), b.movies(spark, sf_dir).select("movie_id", "title")
+    buckets, names = writers.buckets_for(ratings), []
+
     def stored(df: DataFrame, name: str) -> DataFrame:
         path = fresh_path(spark, name)
-        return writers.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, "movie_id", 8)
-
-    left = stored(b.ratings(spark, sf_dir), "ratings-by-movie")
-    right = stored(b.movies(spark, sf_dir).select("movie_id", "title"), "movies-by-movie")
-    return left.join(right, "movie_id").groupBy("movie_id", "title").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total"))
+        names.append(path.rsplit("/", 1)[1].replace("-", "_"))
+        return writers.write_bucketed(df, names[-1], path, "movie_id", buckets)
+
+    joined = stored(ratings, "ratings-by-movie").join(stored(movies, "movies-by-movie"), "movie_id")
+    out = materialize(joined.groupBy("movie_id", "title").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total")), "by-movie")
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return out
 
 
 @query(

@@ -78,12 +78,21 @@ def read_corpus(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", pa
 def explode_signals(df: DataFrame, json_col: str) -> DataFrame:
     """`{query: {signals: [{docId, count}], rank: [...]}}` to one row (query, doc_id, count) per signal."""
     # the outer forms keep Spark from parsing the text once more to see if it is empty
-    shape = "map<string,struct<signals:array<struct<docId:string,count:string>>,rank:array<string>>>"
-    per_query = df.select(F.explode_outer(F.from_json(json_col, shape)).alias("query", "entry"))
-    flat = per_query.select("query", F.inline_outer("entry.signals").alias("doc_id", "count"))
+    flat = _signal_entries(df, json_col).select("query", F.inline_outer("entry.signals").alias("doc_id", "count"))
     return flat.where(F.col("doc_id").isNotNull()).select("query", "doc_id", F.col("count").try_cast("int").alias("count"))
 
 
+def explode_ranks(df: DataFrame, json_col: str) -> DataFrame:
+    """The `rank` lists of the same shape: one row (query, doc_id, rank) for each place, from 1."""
+    flat = _signal_entries(df, json_col).select("query", F.posexplode_outer("entry.rank").alias("at", "doc_id"))
+    return flat.where(F.col("doc_id").isNotNull()).select("query", "doc_id", (F.col("at") + 1).alias("rank"))
+
+
+def _signal_entries(df: DataFrame, json_col: str) -> DataFrame:
+    shape = "map<string,struct<signals:array<struct<docId:string,count:string>>,rank:array<string>>>"
+    return df.select(F.explode_outer(F.from_json(json_col, shape)).alias("query", "entry"))
+
+
 def scan(df: DataFrame, require: str | list[str], fields: list[str], splits: int | None = None) -> DataFrame:
     """Rows that have all `require` columns, cut to `fields`. Both reach the Parquet scan.
 
@@ -97,15 +106,6 @@ def scan(df: DataFrame, require: str | list[str], fields: list[str], splits: int
     return out.repartition(splits) if splits else out
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Scan with fewer tasks than the session has cores (a few files that cannot be split) spread by key.
-
-    For work that costs much more per row than a shuffle. A scan with enough tasks stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_time_partitions(
     spark: SparkSession,
     path: str,

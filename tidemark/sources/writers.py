@@ -29,6 +29,42 @@ def upsert(target: DataFrame, changes: DataFrame, key: str | list[str], order: l
     return latest_per_key(both, key, [*order, "_gen"]).drop("_gen")
 
 
+def upsert_table(target: str, changes: DataFrame, key: str | list[str], order: list[str], parts: int = 64) -> list[int]:
+    """Apply `changes` to the table stored at `target`, which is made if it is not there, and return the parts written.
+
+    The table is kept in `parts` folders by a hash of the key (the number is chosen once, with the first call). Only the
+    folders that hold a changed key are read, merged and replaced, in one commit; the others stay as they are.
+    """
+    spark = changes.sparkSession
+    tagged = changes.withColumn("_part", F.pmod(F.xxhash64(*as_list(key)), F.lit(parts)).cast("int"))
+    touched = [r["_part"] for r in tagged.select("_part").distinct().collect()]  # at most `parts`
+    merged = tagged
+    if _exists(spark, target):
+        merged = spark.read.schema(tagged.schema).parquet(target).where(F.col("_part").isin(touched))
+        merged = upsert(merged, tagged, key, order)
+    else:
+        merged = latest_per_key(tagged, key, order)
+    if touched:
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(target)
+    return sorted(touched)
+
+
+def read_upserted(spark: SparkSession, target: str, schema: StructType | str) -> DataFrame:
+    """The rows of a table written by `upsert_table`."""
+    return spark.read.schema(schema).parquet(target).drop("_part")
+
+
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's file system for a path, and the path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, at = _folder(spark, path)
+    return files.exists(at)
+
+
 def write_batched(df: DataFrame, path: str, batch_size: int, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write files of at most `batch_size` rows; the last file of each partition may be shorter."""
     df.write.mode(mode).option("maxRecordsPerFile", batch_size).format(fmt).save(path)
@@ -48,6 +84,12 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     return spark.table(table)
 
 
+def buckets_for(df: DataFrame, bytes_per_bucket: int = 256 << 20) -> int:
+    """A number of buckets by the size Spark estimates for the frame, one at least."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, -(-size // bytes_per_bucket))
+
+
 def with_output_partitions(df: DataFrame, n: int) -> DataFrame:
     """Even, round-robin spread over `n` output partitions."""
     return df.repartition(n)
@@ -91,11 +133,23 @@ def with_time_partition(df: DataFrame, ts: str, period: str = "day") -> DataFram
     return df.withColumn("dt", F.date_format(F.col(ts).cast("timestamp"), partition_format(period)))
 
 
-def newest_partitions(df: DataFrame, max_active: int) -> DataFrame:
-    """Rows of the newest `max_active` partitions. The kept names are at most `max_active` rows, so they
-    can be sent to every task."""
-    kept = df.select("dt").distinct().orderBy(F.col("dt").desc()).limit(max_active)
-    return df.join(F.broadcast(kept), "dt", "left_semi")
+def stored_partitions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the days or hours stored at `path`, oldest first; a listing, no read."""
+    files, at = _folder(spark, path)
+    if not files.exists(at):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(at) if f.isDirectory()]
+    return sorted(n.removeprefix("dt=") for n in names if n.startswith("dt="))
+
+
+def expire_partitions(spark: SparkSession, path: str, max_active: int) -> list[str]:
+    """Delete all but the newest `max_active` partitions of a stored table; returns the names that went."""
+    stored = stored_partitions(spark, path)
+    old = stored[: max(0, len(stored) - max_active)]
+    files, _ = _folder(spark, path)
+    for name in old:
+        files.delete(_folder(spark, f"{path}/dt={name}")[1], True)
+    return old
 
 
 def write_time_partitions(
@@ -105,16 +159,28 @@ def write_time_partitions(
     period: str = "day",
     max_active: int | None = None,
     mode: str = "overwrite",
+    delete_expired: bool = False,
 ) -> None:
-    """Write one folder per day or hour, optionally only the newest `max_active` of them.
+    """Write one folder per day or hour.
+
+    With `max_active`, only rows of the newest so many partitions are written, counting those already stored (none, in
+    mode overwrite). Stored partitions beyond them stay unless `delete_expired` is set.
 
     The rebalance hint brings rows of a partition together, splits a partition that is far larger than
     the others over several tasks, and merges small ones.
     """
+    spark = df.sparkSession
     out = with_time_partition(df, ts, period)
     if max_active is not None:
-        out = newest_partitions(out, max_active)
+        newest = out.select("dt").distinct().orderBy(F.col("dt").desc()).limit(max_active)
+        names = {r["dt"] for r in newest.where("dt IS NOT NULL").collect()}  # at most max_active
+        if mode == "append":
+            names.update(stored_partitions(spark, path))
+        kept = sorted(names)[-max_active:]
+        out = out.where(F.col("dt") >= kept[0]) if kept else out.where("dt IS NOT NULL")
     out.hint("rebalance", F.col("dt")).write.mode(mode).partitionBy("dt").parquet(path)
+    if max_active is not None and delete_expired:
+        expire_partitions(spark, path, max_active)
 
 
 def read_back(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
