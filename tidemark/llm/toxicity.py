@@ -143,7 +143,8 @@ def train(samples: list[tuple[str | None, int]], shares: dict[int, float] | None
     labels = {y for _, y in samples}
     if labels != {0, 1}:
         return Model(b"", b"", {}, (30.0 if labels == {1} else -30.0, 0.0, 0.0))
-    cut = [(windows(t), y) for t, y in samples]
+    known: dict[str, str] = {}  # one string for all occurrences of a window
+    cut = [([known.setdefault(w, w) for w in windows(t)], y) for t, y in samples]
     dictionaries = _dictionaries(cut)
     scorer = Scorer(Model(*dictionaries, {}, (0.0, 0.0, 0.0)))
     pairs = {w: scorer.lengths(w) for w in set().union(*(found for found, _ in cut))}
