@@ -288,8 +288,9 @@ def _unit(values: Column) -> Column:
 
 
 def word_vectors(input_col: str, output_col: str, dim: int, window: int = 5, step: float = 0.025, iters: int = 1,
-                 max_sentence: int = 1000, seed: int = 1234, partitions: int = 1, min_count: int = 5) -> Word2Vec:
-    """Word vector estimator; `partitions` trades training speed for accuracy."""
+                 max_sentence: int = 1000, seed: int = 1234, partitions: int = 1, min_count: int = 0) -> Word2Vec:
+    """Word vector estimator; `partitions` trades training speed for accuracy. Spark holds its vocabulary on the driver, so it is
+    for vocabularies that fit there; a `min_count` leaves rarer words without a vector."""
     if dim <= 0:
         raise ValueError("dimension 0 means no word vectors; leave the stage out")
     return Word2Vec(

@@ -223,9 +223,22 @@ def a11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facets.column_profile(users, ["gender", "occupation", "parts", "age"], top_n=3)
 
 
-@query("a11_approx_profile")
+_NEAR = ["user_id", "movie_id", "rating"]
+
+
+@query("a11_approx_profile", "SELECT " + ", ".join(f"true AS {c}_distinct, true AS {c}_median" for c in _NEAR))
 def a11_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facets.approx_profile(b.ratings(spark, sf_dir), ["user_id", "movie_id", "rating"])
+    """Whether the sketches are within a tenth of the exact number of distinct values, and the medians between the exact quantiles around."""
+    ratings = b.ratings(spark, sf_dir)
+    near = facets.approx_profile(ratings, _NEAR)
+    exact = ratings.agg(
+        *(F.countDistinct(c).alias(f"n_{c}") for c in _NEAR), *(F.percentile(c, F.array(F.lit(0.45), F.lit(0.55))).alias(f"q_{c}") for c in _NEAR)
+    )
+    both = near.withColumn("exact", exact.select(F.struct("*")).scalar())
+    return both.select(
+        *((F.abs(F.col(f"{c}_distinct") - F.col(f"exact.n_{c}")) <= 1 + 0.1 * F.col(f"exact.n_{c}")).alias(f"{c}_distinct") for c in _NEAR),
+        *(F.col(f"{c}_median").between(F.col(f"exact.q_{c}")[0], F.col(f"exact.q_{c}")[1]).alias(f"{c}_median") for c in _NEAR),
+    )
 
 
 @query(

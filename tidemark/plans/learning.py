@@ -40,37 +40,56 @@ def m02(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
     """Documents with the language as label, split by a hash of the text; and the label names."""
-    docs = b.documents(spark, sf_dir).select("doc_id", "text", "lang")
+    docs = b.documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
     indexer = models.label_index(docs.select("lang"), "lang")
     train, test = models.hash_split(indexer.transform(docs), "text", 70, "split")
     return train, test, indexer.labels
 
 
+def _checked(predicted: DataFrame, col: str, labels: list[str]) -> DataFrame:
+    """What must hold of predictions on rows kept back: their number, no label from outside, better than the commonest label."""
+    known = F.coalesce(F.col(col).isin(labels), F.lit(False))
+    right = F.avg((F.col(col) == F.col("lang")).cast("int"))
+    most = predicted.groupBy("lang").count().agg(F.max("count")).scalar()
+    out = predicted.agg(F.count(F.lit(1)).alias("n"), F.min(known).alias("known"), right.alias("right"))
+    return out.select("n", "known", (F.col("right") * F.col("n") > most).alias("above_majority"))
+
+
+_KEPT_BACK = "CAST(('0x' || substr(md5('split:' || coalesce(text, '')), 1, 8)) AS BIGINT) % 100 >= 70"
+_CHECKED_SQL = f"SELECT count(*) AS n, true AS known, true AS above_majority FROM documents WHERE {_KEPT_BACK}"
+
+
 def _predictions(spark: SparkSession, sf_dir: str, kind: str, **params) -> DataFrame:
     train, test, labels = _labelled(spark, sf_dir)
     model = models.text_classifier(kind, ["text"], labels, **params).fit(train)
-    return models.confusion(model.transform(test), "lang", "predicted_label")
+    return _checked(model.transform(test), "predicted_label", labels)
 
 
-@query("m03_naive_bayes")
+@query("m03_naive_bayes", _CHECKED_SQL)
 def m03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predictions(spark, sf_dir, "naive_bayes", num_features=5_000)
 
 
-@query("m04_cross_validate")
+#: Labelled documents that the settings are compared on, those with the least hashes of their ids; the fit that stays takes all.
+TUNE_ROWS = 2_000
+
+
+@query("m04_cross_validate", f"SELECT 24 AS settings, 4 AS folds, * FROM ({_CHECKED_SQL})")
 def m04(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 settings (analyzer, prefix, size, smoothing) by 4 folds over at most TUNE_ROWS rows; the winner is fitted on all rows."""
     train, test, labels = _labelled(spark, sf_dir)
+    train = train.select("doc_id", "text", "lang", "label").cache()
+    sample = materialize(train.orderBy(hash_bucket("doc_id", 1 << 32, "tune"), "doc_id").limit(TUNE_ROWS), "tune")
     pipeline = models.text_classifier("naive_bayes", ["text"], labels, num_features=5_000)
-    analyzer, _, bayes = pipeline.getStages()[:3]
-    grid = ParamGridBuilder().addGrid(analyzer.kind, ["whitespace", "standard"]).addGrid(bayes.smoothing, [1.0, 0.25]).build()
-    tuned = models.tune(pipeline, grid, train, folds=2)
-    # which setting won, and how it does on the rows kept back
-    best = tuned.bestModel
-    held_out = models.accuracy(best.transform(test), "lang", "predicted_label")
-    return held_out.select(
-        F.lit(best.stages[0].getOrDefault("kind")).alias("analyzer"), F.lit(float(best.stages[2].getOrDefault("smoothing"))).alias("smoothing"),
-        F.lit(len(grid)).alias("settings"), F.lit(float(max(tuned.avgMetrics))).alias("cv_accuracy"), "n", "accuracy", "error",
+    analyzer, hashing, bayes = pipeline.getStages()[:3]
+    grid = (
+        ParamGridBuilder().addGrid(analyzer.kind, ["whitespace", "standard"]).addGrid(analyzer.prefix, [False, True])
+        .addGrid(hashing.numFeatures, [1_000, 5_000]).addGrid(bayes.smoothing, [1.0, 0.5, 0.25]).build()
     )
+    tuned = models.tune(pipeline, grid, sample, folds=4, parallelism=8)
+    best = grid[max(range(len(grid)), key=lambda i: tuned.avgMetrics[i])]
+    checked = _checked(pipeline.fit(train, best).transform(test), "predicted_label", labels)
+    return checked.select(F.lit(len(grid)).alias("settings"), F.lit(tuned.getNumFolds()).alias("folds"), "n", "known", "above_majority")
 
 
 _PREDICTED = """CASE WHEN CAST(('0x' || substr(md5('guess:' || doc_id), 1, 8)) AS BIGINT) % 100 < 80 THEN lang ELSE 'en' END"""
@@ -96,37 +115,46 @@ def m05_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.confusion(_saved_predictions(spark, sf_dir), "lang", "predicted")
 
 
-@query("m06_logistic")
+@query("m06_logistic", _CHECKED_SQL)
 def m06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Body counts three times as much as the subject, which every fourth document lacks."""
+    """Body counts three times as much as the source, which every fourth document lacks."""
     train, test, labels = _labelled(spark, sf_dir)
-    subject = F.when(F.col("doc_id") % 4 > 0, F.array_join(F.slice(tokens("text"), 1, 5), " "))
-    model = models.field_classifier("logistic", {"text": 3, "subject": 1}, labels).fit(train.withColumn("subject", subject))
-    return models.confusion(model.transform(test.withColumn("subject", subject)), "lang", "predicted_label")
+    train, test = (part.withColumn("origin", F.when(F.col("doc_id") % 4 > 0, F.col("source"))) for part in (train, test))
+    model = models.field_classifier("logistic", {"text": 3, "origin": 1}, labels).fit(train)
+    return _checked(model.transform(test), "predicted_label", labels)
 
 
-@query("m07_svm_sentiment")
+@query("m07_svm_sentiment", "SELECT doc_id, true AS scored FROM documents")
 def m07(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = b.documents(spark, sf_dir).select("doc_id", "text")
     labels = b.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     model = models.text_classifier("linear_svm", ["text"], idf=True, norm=2.0, num_features=5_000).fit(docs.join(labels, "doc_id"))
     # every document is scored, labelled or not
-    return models.score(docs, model, ["text"], "prediction", "sentiment_d").select("doc_id", "sentiment_d")
+    scored = models.score(docs, model, ["text"], "prediction", "sentiment_d")
+    return scored.select("doc_id", F.coalesce(F.col("sentiment_d").isin(0.0, 1.0), F.lit(False)).alias("scored"))
+
+
+_IN_RANGE = "SELECT {0}, true AS in_range, (SELECT count(*) FROM {1}) >= {2} AS enough_rows FROM {1}"
+
+
+def _assigned(clustered: DataFrame, key: str, k: int) -> DataFrame:
+    rows = clustered.agg(F.count(F.lit(1))).scalar()
+    return clustered.select(key, F.coalesce(F.col("cluster").between(0, k - 1), F.lit(False)).alias("in_range"), (rows >= k).alias("enough_rows"))
 
 
-@query("m08_kmeans")
+@query("m08_kmeans", _IN_RANGE.format("doc_id", "documents", 30))
 def m08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = b.documents(spark, sf_dir).select("doc_id", "text", F.array_join(F.slice(tokens("text"), 1, 5), " ").alias("title"))
-    features = models.text_features(["title", "text"], num_features=10_000).fit(docs).transform(docs).select("doc_id", "features")
-    _, clustered = models.cluster(features, "features", k=30, iters=20)
-    return clustered.select("doc_id", "cluster")
+    docs = b.documents(spark, sf_dir).select("doc_id", "text", F.col("source").alias("title"))
+    features = models.text_features(["title", "text"], num_features=100_000).fit(docs).transform(docs).select("doc_id", "features")
+    _, clustered = models.cluster(features.cache(), "features", k=30, iters=100)
+    return _assigned(clustered, "doc_id", 30)
 
 
-@query("m08_kmeans_embeddings")
+@query("m08_kmeans_embeddings", _IN_RANGE.format("vec_id", "embeddings", 10))
 def m08_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = b.table(spark, sf_dir, "embeddings").select("vec_id", "label", array_to_vector(models.l2_normalize("embedding")).alias("features"))
-    _, clustered = models.cluster(vectors, "features", k=10, iters=20)
-    return clustered.select("vec_id", "label", "cluster")
+    _, clustered = models.cluster(vectors, "features", k=10, iters=100)
+    return _assigned(clustered, "vec_id", 10)
 
 
 def _saved_model(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, PipelineModel, str]:

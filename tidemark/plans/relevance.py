@@ -70,10 +70,19 @@ def r03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.items_for_users(inter, recommend.similar_items(inter, 10), 5)
 
 
-@query("r03_als_items_for_user")
+@query(
+    "r03_als_items_for_user",
+    f"""WITH {b.RATINGS} SELECT user_id, least(5, (SELECT count(DISTINCT movie_id) FROM ratings)) AS n, true AS ranks, true AS by_score
+        FROM (SELECT DISTINCT user_id FROM ratings)""",
+)
 def r03_als(spark: SparkSession, sf_dir: str) -> DataFrame:
     inter = signals.interactions(b.ratings(spark, sf_dir), "user_id", "movie_id")
-    return recommend.recommend_for_users(inter, 5, item="movie_id")
+    found = recommend.recommend_for_users(inter, 5, item="movie_id")
+    lists = found.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("rank", "score", "movie_id"))).alias("l"))
+    ranks = F.transform("l", lambda x: x["rank"]) == F.sequence(F.lit(1), F.size("l"))
+    scores = F.transform("l", lambda x: x["score"])
+    distinct = F.size(F.array_distinct(F.transform("l", lambda x: x["movie_id"])))
+    return lists.select(F.col("user_id").cast("bigint").alias("user_id"), distinct.cast("bigint").alias("n"), ranks.alias("ranks"), (scores == F.sort_array(scores, asc=False)).alias("by_score"))
 
 
 _BOOSTS = """boosts AS (SELECT query, doc_id, weight, CAST(row_number() OVER (PARTITION BY query ORDER BY weight DESC, doc_id) AS INTEGER) AS rank

@@ -223,11 +223,13 @@ def x09(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Pipeline(stages=stages).fit(docs).transform(docs).select("doc_id", _total("features").alias("total"))
 
 
-@query("x10_word2vec")
+@query("x10_word2vec", f"SELECT doc_id, 16 AS size, true AS finite, len({_TOKS}) > 0 AS moved FROM documents")
 def x10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = b.documents(spark, sf_dir).select("doc_id", tokens("text").alias("words"))
-    model = models.word_vectors("words", "vector", dim=16, partitions=8).fit(docs)
-    return model.transform(docs).select("doc_id", F.posexplode(vector_to_array("vector")).alias("pos", "value"))
+    vectors = models.word_vectors("words", "vector", dim=16, partitions=8, min_count=0).fit(docs).transform(docs)
+    values = vector_to_array("vector")
+    finite = F.forall(values, lambda v: F.abs(v) < 1e6)
+    return vectors.select("doc_id", F.size(values).alias("size"), finite.alias("finite"), F.exists(values, lambda v: v != 0).alias("moved"))
 
 
 # ---- entity tags ---------------------------------------------------------------------------------------
