@@ -46,11 +46,11 @@ def rebalance(slot_map: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
     held = slot_map.join(F.broadcast(loads), "virtual_slot", "left").select(
         "version", "virtual_slot", "shard", F.coalesce("bytes", F.lit(0)).alias("bytes")
     )
-    total = held.agg(F.sum("bytes").alias("total"))
+    total = held.agg(F.sum("bytes")).scalar()
     order = Window.partitionBy("shard").orderBy(F.desc("bytes"), "virtual_slot")
-    marked = held.crossJoin(F.broadcast(total)).select(  # one row, so no pairs
+    marked = held.select(
         "version", "virtual_slot", "shard", "bytes",
-        ((F.col("shard") < shards) & (F.sum("bytes").over(order) * shards <= F.col("total"))).alias("keeps"),
+        ((F.col("shard") < shards) & (F.sum("bytes").over(order) * shards <= total)).alias("keeps"),
     )
     gathered = marked.agg(
         F.max("version").alias("version"),
