@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.scratch import fresh_path, materialize, shared_root
+from tidemark.scratch import clean_up, fresh_path, materialize, shared_root
 from tidemark.functions.scalars import split_list
 from tidemark.sources import readers, writers
 from tidemark.sources.jobs import LoadSpec, bulk_load
@@ -177,3 +177,12 @@ def test_every_row_has_a_bucket(spark):
     df = spark.createDataFrame([("a",), (None,)], "k string")
     one, two = hash_split(df, "k", 50)
     assert one.count() + two.count() == 2
+
+
+def test_clean_up(spark):
+    import os
+
+    df = materialize(spark.range(5), "kept-for-now")
+    path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.exists(path) and clean_up(spark) >= 1 and not os.path.exists(path)
+    assert clean_up(spark) == 0

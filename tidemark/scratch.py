@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# folders of local-mode sessions without the setting, and what each application has been given, by application
+_LOCAL: dict[str, str] = {}
+_GIVEN: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -19,16 +22,18 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(_SETTING, None) or sc.getConf().get(_SETTING)
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise ValueError(f"set {_SETTING} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if sc.applicationId not in _LOCAL:
+        _LOCAL[sc.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL[sc.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _GIVEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -36,3 +41,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete what this application wrote below the shared folder; returns the number of paths that were there.
+
+    Frames that read such a table cannot be computed afterwards, so call it when their results are stored.
+    """
+    given, gone = _GIVEN.pop(spark.sparkContext.applicationId, []), 0
+    for path in given:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True))
+    return gone
