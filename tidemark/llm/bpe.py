@@ -37,8 +37,8 @@ from tidemark.llm.frames import pick, share
 LEXICON = 1 << 16
 #: Longest word of the lexicon, in bytes; longer ones are merged each time.
 LONGEST = 64
-#: White-space-free pieces whose ids a task keeps at hand.
-PIECES = 1 << 18
+#: White-space-free pieces whose ids a task keeps at hand; once it has so many, new ones are worked out each time.
+PIECES = 1 << 19
 
 _ODD = re.compile("[\x1c-\x1f]")  # white space to Python, none to Unicode
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -241,16 +241,14 @@ def map_lexicon(content: bytes, digest: str) -> Lexicon:
 
 
 class _Pieces(dict):
-    """Ids of pieces seen lately."""
+    """Ids of pieces, those seen first; a frequent one is among them."""
 
     def __init__(self, encode: Callable[[str], list[int]]):
         self.encode = encode
 
     def __missing__(self, piece: str) -> list[int]:
         ids = self.encode(piece)
-        if len(piece) <= LONGEST:
-            if len(self) >= PIECES:
-                self.clear()
+        if len(self) < PIECES and len(piece) <= LONGEST:
             self[piece] = ids
         return ids
 
