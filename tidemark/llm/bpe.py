@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import words as W
 from tidemark.llm.frames import pick, share
+from tidemark.scratch import materialize
 
 #: Words in the lexicon; it takes some tens of bytes for each.
 LEXICON = 1 << 16
@@ -354,9 +355,20 @@ def word_counts(documents: DataFrame, text: str, rules: Rules) -> DataFrame:
 
 
 def build_lexicon(documents: DataFrame, text: str, rules: Rules, size: int = LEXICON) -> bytes:
-    """The compiled lexicon of the `size` most frequent words, ties by byte order. Only these words come to the driver."""
+    """The compiled lexicon of the `size` most frequent words, ties by byte order. Only these words come to the driver.
+
+    Counts fall into some thousand levels; the rows of each level say from which one on words can be among the first, so only
+    those are sorted, not `size` words of every partition.
+    """
     codec = rules.codec()
-    rows = word_counts(documents, text, rules).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
+    level = F.when(F.col("n") < 4096, F.col("n")).otherwise(F.floor(F.log2("n") * 512 - 2048)).alias("level")
+    counted = materialize(word_counts(documents, text, rules).select("word", "n", level), "word-counts")
+    least, held = 0, 0
+    for row in counted.groupBy("level").count().orderBy(F.desc("level")).collect():
+        least, held = row["level"], held + row["count"]
+        if held >= size:
+            break
+    rows = counted.where(F.col("level") >= least).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
     return compile_lexicon({bytes(r["word"]): codec.encode_word(bytes(r["word"])) for r in rows})
 
 
