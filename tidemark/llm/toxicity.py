@@ -38,7 +38,8 @@ WORTH = 1.5
 MOST = 100.0
 #: Toxic documents that must have a window before it may enter the toxic dictionary, so that it holds no single document by heart.
 SEVERAL = 3
-CACHE = 1 << 18
+#: Windows whose worth a task keeps at hand.
+CACHE = 1 << 19
 
 
 def _train(samples: list[bytes], size: int, segment: int) -> bytes:
@@ -84,7 +85,7 @@ class Model:
 
 
 class Scorer(dict):
-    """Worth of each window, kept for the windows seen lately."""
+    """Worth of each window, kept for those seen first; a frequent one is among them."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -95,9 +96,9 @@ class Scorer(dict):
         return len(self.with_ordinary.compress(framed)), len(self.with_toxic.compress(framed))
 
     def __missing__(self, window: str) -> float:
-        if len(self) >= CACHE:
-            self.clear()
-        self[window] = worth = self.model.worth.get(self.lengths(window), 0.0)
+        worth = self.model.worth.get(self.lengths(window), 0.0)
+        if len(self) < CACHE:
+            self[window] = worth
         return worth
 
     def features(self, text: str | None) -> tuple[float, float, float]:
