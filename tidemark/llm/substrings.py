@@ -62,9 +62,7 @@ def _segments(found: W.Words, width: int, size: int) -> tuple[np.ndarray, np.nda
         return np.zeros(0, np.uint64), at, at, at
     new = np.flatnonzero(np.concatenate([[True], (np.diff(place[at]) != 0) | (np.diff(at) != 1)]))
     begin = at[new]
-    text = np.searchsorted(found.first, begin, "right") - 1
-    cut = np.concatenate([[True], np.diff(text) != 0])  # places of two texts can adjoin only if width is 1
-    assert cut[0]
+    text = np.searchsorted(found.first, begin, "right") - 1  # windows of two texts never adjoin, as width is over 1
     return hashes[place[begin]], text, begin, np.diff(np.concatenate([new, [len(at)]]))
 
 
