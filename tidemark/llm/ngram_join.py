@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import bit_filter, components, in_filter, pick, text_key
+from tidemark.llm.frames import bit_filter, components, in_filter, pick, share, text_key
 from tidemark.scratch import materialize
 
 #: The counters: 2**COUNTER_BITS, in chunks of 2**16.
 COUNTER_BITS = 22
 FILTER_BITS = 24
+LISTED_BITS = 26
 #: Heads of a list: the smallest id, and others by so many hashes.
 HEADS = 2
 
@@ -153,8 +154,23 @@ def _verified(pairs: DataFrame, documents: DataFrame, classes: DataFrame, size:
     return materialize(linked.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "shingle-links")
 
 
-def _entries(classes: DataFrame) -> DataFrame:
-    return classes.select(F.col("set_id").alias("node"), "doc_id", "n", F.posexplode("prefix").alias("i", "token"))
+def _entries(classes: DataFrame, listed: Callable[[], np.ndarray]) -> DataFrame:
+    """node, doc_id, n, i, token: the places of each prefix whose shingle may be in another prefix too."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = listed()
+        for batch in batches:
+            prefix = batch.column(3)
+            sizes = prefix.value_lengths().to_numpy()
+            tokens = prefix.flatten().to_numpy()
+            place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            hit = in_filter(bits, tokens.view(np.uint64))
+            row = np.repeat(np.arange(len(sizes)), sizes)[hit]
+            taken = [batch.column(i).take(pa.array(row)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(place[hit].astype(np.int32)), pa.array(tokens[hit])], names=["node", "doc_id", "n", "i", "token"])
+
+    kind = classes.schema["doc_id"].dataType.simpleString()
+    return classes.select("set_id", "doc_id", "n", "prefix").mapInArrow(keep, f"node binary, doc_id {kind}, n long, i int, token long")
 
 
 def verified_links(documents: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -163,7 +179,10 @@ def verified_links(documents: DataFrame, classes: DataFrame, size: int, percent:
     members = classes.select("n", "prefix_id", "set_id").join(groups.where("rows > 1"), ["n", "prefix_id"]).where("set_id <> head.set_id")
     members = materialize(members.select(F.col("set_id").alias("x"), F.col("head.set_id").alias("y")), "shingle-members")
 
-    entries = _entries(classes.join(members.select(F.col("x").alias("set_id")), "set_id", "leftanti"))
+    # shingles of one prefix alone join with nothing; they are told by their number, without the rows they are from
+    several = classes.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1")
+    bits = share(documents.sparkSession, bit_filter(materialize(several, "shingle-listed"), "token", LISTED_BITS))
+    entries = materialize(_entries(classes.join(members.select(F.col("x").alias("set_id")), "set_id", "leftanti"), bits), "shingle-entries")
     listed = entries.groupBy("token").agg(
         F.count("*").alias("rows"), F.min(F.struct("doc_id", "node", "n", "i")).alias("h0"),
         *(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("doc_id"), "node", "n", "i")).alias(f"h{k}") for k in range(1, HEADS + 1)),
@@ -182,7 +201,7 @@ def verified_links(documents: DataFrame, classes: DataFrame, size: int, percent:
     followers = materialize(members.join(links.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "leftsemi"), "shingle-followers")
     apart = members.join(followers, ["x", "y"], "leftanti")
     split = classes.join(apart.select(F.explode(F.array("x", "y")).alias("set_id")).distinct(), "set_id")
-    entries = entries.drop("heads").unionByName(_entries(split)).distinct()
+    entries = entries.drop("heads").unionByName(_entries(split, bits)).distinct()
     found = components(links, "shingle-components").withColumnRenamed("id", "node")
     labelled = materialize(entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "shingle-labelled")
 
