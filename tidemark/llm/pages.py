@@ -373,10 +373,11 @@ def train(sources: list[str | None]) -> dict[str, np.ndarray]:
 
 
 def fit(pages: DataFrame, page: str = "html") -> dict[str, np.ndarray]:
-    """Train on the SAMPLE pages with the least hashes."""
-    source = F.col(f"`{page}`").alias("html")
-    least = pages.select(source, F.xxhash64(F.col(f"`{page}`")).alias("h")).where("html IS NOT NULL").orderBy("h").limit(SAMPLE).collect()
-    return train([r["html"] for r in least])
+    """Train on the SAMPLE different pages with the least hashes; the hashes are compared first, so that few pages travel."""
+    rows = pages.select(F.col(f"`{page}`").alias("html"), F.xxhash64(F.col(f"`{page}`")).alias("h")).where("html IS NOT NULL")
+    least = rows.select("h").distinct().orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+    chosen = rows.where(F.col("h") <= least).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect() if least is not None else []
+    return train([r["html"] for r in chosen])
 
 
 def extract(pages: DataFrame, weights: dict[str, np.ndarray], page: str = "html", carry: list[str] | None = None) -> DataFrame:
