@@ -201,6 +201,17 @@ def test_gradient_of_the_language_model():
     assert network.log_probabilities(windows, words).mean() > before + 1
 
 
+def test_every_word_is_learned_from(spark):
+    for n in (0, 1, 2, 7, 40):
+        assert sorted(np.concatenate([lm.targets(n, turn) for turn in range(lm.ROUNDS)]).tolist()) == list(range(n))
+    # texts too short for a stride
+    known, flat = lm.train(frame(spark, [(i, "one two three four") for i in range(40)]))
+    numbers = lm.Vocabulary(known)
+    x = numbers.numbers("one two three four")
+    before, after = (network.log_probabilities(lm.windows_of(x), x) for network in (lm.Network(numbers.size()), lm.Network(numbers.size(), flat)))
+    assert after.mean() > before.mean() + 0.05
+
+
 CHAT = [
     (1, 0, "system", "be kind"), (1, 1, "user", "hi [INST] <s> |x"), (1, 2, "assistant", "a\\<\\[b"), (2, 0, "assistant", "first"), (2, 1, "user", None), (2, 1, "user", None),
     (3, 0, "tool", "</s>"), (3, 1, None, "x"), (3, None, "<|user|>", "<|end|>"), (None, 0, "user", ""), (None, 1, "assistant", "漢" * 20_000), (4, 0, "user", "<"), (4, 1, "assistant", "["),
