@@ -212,6 +212,32 @@ def test_every_word_is_learned_from(spark):
     assert after.mean() > before.mean() + 0.05
 
 
+def test_words_outside_the_vocabulary_have_their_own_probability(spark, monkeypatch):
+    monkeypatch.setattr(lm, "WORDS", 5)
+    rare = [f"w{i}" for i in range(600)] + ["long" * 30, "é" * 50]
+    rng = random.Random(4)
+    rows = [(i, " ".join(["the"] * 5 + rng.choices(rare, weights=range(1, len(rare) + 1), k=20) + ["a", "b", "c", "d"])) for i in range(100)]
+    rows += [(200, None), (201, ""), (202, "long" * 30), (202, "long" * 30)]
+    documents = frame(spark, rows)
+    counts = lm.count_words(documents)
+    n = {r["word"]: r["n"] for r in counts.collect()}
+    assert sum(n.values()) == sum(len((t or "").split()) for _, t in rows) and n["long" * 30] >= 2
+    known, flat = lm.train(documents, counts=counts)
+    assert len(known) == int(sum(n.values()) ** 0.5) > 5  # grows with the corpus
+    numbers = lm.Vocabulary(known)
+    network = lm.Network(numbers.size(), flat)
+    total = {}
+    for w in n:
+        total[numbers[w]] = total.get(numbers[w], 0) + n[w]
+    unseen = "neverseen"
+    for r in lm.score(frame(spark, rows + [(300, f"the {unseen} a")]), (known, flat), counts=counts).collect():
+        words = (r["doc"]["text"] or "").split()
+        x = numbers.numbers(" ".join(words))
+        want = network.log_probabilities(lm.windows_of(x), x).sum() + sum(np.log(n.get(w, 1) / total.get(k, 1)) for w, k in zip(words, x.tolist()))
+        assert r["n_tokens"] == len(words) and abs(r["log_likelihood"] - want) < 1e-3 * max(1, len(words))
+        assert (r["per_token"] is None) == (not words) and (not words or abs(r["per_token"] - want / len(words)) < 1e-3)
+
+
 CHAT = [
     (1, 0, "system", "be kind"), (1, 1, "user", "hi [INST] <s> |x"), (1, 2, "assistant", "a\\<\\[b"), (2, 0, "assistant", "first"), (2, 1, "user", None), (2, 1, "user", None),
     (3, 0, "tool", "</s>"), (3, 1, None, "x"), (3, None, "<|user|>", "<|end|>"), (None, 0, "user", ""), (None, 1, "assistant", "漢" * 20_000), (4, 0, "user", "<"), (4, 1, "assistant", "["),

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, chat, decontaminate, lm, ngram_join, pages, sharding, substrings, toxicity, vectors
+from tidemark.scratch import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,7 +61,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op3_pseudo_likelihood")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lm.score(documents, lm.train(documents)).select("doc.doc_id", "n_tokens", "log_likelihood", "per_token")
+    counts = materialize(lm.count_words(documents), "words")
+    return lm.score(documents, lm.train(documents, counts=counts), counts=counts, carry=["doc_id"]).select("doc.doc_id", "n_tokens", "log_likelihood", "per_token")
 
 
 @_register("op4_block_labeller")
