@@ -112,6 +112,38 @@ def test_toxicity_learns(spark):
     assert kept.columns == documents.columns and kept.count() == sum(r["score"] < 0.5 for r in scored)
 
 
+def recall(rows, truth):
+    """Shares of the toxic and of the other later texts that a model fitted on the earlier ones takes for toxic."""
+    scorer = toxicity.train([(t, y) for i, t, y in rows if i < 900]).scorer()
+    found = [(scorer.score(t) >= 0.5, truth[i]) for i, t, _ in rows if i >= 900]
+    return np.mean([hit for hit, y in found if y]), np.mean([hit for hit, y in found if not y])
+
+
+def test_toxicity_with_quoted_insults_and_wrong_labels():
+    bad = ["zounds", "knavish", "poltroon", "scurvy", "varlet"]
+    rng = random.Random(8)
+    rows, truth = [], {}
+    for i, text, y in labelled(1500, bad, 8):
+        truth[i] = y
+        if not y and rng.random() < 0.04:  # quotes one of them
+            text += f" {rng.choice(bad)}"
+        rows.append((i, text, 1 - y if rng.random() < 0.03 else y))
+    hit, wrong = recall(rows, truth)
+    assert hit >= 0.9 and wrong <= 0.05
+
+
+def test_toxicity_in_phrases_of_ordinary_words():
+    rows = []
+    rng = random.Random(9)
+    for i, text, y in labelled(1500, ["on"], 9):
+        words = text.split()
+        for _ in range(3 * y):
+            words.insert(rng.randrange(len(words)), "tion anre")
+        rows.append((i, " ".join(words), y))
+    hit, wrong = recall(rows, {i: y for i, _, y in rows})
+    assert hit >= 0.9 and wrong <= 0.02
+
+
 def test_toxicity_without_labels(spark):
     documents = frame(spark, texts())
     none = spark.createDataFrame([], "doc_id long, toxic int")

@@ -1,14 +1,16 @@
 """Toxicity by compression distance: two zstandard dictionaries, one trained on ordinary text and one on toxic text.
 
-A window is one word in lower case, with a space on either side and a fixed tail (zstandard looks for no match in a block's last
-bytes); a word over `WINDOW` characters is cut into several. Each window is compressed with either dictionary. The pair of lengths
-says how ordinary and how toxic it looks, and what a pair is worth is calibrated: the log ratio of its frequencies in toxic and in
-ordinary documents. A document's evidence is the sum over its whole text of the windows whose worth is above a threshold, and a
+A window is one word in lower case, or two in a row where the first begins a phrase of the toxic dictionary, with a space on either side
+and a fixed tail (zstandard looks for no match in a block's last bytes); a word over `WINDOW` characters is cut into several. Each window
+is compressed with either dictionary. The pair of lengths says how ordinary and how toxic it looks, and what a pair is worth is
+calibrated, words and phrases apart: the log ratio of its frequencies in toxic and in ordinary documents. A document's evidence is the sum over its whole text of the windows whose worth is above a threshold, and a
 logistic curve over evidence and length, fitted on the same documents, turns it into a score.
 
 Only fitting takes a sample: at most `TOXIC` toxic and `ORDINARY` ordinary labelled documents, those with the least hashes of their
-ids. The toxic dictionary is trained on the windows that several toxic texts have, the ordinary sample does not have and the ordinary
-dictionary cannot shorten, for the rest is the same in both. Scoring takes every document whole.
+ids. The toxic dictionary is trained on the toxic texts as far as their words and phrases are more frequent there than in ordinary ones, by
+a ratio and beyond what chance does to that many windows (`_telling`); the rest is the same in both. A word that ordinary texts quote, or
+that stands in some with a wrong label, so stays one of it. The ordinary dictionary is trained on the ordinary texts without these words.
+Scoring takes every document whole.
 """
 
 from __future__ import annotations
@@ -36,8 +38,6 @@ ORDINARY_BYTES, TOXIC_BYTES = 1_000_000, 16_384
 WORTH = 1.5
 #: Evidence beyond this changes nothing.
 MOST = 100.0
-#: Toxic documents that must have a window before it may enter the toxic dictionary, so that it holds no single document by heart.
-SEVERAL = 3
 #: Windows whose worth a task keeps at hand.
 CACHE = 1 << 19
 
@@ -71,13 +71,20 @@ def _framed(window: str) -> bytes:
     return f" {window} ".encode("utf-8", "replace")
 
 
+def _phrases(found: list[str], starts: frozenset[str]) -> list[str]:
+    """The pairs of words in a row whose first one begins a phrase."""
+    return [f"{a} {b}" for a, b in zip(found, found[1:]) if a in starts] if starts else []
+
+
 @dataclass
 class Model:
-    """Two dictionaries, the worth of pairs of lengths, and the curve over (1, evidence, log of the number of words)."""
+    """Two dictionaries, the words that begin a phrase, the worth of pairs of lengths, and the curve over (1, evidence, log of the number of
+    words)."""
 
     ordinary: bytes
     toxic: bytes
-    worth: dict[tuple[int, int], float]
+    starts: frozenset[str]
+    worth: dict[tuple[int, int, bool], float]
     curve: tuple[float, float, float]
 
     def scorer(self) -> Scorer:
@@ -91,9 +98,10 @@ class Scorer(dict):
         self.model = model
         self.with_ordinary, self.with_toxic = _compressor(model.ordinary), _compressor(model.toxic)
 
-    def lengths(self, window: str) -> tuple[int, int]:
+    def lengths(self, window: str) -> tuple[int, int, bool]:
+        """Both lengths, and whether the window is a phrase."""
         framed = _framed(window) + TAIL
-        return len(self.with_ordinary.compress(framed)), len(self.with_toxic.compress(framed))
+        return len(self.with_ordinary.compress(framed)), len(self.with_toxic.compress(framed)), " " in window
 
     def __missing__(self, window: str) -> float:
         worth = self.model.worth.get(self.lengths(window), 0.0)
@@ -103,7 +111,8 @@ class Scorer(dict):
 
     def features(self, text: str | None) -> tuple[float, float, float]:
         found = windows(text)
-        return 1.0, min(sum(map(self.__getitem__, found)), MOST), float(np.log1p(len(found)))
+        evidence = sum(map(self.__getitem__, found)) + sum(map(self.__getitem__, _phrases(found, self.model.starts)))
+        return 1.0, min(evidence, MOST), float(np.log1p(len(found)))
 
     def score(self, text: str | None) -> float:
         return float(1 / (1 + np.exp(-np.dot(self.features(text), self.model.curve))))
@@ -122,20 +131,44 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def _dictionaries(samples: list[tuple[list[str], int]]) -> tuple[bytes, bytes]:
-    """The ordinary and the toxic dictionary of labelled documents, given by their windows."""
-    plain = [found for found, y in samples if not y]
+def _telling(toxic: list[np.ndarray], plain: list[np.ndarray]) -> np.ndarray:
+    """The windows (as numbers, without repeats in a text) that tell toxic texts: in at least exp(WORTH) times the share of them as of the
+    ordinary ones, and more unevenly than chance makes the most uneven of as many windows."""
+    if not toxic or not plain:
+        return np.zeros(0, np.int64)
+    windows, a = np.unique(np.concatenate(toxic), return_counts=True)
+    others = np.concatenate(plain)
+    at = np.minimum(np.searchsorted(windows, others), max(len(windows) - 1, 0))
+    b = np.bincount(at[windows[at] == others], minlength=len(windows)) if len(windows) else a
+    share_of = len(toxic) / (len(toxic) + len(plain))
+    ratio = np.log((a + 0.5) / (len(toxic) + 1)) - np.log((b + 0.5) / (len(plain) + 1))
+    uneven = a * np.log(a / ((a + b) * share_of)) + b * np.log(np.maximum(b, 1) / ((a + b) * (1 - share_of)))
+    return windows[(ratio >= WORTH) & (uneven >= np.log(max(len(windows), 1)))]
+
+
+def _dictionaries(samples: list[tuple[list[str], int]]) -> tuple[bytes, bytes, frozenset[str]]:
+    """The ordinary and the toxic dictionary of labelled documents, given by their words, and the words that begin a phrase."""
+    number: dict[str, int] = {}
+    texts = [(np.array([number.setdefault(w, len(number)) for w in found], np.int64), y) for found, y in samples]
+    names = list(number)
+    single = _telling(*([np.unique(x) for x, y in texts if y == label] for label in (1, 0)))
+
+    def pairs(x: np.ndarray) -> np.ndarray:
+        # a phrase with a telling word in it says nothing more
+        free = ~np.isin(x, single)
+        return np.where(free[:-1] & free[1:], x[:-1] << 32 | x[1:], -1)
+
+    double = _telling(*([np.setdiff1d(pairs(x), [-1]) for x, y in texts if y == label] for label in (1, 0)))
+    bad = {names[k] for k in single.tolist()}
+    plain = [[w for w in found if w not in bad] for found, y in samples if not y]
     ordinary = _train([" ".join(w[i : i + 8]).encode("utf-8", "replace") for w in plain for i in range(0, len(w), 8)], ORDINARY_BYTES, 50)
-    common, press = set().union(*plain), _compressor(ordinary)
-    empty = len(press.compress(TAIL))
-    seen = Counter(w for found, y in samples if y for w in set(found) - common)
-    novel: dict[str, bytes] = {}
-    for w in (w for w, n in seen.items() if n >= SEVERAL):
-        framed = _framed(w)
-        # what the ordinary dictionary leaves about as long as it was
-        novel[w] = framed if len(press.compress(framed + TAIL)) - empty >= min(5, len(framed)) else b""
-    toxic = [b"".join(novel[w] for w in dict.fromkeys(found) if w in novel) for found, y in samples if y]
-    return ordinary, _train(toxic, TOXIC_BYTES, 32)
+    toxic = []
+    for x, y in texts:
+        if y:
+            held = [(i, names[x[i]]) for i in np.flatnonzero(np.isin(x, single)).tolist()]
+            held += [(i, f"{names[x[i]]} {names[x[i + 1]]}") for i in np.flatnonzero(np.isin(pairs(x), double)).tolist()]
+            toxic.append(b"".join(_framed(w) for _, w in sorted(held)))
+    return ordinary, _train(toxic, TOXIC_BYTES, 32), frozenset(names[k] for k in (double >> 32).tolist())
 
 
 def train(samples: list[tuple[str | None, int]], shares: dict[int, float] | None = None) -> Model:
@@ -143,13 +176,13 @@ def train(samples: list[tuple[str | None, int]], shares: dict[int, float] | None
     shift the scores. Without samples of both labels every text scores the share of label 1, or 0."""
     labels = {y for _, y in samples}
     if labels != {0, 1}:
-        return Model(b"", b"", {}, (30.0 if labels == {1} else -30.0, 0.0, 0.0))
+        return Model(b"", b"", frozenset(), {}, (30.0 if labels == {1} else -30.0, 0.0, 0.0))
     known: dict[str, str] = {}  # one string for all occurrences of a window
     cut = [([known.setdefault(w, w) for w in windows(t)], y) for t, y in samples]
     dictionaries = _dictionaries(cut)
     scorer = Scorer(Model(*dictionaries, {}, (0.0, 0.0, 0.0)))
-    pairs = {w: scorer.lengths(w) for w in set().union(*(found for found, _ in cut))}
-    looked = [(Counter(map(pairs.__getitem__, found)), len(found), y) for found, y in cut]
+    pairs = {w: scorer.lengths(w) for w in set().union(*(found for found, _ in cut), *(_phrases(found, dictionaries[2]) for found, _ in cut))}
+    looked = [(Counter(map(pairs.__getitem__, found + _phrases(found, dictionaries[2]))), len(found), y) for found, y in cut]
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     for seen, _, y in looked:
         counts[y].update(seen)
