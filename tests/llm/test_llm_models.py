@@ -176,6 +176,18 @@ def test_blocks():
     assert len(pages.blocks("<div>" * 3000 + "x" + "</div>" * 3000)) == 1
 
 
+def test_blocks_of_pages_that_leave_tags_out():
+    texts_of = lambda source: [b.text for b in pages.blocks(source)]
+    assert texts_of("<html><head><title>x</title><body><article><p>One.</p></article></body></html>") == ["One."]
+    assert texts_of("<head><meta charset=a><title>x</title><script>no</script><p>One.<p>Two.") == ["One.", "Two."]
+    assert texts_of("<head><title>x</title><img src=a>One <b>two</b>") == ["One two"] and texts_of("<head><title>x</title>\n Bare <b>text</b>") == ["Bare text"]
+    assert texts_of("<head><title>x</title>Bare") == ["Bare"]
+    assert texts_of("<head><noscript><p>no</p></noscript><template><p>no</p></template><style>no</style></head><body>yes") == ["yes"]
+    assert texts_of('<p>a <svg width="1"/> b</p><p>c <svg><path d="x=1"/><text>no</text></svg> d</p>') == ["a b", "c d"]
+    assert texts_of("<p>a <svg/>b <svg href=a/>no</svg> c") == ["a b c"]
+    assert texts_of("<p>a <math/>b <math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn><annotation>no</annotation></math> c") == ["a b x=2 c"]
+
+
 def test_labeller(weights):
     model, features = pages.Labeller(weights), pages.Features()
     found = pages.blocks(SITE)

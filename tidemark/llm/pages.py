@@ -39,7 +39,9 @@ BLOCKS = frozenset(
     h1 h2 h3 h4 h5 h6 header hr html label legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_CONTENT = frozenset("head iframe math noscript object script style svg template textarea title".split())
+HIDDEN_CONTENT = frozenset("annotation annotation-xml head iframe noscript object script style svg template textarea title".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+DRAWN = frozenset(("svg", "math"))  # elements in which, and on which, a slash before the end closes a tag
 CLOSES = {  # an element that opens ends an open one of these, if nothing of the second list stands between
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "option": (("option",), ("select",)),
     "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
@@ -50,6 +52,7 @@ _TAG = re.compile(
     |<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)[^>]*+(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""",
     re.DOTALL | re.IGNORECASE | re.VERBOSE,
 )
+_BARE_VALUE = re.compile(r"""=\s*[^\s"'>]+\Z""")  # a slash at its end belongs to it
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+").findall
 
@@ -94,6 +97,8 @@ def blocks(source: str | None) -> list[Block]:
 
     at = 0
     for tag in _TAG.finditer(source):
+        if stack and stack[-1][0] == "head" and source[at : tag.start()].strip():
+            pop()  # its end tag may be left out, but it holds no text
         if tag.start() > at and not state["hidden"]:
             parts.append(source[at : tag.start()])
             if state["links"]:
@@ -110,7 +115,14 @@ def blocks(source: str | None) -> list[Block]:
             if name == "p" and not any(n == "p" for n, _ in stack):
                 continue
             close((name,), ("body", "html") if name not in ("body", "html") else ())
-        elif name not in VOID:
+            continue
+        if name == "body":
+            close(("head",), ("template", "body"))
+        elif stack and stack[-1][0] == "head" and name not in IN_HEAD:
+            pop()
+        if name not in VOID:
+            if (tag[4] or "").endswith("/") and not _BARE_VALUE.search(tag[4]) and (name in DRAWN or any(n in DRAWN for n, _ in stack)):
+                continue
             if name in BLOCKS:
                 close(("p",), ("button", "table", "td", "th", "caption", "object"))
             if name in CLOSES:
@@ -122,6 +134,8 @@ def blocks(source: str | None) -> list[Block]:
             stack.append((name, (*path, *own) if name in BLOCKS or len(own) > 1 else path))
             state["hidden"] += name in HIDDEN_CONTENT
             state["links"] += name == "a"
+    if stack and stack[-1][0] == "head":
+        pop()
     if not state["hidden"]:
         parts.append(source[at:])
     flush()
