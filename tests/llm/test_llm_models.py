@@ -51,6 +51,19 @@ def test_bpe_is_the_librarys(rules, library):
         assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_lexicon_is_mapped_without_a_rename(monkeypatch, tmp_path):
+    """The executor's folders may be relative or lie on other mounts: nothing is linked, renamed or left behind."""
+    def refuse(*_):
+        raise OSError(18, "Invalid cross-device link")
+
+    for name in ("replace", "rename", "link"):
+        monkeypatch.setattr(bpe.os, name, refuse)
+    monkeypatch.setattr(bpe.tempfile, "tempdir", str(tmp_path))
+    lexicon = bpe.map_lexicon(bpe.compile_lexicon({b"one": [1], b"tone": [2, 3]}))
+    assert (lexicon.get(b"one"), lexicon.get(b"tone"), lexicon.get(b"on")) == ([1], [2, 3], None)
+    assert not list(tmp_path.iterdir())
+
+
 def test_lexicon_shares_suffixes():
     words = {f"{a}{b}tions".encode(): [1, 2] for a in "abcdef" for b in "ghijkl"}
     one, two = bpe.compile_lexicon(words), bpe.compile_lexicon({w + str(i).encode(): [1, 2] for i, w in enumerate(words)})

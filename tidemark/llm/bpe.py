@@ -6,13 +6,12 @@ Encoding a word takes many merges, and few words make up most of a corpus. So:
 1. Words are counted over all documents, and the `LEXICON` most frequent ones are merged once, on the driver.
 2. They are compiled into a minimal acyclic automaton: equal suffixes share their states. Each edge says how many words sort before
    it, so walking a word adds up to its number, and the number leads to its ids. The automaton is one flat buffer of a bounded size,
-   which each executor maps into memory from a file of its own, shared by its workers.
+   which each task maps into memory from an unnamed file of its own.
 3. All documents are encoded in one pass: words in the automaton take their ids from it, unseen words are merged by rank, exactly.
 """
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import json
 import mmap
@@ -27,7 +26,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import words as W
@@ -228,17 +226,13 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     return head.tobytes() + numbers.tobytes() + bytes(final[s] for s in order) + bytes(labels)
 
 
-def map_lexicon(content: bytes, digest: str) -> Lexicon:
-    """Map the buffer from a file in this executor's own working folder, which the first worker writes there."""
-    folder = SparkFiles.getRootDirectory()
-    path = os.path.join(folder, f"lexicon-{digest}")
-    if not os.path.exists(path):
-        handle, part = tempfile.mkstemp(dir=folder)
-        with os.fdopen(handle, "wb") as out:
-            out.write(content)
-        os.replace(part, path)
-    with open(path, "rb") as file:
-        return Lexicon(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
+def map_lexicon(content: bytes) -> Lexicon:
+    """Map the buffer from an unnamed file in the task's own temp folder. Nothing outlives the task and nothing is shared or renamed, so
+    it works wherever a task lands and is made anew when an executor is lost."""
+    with tempfile.TemporaryFile() as file:
+        file.write(content)
+        file.flush()
+        return Lexicon(mmap.mmap(file.fileno(), len(content), access=mmap.ACCESS_READ))
 
 
 class _Pieces(dict):
@@ -375,12 +369,12 @@ def build_lexicon(documents: DataFrame, text: str, rules: Rules, size: int = LEX
 def encode(documents: DataFrame, lexicon: bytes, rules: Rules, text: str = "text", decoded: bool = False) -> DataFrame:
     """Every row of documents as doc (a struct of its columns, so no name clashes) with ids, a list of ints, and on demand decoded, the
     text that decoding these ids gives. Null and empty texts have no ids and decode to the empty text."""
-    shared, digest = share(documents.sparkSession, (rules, lexicon)), hashlib.sha256(lexicon).hexdigest()[:16]
+    shared = share(documents.sparkSession, (rules, lexicon))
     rows = documents.select(F.struct(*(f"`{c}`" for c in documents.columns)).alias("doc"), F.col(f"`{text}`").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, content = shared()
-        codec = own.codec(map_lexicon(content, digest))
+        codec = own.codec(map_lexicon(content))
         for batch in batches:
             column = batch.column(1)
             for row, end, _, _ in W.slices(column, W.SLICE_BYTES // 2):
