@@ -120,18 +120,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
 sized AS (SELECT *, length(text) + length(regexp_replace(text, '[^<\[|]', '', 'g')) + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 15
-  WHEN 'assistant' THEN 9 ELSE 11 + length(role) + length(regexp_replace(role, '[^<\[|]', '', 'g')) END AS chars FROM turns)
+  WHEN 'assistant' THEN 9 ELSE 11 + length(role) + length(regexp_replace(role, '[^<\[|]', '', 'g')) END AS chars,
+  lag(role) OVER w AS was, lead(role) OVER w AS then_role FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(chars) AS BIGINT) AS formatted_chars FROM sized GROUP BY conv_id""")
+  CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(CASE role WHEN 'system' THEN was IS NULL WHEN 'user' THEN coalesce(was IN ('system', 'assistant'), true)
+  WHEN 'assistant' THEN coalesce(was = 'user', false) ELSE false END AND (then_role IS NOT NULL OR role = 'assistant')) AS in_order
+FROM sized GROUP BY conv_id""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.conversations_read_back(chat.format_turns(turns)).drop("in_order")
+    return chat.conversations_read_back(chat.format_turns(turns))
 
 
 @_register("op9_small_worlds", """
