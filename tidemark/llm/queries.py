@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, lm, ngram_join, pages, sharding, substrings, toxicity, vectors
+from tidemark.llm import bpe, chat, decontaminate, lm, nearest, ngram_join, pages, prefix_trie, sharding, substrings, toxicity, vectors, whitening
 from tidemark.scratch import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,54 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@_register("op11_sturm_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
+def _sum_sql(products: str) -> str:
+    return f"list_reduce([{products}], lambda s, x: s + x)"
+
+
+@_register("op12_one_bit_codes", f"""
+WITH ok AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+  AND len([x FOR x IN embedding IF x <> 0]) > 0),
+sized AS (SELECT vec_id, e, sqrt({_sum_sql("x * x FOR x IN e")}) AS size FROM ok),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, {_sum_sql("q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)")} / (q.size * c.size) AS score
+  FROM sized q JOIN sized c ON len(q.e) = len(c.e) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return nearest.nearest(embeddings, embeddings.where("vec_id % 50 = 0"), k=5)
+
+
+# unsigned CRC-32 of a decimal number: the reflected polynomial, bit by bit
+_CRC = """xor(4294967295, list_reduce([4294967295] || [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')],
+  lambda c, b: list_reduce([xor(c, b)] || [CAST(0 AS BIGINT) FOR z IN range(8)], lambda k, z: xor(k >> 1, 3988292384 * (k & 1)))))"""
+
+
+@_register("op13_tree_contraction", f"""
+WITH turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (SELECT c.conv_id, 0 AS own, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.base WHERE place <= h
+  UNION ALL SELECT c.conv_id, 1, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id WHERE place > h),
+paths AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY own, place) AS path FROM rebuilt GROUP BY conv_id),
+whole AS (SELECT conv_id, coalesce(path, []) AS path FROM convs LEFT JOIN paths USING (conv_id)),
+members AS (SELECT conv_id, depth, path[1:depth] AS prefix, len(path) AS ends FROM (SELECT *, unnest(range(0, len(path) + 1)) AS depth FROM whole)),
+nodes AS (SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends = depth), '')) AS ends_sha256 FROM members GROUP BY prefix, depth),
+kids AS (SELECT prefix[1:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.depth > 0 THEN (n_convs - 1) * length(n.prefix[-1].text) ELSE 0 END AS saved
+  FROM nodes n LEFT JOIN kids k ON k.prefix = n.prefix AND k.depth = n.depth),
+ups AS (SELECT prefix[1:up] AS prefix, up AS depth, n_children, saved FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM counted)),
+totals AS (SELECT prefix, depth, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM ups GROUP BY prefix, depth)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM counted n JOIN totals t ON t.prefix = n.prefix AND t.depth = n.depth LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, known = prefix_trie.shared_heads(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(turns, known)
