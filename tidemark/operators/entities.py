@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.scalars import safe_ratio
 from tidemark.functions.text import tokens
-from tidemark.functions.types import ColumnLike, as_col
+from tidemark.functions.types import ColumnLike, as_col, let
 
 # Kinds of entities in small letters and the kind each counts as.
 _KINDS = {"org": "ORG", "per": "PER", "gpe": "LOC", "geo": "LOC", "tim": "MISC", "art": "MISC", "nat": "MISC", "eve": "MISC"}
@@ -60,17 +60,16 @@ def entity_json(annotations: ColumnLike) -> Column:
         ),
         lambda t: t["type"] != "",
     )
-    # one pass over the sorted distinct pairs: a pair opens a new entry, or adds its text to the last one
-    empty = F.array().cast("array<struct<key:string,value:array<string>>>")
+    def entries(pairs: Column) -> Column:
+        """One look through the pairs for each type, of which there are few."""
 
-    def add(entries: Column, pair: Column) -> Column:
-        last = F.get(entries, F.size(entries) - 1)
-        one = F.struct(pair["type"].alias("key"), F.array(pair["text"]).alias("value"))
-        more = F.struct(last["key"].alias("key"), F.array_append(last["value"], pair["text"]).alias("value"))
-        same = F.coalesce(last["key"] == pair["type"], F.lit(False))
-        return F.when(same, F.concat(F.slice(entries, F.lit(1), F.size(entries) - 1), F.array(more))).otherwise(F.array_append(entries, one))
+        def entry(kind: Column) -> Column:
+            texts = F.transform(F.filter(pairs, lambda t: t["type"] == kind), lambda t: t["text"])
+            return F.struct(kind.alias("key"), F.sort_array(F.array_distinct(texts)).alias("value"))
 
-    return F.to_json(F.map_from_entries(F.aggregate(F.sort_array(F.array_distinct(typed)), empty, add)))
+        return F.transform(F.sort_array(F.array_distinct(F.transform(pairs, lambda t: t["type"]))), entry)
+
+    return F.to_json(F.map_from_entries(let(typed, entries)))
 
 
 def normalize_tag(col: ColumnLike, mapping: dict[str, str] | None = None) -> Column:

@@ -277,7 +277,7 @@ def a14(spark: SparkSession, sf_dir: str) -> DataFrame:
         tokens("text"),
         lambda t: F.struct(F.when(size(t) <= 3, "short").when(size(t) <= 6, "middle").otherwise("long").alias("k"), t.alias("v")),
     )
-    docs = b.documents(spark, sf_dir).select("doc_id", pairs.alias("pairs"))
+    docs = b.texts(spark, sf_dir).select("doc_id", pairs.alias("pairs"))
     kinds = ["short", "middle", "long"]
     both = docs.select(
         "doc_id", facets.collect_by_key(F.col("pairs"), "k", "v", kinds).alias("lists"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.sources.readers import spread
+
 # The point and radius of the geo queries.
 CENTRE = (44.9609, -93.2642)
 RADIUS_KM = 50.0
@@ -80,6 +82,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for costly work on each text; the given table is one file with one row group, so it is dealt over the tasks."""
+    return spread(documents(spark, sf_dir))
+
+
 # The same views as SQL, to be put behind WITH.
 LOGS = """logs AS (SELECT CAST(user_id AS VARCHAR) AS clientip, ts, event_type AS verb,
   CAST(value AS DECIMAL(18,2)) AS bytes, epoch_us(ts) // 1000 AS ms FROM events)"""

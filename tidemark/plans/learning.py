@@ -40,7 +40,7 @@ def m02(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
     """Documents with the language as label, split by a hash of the text; and the label names."""
-    docs = b.documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
+    docs = b.texts(spark, sf_dir).select("doc_id", "text", "lang", "source")
     indexer = models.label_index(docs.select("lang"), "lang")
     train, test = models.hash_split(indexer.transform(docs), "text", 70, "split")
     return train, test, indexer.labels
@@ -126,7 +126,7 @@ def m06(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("m07_svm_sentiment", "SELECT doc_id, true AS scored FROM documents")
 def m07(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = b.documents(spark, sf_dir).select("doc_id", "text")
+    docs = b.texts(spark, sf_dir).select("doc_id", "text")
     labels = b.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     model = models.text_classifier("linear_svm", ["text"], idf=True, norm=2.0, num_features=5_000).fit(docs.join(labels, "doc_id"))
     # every document is scored, labelled or not
@@ -144,7 +144,7 @@ def _assigned(clustered: DataFrame, key: str, k: int) -> DataFrame:
 
 @query("m08_kmeans", _IN_RANGE.format("doc_id", "documents", 30))
 def m08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = b.documents(spark, sf_dir).select("doc_id", "text", F.col("source").alias("title"))
+    docs = b.texts(spark, sf_dir).select("doc_id", "text", F.col("source").alias("title"))
     features = models.text_features(["title", "text"], num_features=100_000).fit(docs).transform(docs).select("doc_id", "features")
     _, clustered = models.cluster(features.cache(), "features", k=30, iters=100)
     return _assigned(clustered, "doc_id", 30)

@@ -43,7 +43,7 @@ def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("X-Size(chars): "), F.col("n_chars").cast("string"), F.lit("\n"),
         F.lit("Lines: "), F.size(F.split("text", "\n")).cast("string"), F.lit("\n\n"),
     )
-    docs = b.documents(spark, sf_dir)
+    docs = b.texts(spark, sf_dir)
     folder = F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("/corpus/"), "lang", F.lit("."), "source", F.lit("/")))
     return docs.select(
         "doc_id", F.concat(F.coalesce(folder, F.lit("")), doc_id).alias("path"), F.concat(head, "text").alias("content")
@@ -164,7 +164,7 @@ def x05(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({_TOKS}) AS term FROM documents) GROUP BY doc_id, term",
 )
 def x06_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = b.documents(spark, sf_dir).select("doc_id", tokens("text").alias("words"))
+    docs = b.texts(spark, sf_dir).select("doc_id", tokens("text").alias("words"))
     return models.term_counts(docs, "doc_id", "words")
 
 
@@ -174,7 +174,7 @@ def _total(vector: str) -> Column:
 
 @query("x06_hashing_tf", f"SELECT doc_id, CAST(len({_TOKS}) AS DOUBLE) AS total FROM documents")
 def x06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = b.documents(spark, sf_dir).select("doc_id", tokens("text").alias("words"))
+    docs = b.texts(spark, sf_dir).select("doc_id", tokens("text").alias("words"))
     hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=5_000).transform(docs)
     return hashed.select("doc_id", _total("tf").alias("total"))
 
@@ -186,7 +186,7 @@ def x06(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE df / n >= 0.005 AND df / n <= 0.9""",
 )
 def x07(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = b.documents(spark, sf_dir).select(tokens("text").alias("words"))
+    docs = b.texts(spark, sf_dir).select(tokens("text").alias("words"))
     out = models.document_frequency(docs, "words", min_df=0.005, max_df=0.9)
     return out.withColumn("idf", F.round("idf", 6))
 
@@ -225,7 +225,7 @@ def x09(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("x10_word2vec", f"SELECT doc_id, 16 AS size, true AS finite, len({_TOKS}) > 0 AS moved FROM documents")
 def x10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = b.documents(spark, sf_dir).select("doc_id", tokens("text").alias("words"))
+    docs = b.texts(spark, sf_dir).select("doc_id", tokens("text").alias("words"))
     vectors = models.word_vectors("words", "vector", dim=16, partitions=8, min_count=0).fit(docs).transform(docs)
     values = vector_to_array("vector")
     finite = F.forall(values, lambda v: F.abs(v) < 1e6)
@@ -304,7 +304,7 @@ def n03(spark: SparkSession, sf_dir: str) -> DataFrame:
     notes = F.transform(
         tokens("text"), lambda w: F.struct(w.alias("result"), F.create_map(F.lit("entity"), kind(w)).alias("metadata"))
     )
-    return b.documents(spark, sf_dir).select("doc_id", entities.entity_json(notes).alias("ner_json"))
+    return b.texts(spark, sf_dir).select("doc_id", entities.entity_json(notes).alias("ner_json"))
 
 
 _SPELLINGS = [*entities.TAG_MAP, "I-xyz", "none"]
@@ -343,7 +343,7 @@ _TAGGED_SQL = """SELECT doc_id, CAST(pos AS INTEGER) AS pos, token, coalesce(tag
 
 @query("n05_lexicon_tag", f"{_LEXICON_SQL} {_TAGGED_SQL}")
 def n05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.lexicon_tag(b.documents(spark, sf_dir), "doc_id", "text", entities.lexicon_frame(spark, LEXICON))
+    return entities.lexicon_tag(b.texts(spark, sf_dir), "doc_id", "text", entities.lexicon_frame(spark, LEXICON))
 
 
 def _found(tag: str) -> str:
@@ -387,7 +387,7 @@ def n05_job(spark: SparkSession, sf_dir: str) -> DataFrame:
           round(2 * (common / retrieved) * (common / relevant) / (common / retrieved + common / relevant), 6) AS f1 FROM c""",
 )
 def n06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = models.terms_of(b.documents(spark, sf_dir), tokens("text"), "doc_id").withColumnRenamed("term", "word")
+    words = models.terms_of(b.texts(spark, sf_dir), tokens("text"), "doc_id").withColumnRenamed("term", "word")
     # the prediction is off by one tag in every other document
     shifted = F.when(F.col("doc_id") % 2 == 0, _tag_of(F.col("word"))).otherwise(_tag_of(F.col("word"), 1))
     out = entities.prf(words.select("word", shifted.alias("tag")), words.select("word", _tag_of(F.col("word")).alias("tag")))
@@ -408,7 +408,7 @@ _PRED_SQL = f"""SELECT x AS word, {_TAG_SQL.format(0)} AS tag FROM (SELECT doc_i
 def n06_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold tags from a blank-separated word list with the tag in the fourth column, predictions from tag strings."""
     path = fresh_path(spark, "gold")
-    gold = models.terms_of(b.documents(spark, sf_dir), tokens("text"), "doc_id")
+    gold = models.terms_of(b.texts(spark, sf_dir), tokens("text"), "doc_id")
     # the gold tags differ from the predicted ones in every other document, and some begin with B
     tag = F.when(F.col("doc_id") % 2 == 0, _tag_of(F.col("term"))).otherwise(_tag_of(F.col("term"), 1))
     spelled = F.regexp_replace(tag, "^I-(PER|LOC)$", "B-$1")

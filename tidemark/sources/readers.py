@@ -136,3 +136,12 @@ def partition_format(period: str) -> str:
     if period not in formats:
         raise ValueError(f"period must be one of {sorted(formats)}")
     return formats[period]
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The rows dealt evenly over `partitions` tasks (None: as many as the session runs at once), for costly row work.
+
+    A caller's choice, never made by looking at the size: it pays where few files with few row groups feed
+    work that takes much longer than a shuffle, and costs one exchange of the columns that are used.
+    """
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
