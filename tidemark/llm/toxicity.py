@@ -15,6 +15,7 @@ Scoring takes every document whole.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -198,8 +199,8 @@ def train(samples: list[tuple[str | None, int]], shares: dict[int, float] | None
 def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", where: Column | None = None) -> Model:
     """Train on labelled documents; `where` (over the column doc_id) keeps rows out of the fit, such as a held-out part.
 
-    At most TOXIC + ORDINARY whole texts come to the driver. Rows without an id, a label of 0 or 1, or a document are not used; an id
-    with both labels counts as toxic.
+    At most TOXIC + ORDINARY labelled ids are chosen, and one task fits on their whole texts; only the model comes to the driver. Rows without an
+    id, a label of 0 or 1, or a document are not used; an id with both labels counts as toxic. Repeated documents of an id are all used.
     """
     marked = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("y")).where("y IN (0, 1) AND doc_id IS NOT NULL")
     if where is not None:
@@ -211,12 +212,22 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
         part = marked.where(F.col("y") == y).orderBy("h", "doc_id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "y", "h", F.crc32(F.coalesce("text", F.lit(""))).alias("c")).collect()  # the bound above
-    rows.sort(key=lambda r: (r["h"], r["c"]))
-    taken = Counter(r["y"] for r in rows)
-    shares = {y: total[y] / taken[y] for y in taken}
-    least = min(shares.values(), default=1.0)
-    return train([(r["text"], r["y"]) for r in rows], {y: s / least for y, s in shares.items()})
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "y", "h", F.crc32(F.coalesce("text", F.lit(""))).alias("c"))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples = [(t.as_py(), y) for batch in batches for t, y in zip(batch.column(0), batch.column(1).to_pylist(), strict=True)]
+        taken = Counter(y for _, y in samples)
+        shares = {y: total[y] / taken[y] for y in taken}
+        least = min(shares.values(), default=1.0)
+        model = train(samples, {y: s / least for y, s in shares.items()})
+        rest = pickle.dumps((model.starts, model.worth, model.curve))
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (model.ordinary, model.toxic, rest)], names=["ordinary", "toxic", "rest"])
+
+    sample = rows.repartition(1).sortWithinPartitions("h", "c", "text").select("text", "y")
+    found = sample.mapInArrow(learn, "ordinary binary, toxic binary, rest binary").collect()
+    if not found:
+        return train([])
+    return Model(bytes(found[0]["ordinary"]), bytes(found[0]["toxic"]), *pickle.loads(found[0]["rest"]))
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
