@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.scalars import iso
+from tidemark.functions.scalars import epoch_ms, iso
 from tidemark.operators.mapping import Rule
 from tidemark.plans import bindings as b
 from tidemark.plans.learning import quick_model
 from tidemark.plans.registry import query
 from tidemark.scratch import fresh_path
-from tidemark.streaming import flows
+from tidemark.streaming import flows, stored
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,3 +68,103 @@ def st03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns(
         {"session_start": iso("session_start"), "session_end": iso("session_end"), "total_bytes_l": F.col("total_bytes_l").cast("double")}
     )
+
+
+def _arrive(spark: SparkSession, batches: list[DataFrame], label: str, start) -> None:
+    """Let batches arrive in a folder one after the other, and run the stream after each."""
+    source, mark = fresh_path(spark, f"{label}-source"), fresh_path(spark, f"{label}-checkpoint")
+    for batch in batches:
+        batch.write.mode("append").parquet(source)
+        start(flows.read_stream(spark, source, batch.schema), mark).awaitTermination()
+
+
+_CHANGES = """changes AS (SELECT o_orderkey, v AS version, CASE v WHEN 1 THEN o_orderstatus ELSE 'V' || v END AS status, o_totalprice * v AS total
+    FROM orders, unnest([1, 2, 3]) AS t(v) WHERE v = 1 OR o_orderkey % (3 * v) < 3)"""
+
+
+@query(
+    "st04_stream_upsert",
+    f"WITH {_CHANGES} SELECT o_orderkey, version, status, total FROM changes QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC) = 1",
+)
+def st04(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders change over three micro-batches; the last one also brings first versions again, which must not win."""
+    orders = b.table(spark, sf_dir, "orders")
+
+    def version(v: int) -> DataFrame:
+        rows = orders if v == 1 else orders.where(F.col("o_orderkey") % (3 * v) < 3)
+        status = F.col("o_orderstatus") if v == 1 else F.lit(f"V{v}")
+        return rows.select("o_orderkey", F.lit(v).alias("version"), status.alias("status"), (F.col("o_totalprice") * v).alias("total"))
+
+    path, again = fresh_path(spark, "upserted"), version(1).where("o_orderkey % 2 = 0")
+    batches = [version(1), version(2), version(3).unionByName(again)]
+    _arrive(spark, batches, "upsert", lambda stream, mark: stored.upsert_stream(stream, path, mark, "o_orderkey", ["version"], parts=16))
+    return stored.read_stored(spark, path, batches[0].schema)
+
+
+# Thirds of the time line in ms, every 50th event a third late; the watermark lies a sixth of it behind.
+_ARRIVALS = f"""{b.LOGS.replace("FROM events", ", event_id FROM events")}, span AS (SELECT min(ms) AS lo, max(ms) - min(ms) + 1 AS len FROM logs),
+    arrived AS (SELECT logs.*, least(2, (3 * (ms - lo)) // len + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END) AS batch, len // 6 AS delay FROM logs, span),
+    marks AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM arrived GROUP BY batch),
+    taken AS (SELECT a.* FROM arrived a JOIN marks m USING (batch) WHERE m.latest IS NULL OR epoch_us(a.ts) >= epoch_us(m.latest) - delay * 1000)"""
+
+
+@query(
+    "st05_incremental_sessions",
+    f"""WITH {_ARRIVALS}, gaps AS (SELECT *, ms - lag(ms) OVER (PARTITION BY clientip ORDER BY ts) AS d FROM taken),
+        s AS (SELECT *, sum(CASE WHEN d > 21600000 THEN 1 ELSE 0 END) OVER (PARTITION BY clientip ORDER BY ts) AS sid FROM gaps)
+        SELECT clientip, {b.iso_sql('min(ts)')} AS session_start, {b.iso_sql('max(ts)')} AS session_end, CAST(sum(bytes) AS DOUBLE) AS total_bytes_l,
+          count(*) AS total_requests_l, epoch_us(max(ts)) // 1000 + 21600000 < (SELECT (max(epoch_us(ts)) - max(delay) * 1000) // 1000 FROM arrived) AS closed
+        FROM s GROUP BY clientip, sid""",
+)
+def st05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of events, the later ones with late rows inside and beyond the watermark; open and closed sessions."""
+    events = b.table(spark, sf_dir, "events").select(
+        "event_id", F.col("user_id").cast("string").alias("clientip"), "ts", F.col("value").cast("decimal(18,2)").alias("bytes"), epoch_ms("ts").alias("ms")
+    )
+    low, high = events.agg(F.min("ms"), F.max("ms")).head()
+    length = high - low + 1
+    late = F.when(F.col("event_id") % 50 == 0, 1).otherwise(0)
+    arrived = events.withColumn("batch", F.least(F.lit(2), F.floor((3 * (F.col("ms") - low)) / length) + late))
+    batches = [arrived.where(F.col("batch") == i).select("clientip", "ts", "bytes") for i in range(3)]
+    path = fresh_path(spark, "sessions-state")
+    _arrive(
+        spark, batches, "sessions",
+        lambda stream, mark: stored.sessions_stream(stream, path, mark, "clientip", "ts", "bytes", gap_ms=21_600_000, delay_ms=length // 6, parts=8),
+    )
+    kind = stored.session_schema(batches[0], "clientip", "ts", "bytes")
+    found = stored.read_stored(spark, path, kind).withColumn("closed", F.lit(False)).unionByName(
+        stored.read_emitted(spark, path, kind).withColumn("closed", F.lit(True))
+    )
+    return found.select(
+        "clientip", iso("session_start").alias("session_start"), iso("session_end").alias("session_end"), F.col("total").cast("double").alias("total_bytes_l"),
+        F.col("count").alias("total_requests_l"), "closed",
+    )
+
+
+_DAYS = f"""{b.CLICKS}, days AS (SELECT query, item AS doc_id, CAST(ts AS DATE) AS dt, count(*) AS n FROM clicks GROUP BY ALL)"""
+
+
+def _loaded_clicks(spark: SparkSession, sf_dir: str) -> str:
+    """Two loads, the second of all clicks, of which those after the first one's last instant are new."""
+    clicks = b.clicks(spark, sf_dir).withColumnRenamed("item", "doc_id")
+    path = fresh_path(spark, "click-sums")
+    low, high = clicks.agg(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).head()
+    half = F.unix_micros(F.col("ts").cast("timestamp")) <= (low + high) // 2
+    stored.add_clicks(path, 0, clicks.where(half))
+    stored.add_clicks(path, 1, clicks)
+    return path
+
+
+@query("a10_click_weight_incremental", f"WITH {_DAYS} SELECT query, doc_id, CAST(sum(n) AS DOUBLE) AS weight FROM days GROUP BY query, doc_id")
+def a10_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored.stored_click_weights(spark, _loaded_clicks(spark, sf_dir))
+
+
+@query(
+    "a10_click_weight_decayed",
+    f"""WITH {_DAYS} SELECT query, doc_id, round(sum(n * pow(0.5::DOUBLE, date_diff('day', dt, (SELECT max(dt) FROM days)) / 7.0::DOUBLE)), 6) AS weight
+        FROM days GROUP BY query, doc_id""",
+)
+def a10_decayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = stored.stored_click_weights(spark, _loaded_clicks(spark, sf_dir), half_life_days=7)
+    return weights.withColumn("weight", F.round("weight", 6))

@@ -45,7 +45,9 @@ def upsert_table(target: str, changes: DataFrame, key: str | list[str], order: l
     else:
         merged = latest_per_key(tagged, key, order)
     if touched:
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(target)
+        # rows of a part come together, so a task does not open a file in each of them
+        parts_together = merged.hint("rebalance", F.col("_part"))
+        parts_together.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(target)
     return sorted(touched)
 
 
