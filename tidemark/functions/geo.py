@@ -20,6 +20,21 @@ def distance_km(lat: ColumnLike, lon: ColumnLike, point: tuple[float, float]) ->
     return F.asin(F.sqrt(F.least(F.lit(1.0), half))) * (2 * EARTH_KM)
 
 
+def distance_between_km(lat: ColumnLike, lon: ColumnLike, other_lat: ColumnLike, other_lon: ColumnLike) -> Column:
+    """Great-circle distance of two points, both in columns (haversine)."""
+    lat, lon, other_lat, other_lon = (F.radians(as_col(c).cast("double")) for c in (lat, lon, other_lat, other_lon))
+    dlat, dlon = F.sin((lat - other_lat) / 2), F.sin((lon - other_lon) / 2)
+    return F.asin(F.sqrt(F.least(F.lit(1.0), dlat * dlat + F.cos(lat) * F.cos(other_lat) * dlon * dlon))) * (2 * EARTH_KM)
+
+
+def space_cell(lat: ColumnLike, lon: ColumnLike, km: float) -> list[Column]:
+    """Numbers (x, y, z) of the cube of space that holds a point of the globe. Points within `km` of each other lie in the same or in
+    adjacent cubes, at the poles and across the 180th meridian too."""
+    lat, lon = (F.radians(as_col(c).cast("double")) for c in (lat, lon))
+    side = 2 * math.sin(min(km / EARTH_KM / 2, math.pi / 2)) * 1.000001 + 1e-12  # the chord, on a globe of radius 1
+    return [F.floor(v / side).cast("int") for v in (F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat))]
+
+
 def bounding_box(lat: ColumnLike, lon: ColumnLike, point: tuple[float, float], km: float) -> Column:
     """Plain range test that every point within `km` passes, so file statistics can prune.
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.geo import distance_between_km, space_cell
 from tidemark.functions.types import as_list
 
 Keys = str | list[str]
@@ -54,3 +55,25 @@ def hash_join(left: DataFrame, right: DataFrame, on: Keys, strategy: str = "hash
         raise ValueError(f"unknown strategy {strategy!r}")
     hint = hints[strategy]
     return left.join(right.hint(hint) if hint else right, on)
+
+
+def join_near(
+    points: DataFrame, centres: DataFrame, km: float, lat: str = "latitude", lon: str = "longitude",
+    centre_lat: str = "centre_latitude", centre_lon: str = "centre_longitude", distance: str = "km",
+) -> DataFrame:
+    """Every pair of a point and a centre at most `km` apart, with the distance; all columns of both sides.
+
+    Space is cut into cubes as wide as the radius. A point is in one of them, a centre is sent to its own and the 26 around it, so the join has
+    a plain key, meets each pair once, and the distance is worked out for near pairs only. Rows without a place pair up with nothing. A crowded
+    cube is a skewed key, which adaptive execution splits.
+    """
+    if km <= 0:
+        raise ValueError("km must be positive")
+    cell = ["_x", "_y", "_z"]
+    around = [F.explode(F.array(*(c + i for i in (-1, 0, 1)))) for c in space_cell(centre_lat, centre_lon, km)]
+    sent = centres.where(F.col(centre_lat).isNotNull() & F.col(centre_lon).isNotNull())
+    for name, each in zip(cell, around, strict=True):
+        sent = sent.withColumn(name, each)
+    held = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumns(dict(zip(cell, space_cell(lat, lon, km), strict=True)))
+    pairs = held.join(sent, cell).drop(*cell)
+    return pairs.withColumn(distance, distance_between_km(lat, lon, centre_lat, centre_lon)).where(F.col(distance) <= km)

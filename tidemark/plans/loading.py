@@ -10,7 +10,7 @@ from tidemark.operators.mapping import Rule, Stage, map_fields, regex_extract, r
 from tidemark.plans import bindings as b
 from tidemark.plans.registry import query
 from tidemark.scratch import fresh_path
-from tidemark.sources import readers, writers
+from tidemark.sources import readers, sink, writers
 from tidemark.sources.jobs import LoadSpec, bulk_load
 
 _EVENT_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props struct<k:int>"
@@ -232,6 +232,21 @@ def k03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.agg(F.sum("c").alias("n"), (F.max("c") <= 5_000).alias("all_within_batch"))
 
 
+@query(
+    "k03_batch_sink",
+    """SELECT l_returnflag, count(*) AS n, sum(l_orderkey) AS keys, true AS within_batch FROM lineitem GROUP BY l_returnflag""",
+)
+def k03_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines handed over in batches by the registered sink, two writes, the first of which the second replaces; read back."""
+    path = fresh_path(spark, "sink")
+    lines = b.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag")
+    sink.write_in_batches(lines.where("l_returnflag = 'R'"), path, 500)
+    sink.write_in_batches(lines, path, 5_000, mode="overwrite")
+    rows = spark.read.schema("l_orderkey long, l_returnflag string").json(path, recursiveFileLookup=True)
+    batches = rows.withColumn("file", F.col("_metadata.file_path")).groupBy("l_returnflag", "file").agg(F.count(F.lit(1)).alias("c"), F.sum("l_orderkey").alias("k"))
+    return batches.groupBy("l_returnflag").agg(F.sum("c").alias("n"), F.sum("k").alias("keys"), (F.max("c") <= 5_000).alias("within_batch"))
+
+
 @query("k04_output_partitions", "SELECT count(*) AS n, CAST(24 AS BIGINT) AS partitions FROM lineitem")
 def k04(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "spread")

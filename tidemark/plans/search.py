@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.geo import distance_km
 from tidemark.functions.scalars import iso
-from tidemark.operators import facets, joins, predicates
+from tidemark.operators import facets, joins, predicates, token_index
 from tidemark.plans import bindings as b
 from tidemark.plans.registry import query
 from tidemark.scratch import fresh_path, materialize
@@ -89,6 +89,58 @@ def f06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("user_id", F.round(distance_km("latitude", "longitude", b.CENTRE), 3).alias("km"))
 
 
+_CENTRES = f"""{b.HOMES}, centres AS (SELECT place_name AS centre, state, latitude AS clat, longitude AS clon FROM zips),
+    near AS (SELECT user_id, centre, state, 2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(latitude - clat) / 2), 2)
+      + cos(radians(latitude)) * cos(radians(clat)) * pow(sin(radians(longitude - clon) / 2), 2)))) AS km FROM homes, centres)"""
+
+
+def _near_centres(spark: SparkSession, sf_dir: str, km: float, state: str | None = None) -> DataFrame:
+    centres = b.zips(spark, sf_dir)
+    if state:
+        centres = centres.where(F.col("state") == state)
+    centres = centres.select(F.col("place_name").alias("centre"), F.col("latitude").alias("centre_latitude"), F.col("longitude").alias("centre_longitude"))
+    return joins.join_near(b.homes(spark, sf_dir), centres, km)
+
+
+@query("f06_near_centres", f"WITH {_CENTRES} SELECT user_id, centre, round(km, 3) AS km FROM near WHERE km <= 20")
+def f06_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user with every place within 20 km."""
+    return _near_centres(spark, sf_dir, 20.0).select("user_id", "centre", F.round("km", 3).alias("km"))
+
+
+@query("j04_near_filtered_centres", f"WITH {_CENTRES} SELECT centre, count(*) AS n FROM near WHERE km <= 35 AND state = 'ASIA' GROUP BY centre")
+def j04_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near_centres(spark, sf_dir, 35.0, "ASIA").groupBy("centre").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _document_index(spark: SparkSession, sf_dir: str) -> str:
+    """Two loads of documents; the second brings every tenth document again, whole."""
+    docs = b.texts(spark, sf_dir).select(F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 10 > 0, F.col("text")).otherwise("the first form").alias("text"))
+    path = fresh_path(spark, "token-index")
+    name = "token_index_" + path.rsplit("-", 1)[1]
+    token_index.index_tokens(docs, name, path, load=0, buckets=16)
+    again = b.texts(spark, sf_dir).where("doc_id % 10 = 0").select(F.col("doc_id").alias("id"), "text")
+    token_index.index_tokens(again, name, path, load=1, buckets=16)
+    return name
+
+
+@query("f05_token_index", f"SELECT doc_id FROM documents WHERE list_contains({b.tokens_sql('text')}, 'the') AND list_contains({b.tokens_sql('text')}, 'and')")
+def f05_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold both words, from one or two buckets of the stored index."""
+    return token_index.match_ids(spark, _document_index(spark, sf_dir), ["the", "and"]).withColumnRenamed("id", "doc_id")
+
+
+@query(
+    "f07_token_index",
+    f"""SELECT source, count(*) AS n FROM documents WHERE doc_id IN (SELECT doc_id FROM documents
+        WHERE list_contains({b.tokens_sql('text')}, 'form') OR list_contains({b.tokens_sql('text')}, 'und')) GROUP BY source""",
+)
+def f07_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = token_index.match_ids(spark, _document_index(spark, sf_dir), ["form", "und"], every=False)
+    hit = token_index.matches(ids, b.documents(spark, sf_dir).select("doc_id", "source"), "doc_id")
+    return hit.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "f07_in_subquery",
     f"""WITH {b.RATINGS}, {b.MOVIES} SELECT movie_id, count(*) AS n FROM ratings
