@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.scalars import hash_bucket, safe_ratio
 from tidemark.functions.text import KINDS, analyze
 from tidemark.functions.types import ColumnLike, as_col, let
+from tidemark.scratch import materialize
 
 
 class Analyzer(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -185,6 +186,20 @@ def text_classifier(
     return Pipeline(stages=stages)
 
 
+def fit_stored(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """Fit a pipeline whose classifier goes over its rows many times: the features are worked out once and stored for it."""
+    stages, fitted, rows = pipeline.getStages(), [], df
+    for i, stage in enumerate(stages):
+        if isinstance(stage, Estimator):
+            if hasattr(stage, "getFeaturesCol"):
+                rows = materialize(rows.select(stage.getLabelCol(), stage.getFeaturesCol()), "features")
+            stage = stage.fit(rows)
+        fitted.append(stage)
+        if any(isinstance(s, Estimator) for s in stages[i + 1 :]):
+            rows = stage.transform(rows)
+    return PipelineModel(fitted)
+
+
 def tune(
     pipeline: Estimator, grid: list, train: DataFrame, folds: int = 4, metric: str = "accuracy", parallelism: int = 4, seed: int = 7
 ) -> CrossValidatorModel:

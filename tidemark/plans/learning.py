@@ -59,26 +59,37 @@ _KEPT_BACK = "CAST(('0x' || substr(md5('split:' || coalesce(text, '')), 1, 8)) A
 _CHECKED_SQL = f"SELECT count(*) AS n, true AS known, true AS above_majority FROM documents WHERE {_KEPT_BACK}"
 
 
-def _predictions(spark: SparkSession, sf_dir: str, kind: str, **params) -> DataFrame:
+def _predictions(spark: SparkSession, sf_dir: str, kind: str, **params) -> tuple[DataFrame, list[str]]:
     train, test, labels = _labelled(spark, sf_dir)
-    model = models.text_classifier(kind, ["text"], labels, **params).fit(train)
-    return _checked(model.transform(test), "predicted_label", labels)
+    return models.text_classifier(kind, ["text"], labels, **params).fit(train).transform(test), labels
 
 
-@query("m03_naive_bayes", _CHECKED_SQL)
+@query("m03_naive_bayes")
 def m03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir, "naive_bayes", num_features=5_000)
+    """Confusion matrix on the rows kept back."""
+    predicted, _ = _predictions(spark, sf_dir, "naive_bayes", num_features=5_000)
+    return models.confusion(predicted, "lang", "predicted_label")
+
+
+@query("m03_naive_bayes_checked", _CHECKED_SQL)
+def m03_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked(*_with_column(_predictions(spark, sf_dir, "naive_bayes", num_features=5_000)))
+
+
+def _with_column(predicted: tuple[DataFrame, list[str]]) -> tuple[DataFrame, str, list[str]]:
+    return predicted[0], "predicted_label", predicted[1]
 
 
 #: Labelled documents that the settings are compared on, those with the least hashes of their ids; the fit that stays takes all.
 TUNE_ROWS = 2_000
 
 
-@query("m04_cross_validate", f"SELECT 24 AS settings, 4 AS folds, * FROM ({_CHECKED_SQL})")
-def m04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """24 settings (analyzer, prefix, size, smoothing) by 4 folds over at most TUNE_ROWS rows; the winner is fitted on all rows."""
+def _tuned(spark: SparkSession, sf_dir: str):
+    """24 settings (analyzer, prefix, size, smoothing) by 4 folds over at most TUNE_ROWS rows; the winner is fitted on all rows.
+
+    Returns the settings, the winner, its metric, the number of folds, the predictions and the labels."""
     train, test, labels = _labelled(spark, sf_dir)
-    train = train.select("doc_id", "text", "lang", "label").cache()
+    train = materialize(train.select("doc_id", "text", "lang", "label"), "tune-train")
     sample = materialize(train.orderBy(hash_bucket("doc_id", 1 << 32, "tune"), "doc_id").limit(TUNE_ROWS), "tune")
     pipeline = models.text_classifier("naive_bayes", ["text"], labels, num_features=5_000)
     analyzer, hashing, bayes = pipeline.getStages()[:3]
@@ -87,9 +98,26 @@ def m04(spark: SparkSession, sf_dir: str) -> DataFrame:
         .addGrid(hashing.numFeatures, [1_000, 5_000]).addGrid(bayes.smoothing, [1.0, 0.5, 0.25]).build()
     )
     tuned = models.tune(pipeline, grid, sample, folds=4, parallelism=8)
-    best = grid[max(range(len(grid)), key=lambda i: tuned.avgMetrics[i])]
-    checked = _checked(pipeline.fit(train, best).transform(test), "predicted_label", labels)
-    return checked.select(F.lit(len(grid)).alias("settings"), F.lit(tuned.getNumFolds()).alias("folds"), "n", "known", "above_majority")
+    at = max(range(len(grid)), key=lambda i: tuned.avgMetrics[i])
+    best = {p.name: v for p, v in grid[at].items()}
+    return grid, best, tuned.avgMetrics[at], tuned.getNumFolds(), pipeline.fit(train, grid[at]).transform(test), labels
+
+
+@query("m04_cross_validate")
+def m04(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winning setting, its mean metric over the folds, and its accuracy on the rows kept back."""
+    grid, best, metric, folds, predicted, _ = _tuned(spark, sf_dir)
+    setting = [F.lit(v).alias(k) for k, v in sorted(best.items())]
+    return models.accuracy(predicted, "lang", "predicted_label").select(
+        F.lit(len(grid)).alias("settings"), F.lit(folds).alias("folds"), *setting, F.lit(metric).alias("metric"), "n", "accuracy", "error"
+    )
+
+
+@query("m04_cross_validate_checked", f"SELECT 24 AS settings, 4 AS folds, * FROM ({_CHECKED_SQL})")
+def m04_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid, _, _, folds, predicted, labels = _tuned(spark, sf_dir)
+    checked = _checked(predicted, "predicted_label", labels)
+    return checked.select(F.lit(len(grid)).alias("settings"), F.lit(folds).alias("folds"), "n", "known", "above_majority")
 
 
 _PREDICTED = """CASE WHEN CAST(('0x' || substr(md5('guess:' || doc_id), 1, 8)) AS BIGINT) % 100 < 80 THEN lang ELSE 'en' END"""
@@ -115,23 +143,38 @@ def m05_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.confusion(_saved_predictions(spark, sf_dir), "lang", "predicted")
 
 
-@query("m06_logistic", _CHECKED_SQL)
-def m06(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _by_fields(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """Body counts three times as much as the source, which every fourth document lacks."""
     train, test, labels = _labelled(spark, sf_dir)
     train, test = (part.withColumn("origin", F.when(F.col("doc_id") % 4 > 0, F.col("source"))) for part in (train, test))
-    model = models.field_classifier("logistic", {"text": 3, "origin": 1}, labels).fit(train)
-    return _checked(model.transform(test), "predicted_label", labels)
+    model = models.fit_stored(models.field_classifier("logistic", {"text": 3, "origin": 1}, labels), train)
+    return model.transform(test), labels
 
 
-@query("m07_svm_sentiment", "SELECT doc_id, true AS scored FROM documents")
+@query("m06_logistic")
+def m06(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confusion matrix on the rows kept back."""
+    return models.confusion(_by_fields(spark, sf_dir)[0], "lang", "predicted_label")
+
+
+@query("m06_logistic_checked", _CHECKED_SQL)
+def m06_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked(*_with_column(_by_fields(spark, sf_dir)))
+
+
+@query("m07_svm_sentiment")
 def m07(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, sentiment_d): every document is scored, labelled or not."""
     docs = b.texts(spark, sf_dir).select("doc_id", "text")
     labels = b.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    model = models.text_classifier("linear_svm", ["text"], idf=True, norm=2.0, num_features=5_000).fit(docs.join(labels, "doc_id"))
-    # every document is scored, labelled or not
-    scored = models.score(docs, model, ["text"], "prediction", "sentiment_d")
-    return scored.select("doc_id", F.coalesce(F.col("sentiment_d").isin(0.0, 1.0), F.lit(False)).alias("scored"))
+    pipeline = models.text_classifier("linear_svm", ["text"], idf=True, norm=2.0, num_features=5_000)
+    model = models.fit_stored(pipeline, docs.join(labels, "doc_id"))
+    return models.score(docs, model, ["text"], "prediction", "sentiment_d").select("doc_id", "sentiment_d")
+
+
+@query("m07_svm_sentiment_checked", "SELECT doc_id, true AS scored FROM documents")
+def m07_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m07(spark, sf_dir).select("doc_id", F.coalesce(F.col("sentiment_d").isin(0.0, 1.0), F.lit(False)).alias("scored"))
 
 
 _IN_RANGE = "SELECT {0}, true AS in_range, (SELECT count(*) FROM {1}) >= {2} AS enough_rows FROM {1}"
@@ -142,19 +185,31 @@ def _assigned(clustered: DataFrame, key: str, k: int) -> DataFrame:
     return clustered.select(key, F.coalesce(F.col("cluster").between(0, k - 1), F.lit(False)).alias("in_range"), (rows >= k).alias("enough_rows"))
 
 
-@query("m08_kmeans", _IN_RANGE.format("doc_id", "documents", 30))
+@query("m08_kmeans")
 def m08(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, cluster)."""
     docs = b.texts(spark, sf_dir).select("doc_id", "text", F.col("source").alias("title"))
     features = models.text_features(["title", "text"], num_features=100_000).fit(docs).transform(docs).select("doc_id", "features")
-    _, clustered = models.cluster(features.cache(), "features", k=30, iters=100)
-    return _assigned(clustered, "doc_id", 30)
+    _, clustered = models.cluster(materialize(features, "features"), "features", k=30, iters=100)
+    return clustered.select("doc_id", "cluster")
 
 
-@query("m08_kmeans_embeddings", _IN_RANGE.format("vec_id", "embeddings", 10))
+@query("m08_kmeans_checked", _IN_RANGE.format("doc_id", "documents", 30))
+def m08_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _assigned(m08(spark, sf_dir), "doc_id", 30)
+
+
+@query("m08_kmeans_embeddings")
 def m08_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, cluster)."""
     vectors = b.table(spark, sf_dir, "embeddings").select("vec_id", "label", array_to_vector(models.l2_normalize("embedding")).alias("features"))
     _, clustered = models.cluster(vectors, "features", k=10, iters=100)
-    return _assigned(clustered, "vec_id", 10)
+    return clustered.select("vec_id", "cluster")
+
+
+@query("m08_kmeans_embeddings_checked", _IN_RANGE.format("vec_id", "embeddings", 10))
+def m08_embeddings_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _assigned(m08_embeddings(spark, sf_dir), "vec_id", 10)
 
 
 def _saved_model(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, PipelineModel, str]:
@@ -178,13 +233,18 @@ def k08(spark: SparkSession, sf_dir: str) -> DataFrame:
     return twice.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") == F.col("after")).alias("same"))
 
 
-@query("m09_batch_score", "SELECT doc_id, doc_id % 10 = 0 AS unscored FROM documents")
+@query("m09_batch_score")
 def m09(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, the_lang_s)."""
     _, loaded, _ = _saved_model(spark, sf_dir)
     # each tenth document arrives without text and must come out unscored
     docs = b.documents(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 10 > 0, F.col("text")).alias("text"))
-    scored = models.score(docs, loaded, ["text"], "predicted_label", "the_lang_s")
-    return scored.select("doc_id", F.col("the_lang_s").isNull().alias("unscored"))
+    return models.score(docs, loaded, ["text"], "predicted_label", "the_lang_s").select("doc_id", "the_lang_s")
+
+
+@query("m09_batch_score_checked", "SELECT doc_id, doc_id % 10 = 0 AS unscored FROM documents")
+def m09_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m09(spark, sf_dir).select("doc_id", F.col("the_lang_s").isNull().alias("unscored"))
 
 
 @query(

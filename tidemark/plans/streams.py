@@ -28,12 +28,18 @@ def _run(spark: SparkSession, df: DataFrame, label: str, partition_by: str | Non
 RULES = [Rule("text", "body_t", "move"), Rule("source", "source_s", "copy"), Rule("n_chars", operation="delete")]
 
 
-@query("st01_score_on_arrival", "SELECT doc_id, lang, source AS source_s, true AS scored FROM documents")
+@query("st01_score_on_arrival")
 def st01(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source_s, the_lang_s)."""
     model = quick_model(spark, sf_dir)
     scored = flows.score_stream(_stream(spark, sf_dir, "documents"), RULES, model, ["body_t"], "predicted_label", "the_lang_s")
+    return _run(spark, scored, "scored").select("doc_id", "lang", "source_s", "the_lang_s")
+
+
+@query("st01_score_on_arrival_checked", "SELECT doc_id, lang, source AS source_s, true AS scored FROM documents")
+def st01_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.coalesce(F.length("the_lang_s") > 0, F.lit(False))
-    return _run(spark, scored, "scored").select("doc_id", "lang", "source_s", known.alias("scored"))
+    return st01(spark, sf_dir).select("doc_id", "lang", "source_s", known.alias("scored"))
 
 
 @query(

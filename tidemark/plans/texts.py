@@ -14,7 +14,7 @@ from tidemark.operators import articles, entities, models
 from tidemark.plans import bindings as b
 from tidemark.operators.mapping import Stage, parse_json_field
 from tidemark.plans.registry import query
-from tidemark.scratch import fresh_path
+from tidemark.scratch import fresh_path, materialize
 from tidemark.sources import readers
 from tidemark.sources.jobs import LoadSpec, bulk_load
 
@@ -172,11 +172,42 @@ def _total(vector: str) -> Column:
     return F.aggregate(vector_to_array(vector), F.lit(0.0), lambda a, v: a + v)
 
 
-@query("x06_hashing_tf", f"SELECT doc_id, CAST(len({_TOKS}) AS DOUBLE) AS total FROM documents")
-def x06(spark: SparkSession, sf_dir: str) -> DataFrame:
+_SIZES = (5_000, 10_000, 100_000)
+
+
+def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and, for each of the sizes, the hashed term counts as (size, indices, values): tf_5000, tf_10000, tf_100000."""
     docs = b.texts(spark, sf_dir).select("doc_id", tokens("text").alias("words"))
-    hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=5_000).transform(docs)
-    return hashed.select("doc_id", _total("tf").alias("total"))
+    for size in _SIZES:
+        docs = HashingTF(inputCol="words", outputCol=f"tf_{size}", numFeatures=size).transform(docs)
+    # counts stay sparse: a row costs what its text holds, not the number of slots
+    return docs.select("doc_id", *(F.unwrap_udt(f"tf_{size}").alias(f"tf_{size}") for size in _SIZES))
+
+
+@query(
+    "x06_hashing_tf",
+    "SELECT doc_id, " + ", ".join(f"CAST(n AS DOUBLE) AS total_{s}, true AS within_{s}" for s in _SIZES)
+    + f", true AS finer FROM (SELECT doc_id, len({_TOKS}) AS n FROM documents)",
+)
+def x06(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the counts, whether all slots are in range, and whether 10,000 slots tell at least as many terms apart as half of them do."""
+    hashed = _hashed(spark, sf_dir)
+    checks = []
+    for s in _SIZES:
+        tf = F.col(f"tf_{s}")
+        checks.append(F.aggregate(tf["values"], F.lit(0.0), lambda a, v: a + v).alias(f"total_{s}"))
+        checks.append(((tf["size"] == s) & F.coalesce((F.array_min(tf["indices"]) >= 0) & (F.array_max(tf["indices"]) < s), F.lit(True))).alias(f"within_{s}"))
+    return hashed.select("doc_id", *checks, (F.size("tf_10000.indices") >= F.size("tf_5000.indices")).alias("finer"))
+
+
+@query("x06_hashing_tf_counts")
+def x06_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, slots, slot, n): the counts themselves."""
+    sizes = F.explode(F.array(*(F.col(f"tf_{size}") for size in _SIZES))).alias("tf")
+    each = _hashed(spark, sf_dir).select("doc_id", sizes)
+    return each.select("doc_id", F.col("tf.size").alias("slots"), F.explode(F.arrays_zip("tf.indices", "tf.values")).alias("c")).select(
+        "doc_id", "slots", F.col("c.indices").alias("slot"), F.col("c.values").cast("long").alias("n")
+    )
 
 
 @query(
@@ -223,13 +254,19 @@ def x09(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Pipeline(stages=stages).fit(docs).transform(docs).select("doc_id", _total("features").alias("total"))
 
 
-@query("x10_word2vec", f"SELECT doc_id, 16 AS size, true AS finite, len({_TOKS}) > 0 AS moved FROM documents")
+@query("x10_word2vec")
 def x10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = b.texts(spark, sf_dir).select("doc_id", tokens("text").alias("words"))
+    """(doc_id, vector): the mean of a document's word vectors."""
+    docs = materialize(b.texts(spark, sf_dir).select("doc_id", tokens("text").alias("words")), "words")
     vectors = models.word_vectors("words", "vector", dim=16, partitions=8, min_count=0).fit(docs).transform(docs)
-    values = vector_to_array("vector")
-    finite = F.forall(values, lambda v: F.abs(v) < 1e6)
-    return vectors.select("doc_id", F.size(values).alias("size"), finite.alias("finite"), F.exists(values, lambda v: v != 0).alias("moved"))
+    return vectors.select("doc_id", vector_to_array("vector").alias("vector"))
+
+
+@query("x10_word2vec_checked", f"SELECT doc_id, 16 AS size, true AS finite, len({_TOKS}) > 0 AS moved FROM documents")
+def x10_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    finite = F.forall("vector", lambda v: F.abs(v) < 1e6)
+    moved = F.exists("vector", lambda v: v != 0)
+    return x10(spark, sf_dir).select("doc_id", F.size("vector").alias("size"), finite.alias("finite"), moved.alias("moved"))
 
 
 # ---- entity tags ---------------------------------------------------------------------------------------
