@@ -51,6 +51,22 @@ def test_bpe_is_the_librarys(rules, library):
         assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_words_at_once_are_the_words_one_by_one(rules, library, monkeypatch):
+    samples = odd_texts()
+    plain = rules.codec()
+    known = sorted({w for t in samples for p in plain.split(t) for w in plain.words(p) if isinstance(w, bytes) and len(w) <= bpe.LONGEST})
+    lexicon = bpe.Lexicon(bpe.compile_lexicon({w: plain.encode_word(w) for w in known[::2]}))
+    assert lexicon.find_all(known).tolist() == [lexicon.find(w) for w in known]
+    assert bpe.Merger(rules).merge(known) == [plain.encode_word(w) for w in known]
+    want = [library.encode(t, add_special_tokens=False).ids for t in samples]
+    assert [x.tolist() for x in rules.codec(lexicon).encode_all(samples)] == want
+    monkeypatch.setattr(bpe, "PIECES", 100)  # a full cache
+    monkeypatch.setattr(bpe.Merger, "ROWS", 7)
+    small = rules.codec(lexicon)
+    assert [x.tolist() for i in range(0, len(samples), 50) for x in small.encode_all(samples[i : i + 50])] == want and len(small.pieces) <= 1000
+    assert rules.codec().encode_all([]) == [] and rules.codec().encode_all([""])[0].tolist() == []
+
+
 def test_lexicon_is_mapped_without_a_rename(monkeypatch, tmp_path):
     """The executor's folders may be relative or lie on other mounts: nothing is linked, renamed or left behind."""
     def refuse(*_):

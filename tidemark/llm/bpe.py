@@ -75,6 +75,9 @@ class Rules:
         self.pattern = parts[0]["pattern"]["Regex"].replace("\\s", _SPACE)
         self.file = text
 
+        # a byte without a letter in the vocabulary is dropped, which only the plain path does
+        self.whole = None not in self.inner and None not in self.last
+
     def codec(self, lexicon: Lexicon | None = None) -> Codec:
         return Codec(self, lexicon)
 
@@ -133,6 +136,63 @@ def _merge_long(symbols: list[int], merges: dict[int, int]) -> list[int]:
     return [s for s in symbols if s >= 0]
 
 
+class Merger:
+    """Merges many words at once: a matrix with a word in each row, one merge in every row that has any at a time."""
+
+    #: Words in a matrix.
+    ROWS = 1 << 14
+
+    def __init__(self, rules: Rules):
+        keys = np.array(sorted(rules.merges), np.int64)
+        self.keys, self.values = np.append(keys, _NONE), np.array([*(rules.merges[k] for k in keys.tolist()), _NONE], np.int64)
+        self.inner, self.last = np.array(rules.inner, np.int64), np.array(rules.last, np.int64)
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pairs = a << 20 | b
+        at = np.searchsorted(self.keys, pairs)
+        return np.where((self.keys[at] == pairs) & (b >= 0), self.values[at], _NONE)
+
+    def merge(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each word, as `merge` gives them."""
+        out: list[list[int]] = [[]] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        for begin in range(0, len(order), self.ROWS):
+            part = order[begin : begin + self.ROWS]
+            for i, ids in zip(part, self._merge([words[i] for i in part]), strict=True):
+                out[i] = ids
+        return out
+
+    def _merge(self, words: list[bytes]) -> list[list[int]]:
+        sizes = np.array([len(w) for w in words])
+        places = np.arange(sizes.max())
+        symbols = np.full((len(words), len(places) + 1), -1, np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        symbols[:, :-1][places < sizes[:, None]] = self.inner[data]
+        symbols[np.arange(len(words)), sizes - 1] = self.last[data[np.cumsum(sizes) - 1]]
+        ranks = np.full(symbols.shape, _NONE, np.int64)
+        ranks[:, :-1] = self.ranks(symbols[:, :-1], symbols[:, 1:])
+        rows, done = np.arange(len(words)), np.empty_like(symbols)
+        places = np.arange(symbols.shape[1])
+        while True:
+            at = ranks.argmin(1)
+            best = ranks[np.arange(len(rows)), at]
+            going = best != _NONE
+            done[rows[~going], : symbols.shape[1]] = symbols[~going]
+            if not going.any():
+                break
+            rows, symbols, ranks, at, best = rows[going], symbols[going], ranks[going], at[going], best[going]
+            each = np.arange(len(rows))
+            # what lies behind the pair moves up by one place
+            symbols = np.take_along_axis(symbols, np.minimum(places + (places > at[:, None]), places[-1]), 1)
+            ranks = np.take_along_axis(ranks, np.minimum(places + (places >= at[:, None]), places[-1]), 1)
+            joined = symbols[each, at] = best & 0xFFFFF
+            ranks[each, at] = self.ranks(joined, symbols[each, np.minimum(at + 1, places[-1])])
+            left = at > 0
+            ranks[each[left], at[left] - 1] = self.ranks(symbols[each[left], at[left] - 1], joined[left])
+        counts = (done >= 0).sum(1).tolist()
+        return [row[:n] for row, n in zip(done.tolist(), counts, strict=True)]
+
+
 class Lexicon:
     """A minimal acyclic automaton over byte strings with an id list for each, read from one flat buffer."""
 
@@ -147,6 +207,7 @@ class Lexicon:
         self.first, self.target, self.skip, self.begin, self.ids = parts
         self.final = view[at : at + states]
         self.labels, self.at = buffer, at + states  # bytes and mmap both find a byte in a span
+        self.edges: np.ndarray | None = None
 
     def find(self, word: bytes) -> int:
         """The word's number in byte order, or -1."""
@@ -161,6 +222,29 @@ class Lexicon:
             state = target[edge]
         return number if self.final[state] else -1
 
+    def find_all(self, words: list[bytes]) -> np.ndarray:
+        """`find` for many words: all walk one edge at a time."""
+        if self.edges is None:
+            first = np.frombuffer(self.first, np.int32)
+            labels = np.frombuffer(self.labels, np.uint8, len(self.target), self.at)
+            self.edges = np.append(np.repeat(np.arange(len(first) - 1, dtype=np.int64), np.diff(first)) << 8 | labels, 1 << 62)
+        target, skip = np.frombuffer(self.target, np.int32), np.frombuffer(self.skip, np.int32)
+        sizes = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        number, states, going = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), np.arange(len(words))
+        for i in range(int(sizes.max(initial=0))):
+            going = going[sizes[going] > i]
+            wanted = states[going] << 8 | data[starts[going] + i]
+            at = np.searchsorted(self.edges, wanted)
+            found = self.edges[at] == wanted
+            number[going[~found]] = -1
+            going, at = going[found], at[found]
+            number[going] += skip[at]
+            states[going] = target[at]
+        ended = np.frombuffer(self.final, np.uint8)[states] > 0
+        return np.where((number >= 0) & ended, number, -1)
+
     def get(self, word: bytes) -> list[int] | None:
         number = self.find(word)
         return None if number < 0 else self.ids[self.begin[number] : self.begin[number + 1]].tolist()
@@ -239,9 +323,12 @@ class _Pieces(dict):
     """Ids of pieces, those seen first; a frequent one is among them."""
 
     def __init__(self, encode: Callable[[str], list[int]]):
-        self.encode = encode
+        self.encode, self.waiting = encode, None
 
     def __missing__(self, piece: str) -> list[int]:
+        if self.waiting is not None:
+            ids = self[piece] = self.waiting[piece] = []
+            return ids
         ids = self.encode(piece)
         if len(self) < PIECES and len(piece) <= LONGEST:
             self[piece] = ids
@@ -256,7 +343,8 @@ class Codec:
         self.words_of = regex.compile(rules.pattern).findall
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(rules.special, key=len, reverse=True))) + ")") if rules.special else None
         self.pieces = _Pieces(self.encode_piece)
-        self.library = None
+        self.library = self.merger = None
+        self.assigned: set[str] = set()  # characters that this Python's tables know
 
     def split(self, text: str) -> list[str]:
         return text.split() if not _ODD.search(text) else [p for p in _SPACES.split(text) if p]
@@ -269,13 +357,18 @@ class Codec:
             elif part.isascii():
                 for word in self.words_of(part.lower()):
                     yield word.encode()
-            elif any(unicodedata.category(c) == "Cn" for c in part):
+            elif not self.assigned.issuperset(part) and not self._known(part):
                 yield from self._newer(part)
             else:
                 part = unicodedata.normalize("NFC", part)
                 for word in self.words_of("".join(map(str.lower, part)) if "Σ" in part else part.lower()):
                     yield word.encode()
 
+    def _known(self, part: str) -> bool:
+        new = {c for c in part if unicodedata.category(c) != "Cn"}
+        self.assigned |= new
+        return new.issuperset(part)
+
     def _newer(self, part: str) -> list[bytes]:
         """Words with characters that this Python's tables do not know yet: their class is asked of the library."""
         if self.library is None:
@@ -308,6 +401,42 @@ class Codec:
                 out.extend(self.encode_word(word))
         return out
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """`encode` for many texts: pieces that are not at hand get an empty list each, and when all texts have been cut these are filled, with
+        the words looked up and merged together."""
+        self.pieces.waiting = waiting = {} if self.rules.whole else None
+        found = [list(map(self.pieces.__getitem__, self.split(t))) for t in texts]
+        self.pieces.waiting = None
+        if waiting:
+            self._learn(waiting)
+        out = [np.fromiter(chain.from_iterable(lists), np.int32) for lists in found]
+        over = len(self.pieces) > PIECES
+        for piece in waiting or ():
+            if over or len(piece) > LONGEST:
+                del self.pieces[piece]
+        return out
+
+    def _learn(self, new: dict[str, list[int]]) -> None:
+        if self.merger is None:
+            self.merger, self.same = Merger(self.rules), list(range(len(self.rules.tokens)))
+        parts = [list(self.words(piece)) for piece in new]
+        words = list({w for part in parts for w in part if not isinstance(w, int) and len(w) <= LONGEST})
+        numbers = self.lexicon.find_all(words) if self.lexicon and words else np.full(len(words), -1)
+        known: dict[bytes | int, list[int]] = {}
+        same = self.same.__getitem__  # one object per id, however many pieces hold it
+        for at in np.flatnonzero(numbers >= 0).tolist():
+            number = int(numbers[at])
+            known[words[at]] = list(map(same, self.lexicon.ids[self.lexicon.begin[number] : self.lexicon.begin[number + 1]]))
+        unseen = [words[i] for i in np.flatnonzero(numbers < 0).tolist()]
+        for word, ids in zip(unseen, self.merger.merge(unseen), strict=True):
+            known[word] = list(map(same, ids))
+        for into, part in zip(new.values(), parts, strict=True):
+            for w in part:
+                if isinstance(w, int):
+                    into.append(w)
+                else:
+                    into.extend(known[w] if w in known else self.encode_word(w))
+
     def encode(self, text: str) -> np.ndarray:
         return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))), np.int32)
 
@@ -378,7 +507,7 @@ def encode(documents: DataFrame, lexicon: bytes, rules: Rules, text: str = "text
         for batch in batches:
             column = batch.column(1)
             for row, end, _, _ in W.slices(column, W.SLICE_BYTES // 2):
-                found = [codec.encode(x or "") for x in column.slice(row, end - row).to_pylist()]
+                found = codec.encode_all([x or "" for x in column.slice(row, end - row).to_pylist()])
                 out = [batch.column(0).slice(row, end - row), W.lists(np.concatenate(found), np.array([len(x) for x in found]))]
                 if decoded:
                     out.append(pa.array([codec.decode(x.tolist()) for x in found], pa.string()))
