@@ -174,3 +174,48 @@ def a10_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a10_decayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = stored.stored_click_weights(spark, _loaded_clicks(spark, sf_dir), half_life_days=7)
     return weights.withColumn("weight", F.round("weight", 6))
+
+
+_PROFILED = ["user_id", "event_type", "value"]
+
+
+def _stored_profiles(spark: SparkSession, sf_dir: str) -> str:
+    """Two loads of events; one day comes in both halves, as the hours of it."""
+    events = b.table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    middle = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    path, late = fresh_path(spark, "profiles"), F.coalesce(F.col("ts").cast("timestamp_ntz") >= middle, F.lit(False))
+    stored.add_profile(path, 0, events.where(~late), _PROFILED, "day")
+    stored.add_profile(path, 1, events.where(late), _PROFILED, "day")
+    return path
+
+
+@query("a11_stored_profile")
+def a11_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(column, n, nulls, min, max, distinct, median) from the sketches of all days."""
+    return stored.stored_profile(spark, _stored_profiles(spark, sf_dir))
+
+
+@query(
+    "a11_stored_profile_checked",
+    """WITH v AS (SELECT 'user_id' AS "column", CAST(user_id AS DOUBLE) AS x, CAST(user_id AS VARCHAR) AS s, strftime(ts, '%Y-%m-%d') AS part FROM events
+          UNION ALL SELECT 'event_type', NULL, event_type, strftime(ts, '%Y-%m-%d') FROM events
+          UNION ALL SELECT 'value', CAST(value AS DOUBLE), CAST(value AS VARCHAR), strftime(ts, '%Y-%m-%d') FROM events)
+        SELECT part, "column", count(*) AS n, count(*) - count(s) AS nulls, min(x) AS min, max(x) AS max, true AS distinct_near, true AS median_near
+        FROM v GROUP BY ALL""",
+)
+def a11_stored_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and bounds per day and column, and whether the estimates are within a tenth of the exact numbers."""
+    found = stored.stored_profile(spark, _stored_profiles(spark, sf_dir), by_part=True)
+    events = b.table(spark, sf_dir, "events").withColumn("part", F.date_format("ts", "yyyy-MM-dd"))
+    exact = events.groupBy("part").agg(*(F.countDistinct(c).alias(f"n_{c}") for c in _PROFILED), *(
+        F.percentile(c, F.array(F.lit(0.4), F.lit(0.6))).alias(f"q_{c}") for c in _PROFILED if c != "event_type"
+    ))
+    none = F.lit(None).cast("array<double>")
+    exact = exact.select("part", F.inline(F.array(*(
+        F.struct(F.lit(c).alias("column"), F.col(f"n_{c}").alias("exact"), (none if c == "event_type" else F.col(f"q_{c}")).alias("around")) for c in _PROFILED
+    ))))
+    both = found.join(exact, ["part", "column"])
+    return both.select(
+        "part", "column", "n", "nulls", "min", "max", (F.abs(F.col("distinct") - F.col("exact")) <= 1 + 0.1 * F.col("exact")).alias("distinct_near"),
+        F.coalesce(F.col("median").between(F.col("around")[0], F.col("around")[1]), F.lit(True)).alias("median_near"),
+    )

@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.scalars import clean_control_chars, iso
 from tidemark.functions.dates import normalize_date
 from tidemark.functions.text import STOP_WORDS, analyze, sentences, strip_html, tokens
-from tidemark.operators import articles, entities, models
+from tidemark.operators import articles, cooccurrence, entities, models, vocabulary
 from tidemark.plans import bindings as b
 from tidemark.operators.mapping import Stage, parse_json_field
 from tidemark.plans.registry import query
 from tidemark.scratch import fresh_path, materialize
 from tidemark.sources import readers
 from tidemark.sources.jobs import LoadSpec, bulk_load
+from tidemark.sources.readers import spread
 
 _CTRL = "'[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]'"
 _TOKS = b.tokens_sql("text")
@@ -465,3 +466,80 @@ _SENTENCES = """[trim(x) FOR x IN regexp_split_to_array(regexp_replace(text, '([
 def n07(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = b.documents(spark, sf_dir).select("doc_id", sentences("text").alias("s"))
     return docs.select("doc_id", F.size("s").cast("bigint").alias("n"), _digest(F.col("s"), "|").alias("sentences_md5"))
+
+
+# ---- vocabularies and co-occurrence --------------------------------------------------------------------
+
+_SUBJECT_TOKS = f"CASE WHEN doc_id % 4 > 0 THEN {_TOKS}[1:5] ELSE [] END"
+_COUNTS = f"""each AS (SELECT doc_id, unnest({_TOKS}) AS term, 3 AS w FROM documents UNION ALL SELECT doc_id, unnest({_SUBJECT_TOKS}), 1 FROM documents),
+    counts AS (SELECT doc_id, term, sum(w) AS n FROM each GROUP BY doc_id, term), total AS (SELECT count(*) AS docs FROM documents),
+    vocab AS (SELECT term, df, df >= 2 AND df <= docs * 0.5::DOUBLE AS kept FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), total)"""
+
+
+def _field_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vocabulary.field_counts(spread(_subjects(spark, sf_dir)), "doc_id", {"body_t": 3, "subject": 1})
+
+
+def _n_docs(spark: SparkSession, sf_dir: str) -> Column:
+    return b.documents(spark, sf_dir).agg(F.count(F.lit(1))).scalar()
+
+
+@query("x07_vocabulary", f"WITH {_COUNTS} SELECT term, df, kept FROM vocab")
+def x07_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms in two documents at least and in half of them at most."""
+    return vocabulary.vocabulary(_field_counts(spark, sf_dir), _n_docs(spark, sf_dir), 2, 0.5)
+
+
+@query("x07_term_ids", f"WITH {_COUNTS} SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab WHERE kept")
+def x07_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vocabulary.number_terms(x07_vocabulary(spark, sf_dir).where("kept").select("term"))
+
+
+@query(
+    "x09_term_weights",
+    f"""WITH {_COUNTS}, w AS (SELECT doc_id, term, n * ln((docs + 1.0::DOUBLE) / (df + 1)) AS w FROM counts JOIN vocab USING (term), total WHERE kept)
+        SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
+)
+def x09_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Body terms count three times as much as those of the subject."""
+    counts = materialize(_field_counts(spark, sf_dir), "counts")
+    vocab = vocabulary.vocabulary(counts, _n_docs(spark, sf_dir), 2, 0.5).where("kept")
+    weights = vocabulary.term_weights(counts, vocab, _n_docs(spark, sf_dir), "doc_id")
+    return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+def _pairs_sql(toks: str) -> str:
+    return f"""ahead AS (SELECT t[i] AS a, unnest(t[i + 1:i + 5]) AS b FROM (SELECT t, unnest(range(1, len(t) + 1)) AS i FROM ({toks}))),
+    pairs AS (SELECT term, context, count(*) AS n FROM (SELECT a AS term, b AS context FROM ahead UNION ALL SELECT b, a FROM ahead) GROUP BY ALL)"""
+
+
+@query(
+    "x10_cooccurrences",
+    f"WITH {_pairs_sql(f'SELECT {_TOKS} AS t FROM documents')} SELECT term, count(*) AS contexts, CAST(sum(n) AS BIGINT) AS n FROM pairs GROUP BY term",
+)
+def x10_cooccurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per word, how many others stand within five places, and how often."""
+    pairs = cooccurrence.cooccurrences(b.texts(spark, sf_dir).select(tokens("text").alias("words")), "words", window=5)
+    return pairs.groupBy("term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n"))
+
+
+@query("x10_ppmi_vectors")
+def x10_ppmi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(term, vector) for words that occur ten times or more."""
+    docs = b.texts(spark, sf_dir).select(tokens("text").alias("words"))
+    pairs = materialize(cooccurrence.cooccurrences(docs, "words", window=5, min_count=10), "pairs")
+    return cooccurrence.word_vectors(pairs, dim=16)
+
+
+@query(
+    "x10_ppmi_vectors_checked",
+    f"""WITH each AS (SELECT doc_id, unnest({_TOKS}) AS term, unnest(range(1, len({_TOKS}) + 1)) AS pos FROM documents),
+        often AS (SELECT term FROM each GROUP BY term HAVING count(*) >= 10),
+        kept AS (SELECT doc_id, list(term ORDER BY pos) AS t FROM each JOIN often USING (term) GROUP BY doc_id),
+        {_pairs_sql('SELECT t FROM kept')}, sums AS (SELECT term, sum(n) AS n FROM pairs GROUP BY term), total AS (SELECT sum(n) AS n FROM pairs)
+        SELECT DISTINCT p.term, 16 AS size, true AS finite FROM pairs p JOIN sums s ON s.term = p.term JOIN sums c ON c.term = p.context, total
+        WHERE p.n * total.n > s.n * c.n""",
+)
+def x10_ppmi_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    finite = F.forall("vector", lambda v: F.abs(v) < 1e6)
+    return x10_ppmi(spark, sf_dir).select("term", F.size("vector").alias("size"), finite.alias("finite"))

@@ -273,3 +273,53 @@ def stored_click_weights(spark: SparkSession, path: str, half_life_days: float |
         age = F.greatest(F.datediff(last, F.col("dt")), F.lit(0))
         worth = worth * F.pow(F.lit(0.5), age / F.lit(float(half_life_days)))
     return days.groupBy("query", "doc_id").agg(F.sum(worth).alias("weight"))
+
+
+_PROFILE = "part string, column string, n long, nulls long, min double, max double, distinct binary, spread binary"
+
+
+def add_profile(path: str, batch: int, rows: DataFrame, cols: list[str], part: str) -> bool:
+    """Profile a load of rows and merge it into the stored profiles, one row per part (a column such as the day) and column.
+
+    A profile holds counts, bounds and two sketches that can be merged: one of the distinct values (HyperLogLog) and, for numbers, one of
+    the quantiles (KLL). Their size is fixed, so a profile of any number of rows is some kilobytes, and only the parts of
+    the load are read and rewritten.
+    """
+    kinds = dict(rows.dtypes)
+    numeric = [c for c in cols if kinds[c] in ("tinyint", "smallint", "int", "bigint", "float", "double") or kinds[c].startswith("decimal")]
+    entries = []
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(cols):
+        text, number = F.col(c).cast("string"), F.col(c).cast("double")
+        aggs += [F.count(c).alias(f"c{i}"), F.hll_sketch_agg(text).alias(f"d{i}")]
+        if c in numeric:
+            aggs += [F.min(number).alias(f"a{i}"), F.max(number).alias(f"z{i}"), F.kll_sketch_agg_double(number).alias(f"q{i}")]
+        bounds = [F.col(f"{x}{i}") if c in numeric else F.lit(None).cast(t) for x, t in (("a", "double"), ("z", "double"), ("q", "binary"))]
+        entries.append(F.struct(
+            F.lit(c).alias("column"), F.col("n"), (F.col("n") - F.col(f"c{i}")).alias("nulls"), bounds[0].alias("min"), bounds[1].alias("max"),
+            F.col(f"d{i}").alias("distinct"), bounds[2].alias("spread"),
+        ))
+    new = rows.groupBy(F.col(part).cast("string").alias("part")).agg(*aggs).select("part", F.inline(F.array(*entries)))
+
+    def merge(stored: DataFrame | None, fresh: DataFrame) -> DataFrame:
+        return fresh if stored is None else _merged(stored.unionByName(fresh), "part", "column")
+
+    return merge_batch(path, batch, new, F.col("part"), merge, _PROFILE)
+
+
+def _merged(profiles: DataFrame, *by: str) -> DataFrame:
+    return profiles.groupBy(*by).agg(
+        F.sum("n").alias("n"), F.sum("nulls").alias("nulls"), F.min("min").alias("min"), F.max("max").alias("max"),
+        F.hll_union_agg("distinct").alias("distinct"), F.kll_merge_agg_double("spread").alias("spread"),
+    )
+
+
+def stored_profile(spark: SparkSession, path: str, parts: set[str] | None = None, by_part: bool = False) -> DataFrame:
+    """(column, n, nulls, min, max, distinct, median) of all loads, or of the named parts, from the stored sketches; no row is read again.
+
+    `by_part` keeps the parts apart. The number of distinct values and the median are estimates.
+    """
+    by = ["part", "column"] if by_part else ["column"]
+    merged = _merged(read_stored(spark, path, _PROFILE, parts), *by)
+    median = F.when(F.col("min").isNotNull(), F.kll_sketch_get_quantile_double("spread", F.lit(0.5)))
+    return merged.select(*by, "n", "nulls", "min", "max", F.hll_sketch_estimate("distinct").alias("distinct"), median.alias("median"))
