@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import pick, share
+from tidemark.llm.frames import pick, share, tidied
 from tidemark.scratch import materialize
 
 #: Words in the lexicon; it takes some tens of bytes for each.
@@ -473,7 +473,7 @@ def word_counts(documents: DataFrame, text: str, rules: Rules) -> DataFrame:
                     yield flush()
         yield flush()
 
-    rows = pick(documents, text=text).mapInArrow(count, "word binary, n long")
+    rows = pick(documents, text=text).mapInArrow(tidied(count), "word binary, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -514,7 +514,7 @@ def encode(documents: DataFrame, lexicon: bytes, rules: Rules, text: str = "text
                 yield pa.RecordBatch.from_arrays(out, names=["doc", "ids", "decoded"][: len(out)])
 
     kind = f"doc {rows.schema['doc'].dataType.simpleString()}, ids array<int>" + (", decoded string" if decoded else "")
-    return rows.mapInArrow(work, kind)
+    return rows.mapInArrow(tidied(work), kind)
 
 
 def decode(encoded: DataFrame, rules: Rules, ids: str = "ids") -> DataFrame:

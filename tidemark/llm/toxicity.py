@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import share
+from tidemark.llm.frames import share, tidied
 
 #: Most labelled documents taken to fit on, by label.
 TOXIC, ORDINARY = 4_000, 8_000
@@ -224,7 +224,7 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (model.ordinary, model.toxic, rest)], names=["ordinary", "toxic", "rest"])
 
     sample = rows.repartition(1).sortWithinPartitions("h", "c", "text").select("text", "y")
-    found = sample.mapInArrow(learn, "ordinary binary, toxic binary, rest binary").collect()
+    found = sample.mapInArrow(tidied(learn), "ordinary binary, toxic binary, rest binary").collect()
     if not found:
         return train([])
     return Model(bytes(found[0]["ordinary"]), bytes(found[0]["toxic"]), *pickle.loads(found[0]["rest"]))
@@ -243,7 +243,7 @@ def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 scores = [scorer.score(t) for t in column.slice(row, end - row).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(scores, pa.float64())], names=["doc", "score"])
 
-    return rows.mapInArrow(work, f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(tidied(work), f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
 
 
 def held_out(doc_id: Column) -> Column:
