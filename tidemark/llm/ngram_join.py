@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import bit_filter, components, in_filter, pick, share, text_key
+from tidemark.llm.frames import bit_filter, components, in_filter, pick, share, text_key, tidied
 from tidemark.scratch import materialize
 
 #: The counters: 2**COUNTER_BITS, in chunks of 2**16.
@@ -79,7 +79,7 @@ def rarity(documents: DataFrame, size: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([level.tobytes()], pa.binary())], names=["chunk", "counts"])
 
     out = np.zeros(1 << COUNTER_BITS, np.uint8)
-    summed = documents.select("text").mapInArrow(count, "chunk int, counts binary").repartition(chunks, "chunk").mapInArrow(add, "chunk int, counts binary")
+    summed = documents.select("text").mapInArrow(tidied(count), "chunk int, counts binary").repartition(chunks, "chunk").mapInArrow(add, "chunk int, counts binary")
     for row in summed.toLocalIterator():
         out[row["chunk"] * chunk : (row["chunk"] + 1) * chunk] = np.frombuffer(row["counts"], np.uint8)
     return out
@@ -112,7 +112,7 @@ def prefixes(documents: DataFrame, size: int, percent: int) -> DataFrame:
                 )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", text_key("text").alias("row_id"), "text").mapInArrow(cut, f"doc_id {kind}, row_id binary, n long, set_id binary, prefix_id binary, prefix array<long>")
+    return documents.select("doc_id", text_key("text").alias("row_id"), "text").mapInArrow(tidied(cut), f"doc_id {kind}, row_id binary, n long, set_id binary, prefix_id binary, prefix array<long>")
 
 
 def whole_sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -128,7 +128,7 @@ def whole_sets(documents: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                 members = W.lists(W.signed(np.concatenate(sets)), np.array([len(own) for own in sets]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), members], names=["set_id", "members"])
 
-    return documents.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(gather, "set_id binary, members array<long>")
+    return documents.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(tidied(gather), "set_id binary, members array<long>")
 
 
 def _bounds(percent: int) -> Column:
@@ -188,20 +188,18 @@ def verified_links(documents: DataFrame, classes: DataFrame, size: int, percent:
         *(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("doc_id"), "node", "n", "i")).alias(f"h{k}") for k in range(1, HEADS + 1)),
     ).where("rows > 1")
     heads = [f"h{k}" for k in range(HEADS + 1)]
-    entries = materialize(
-        entries.join(listed.select("token", F.array(*(F.struct(*(F.col(f"{h}.{c}").alias(c) for c in ("node", "n", "i"))) for h in heads)).alias("heads")), "token"),
-        "shingle-entries",
-    )
-    near = entries.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("i").alias("ix"), F.explode(F.array_distinct("heads")).alias("h")).select(
+    held = listed.select("token", F.array(*(F.struct(*(F.col(f"{h}.{c}").alias(c) for c in ("node", "n", "i"))) for h in heads)).alias("heads"))
+    near = entries.join(held, "token").select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("i").alias("ix"), F.explode(F.array_distinct("heads")).alias("h")).select(
         "x", "nx", "ix", F.col("h.node").alias("y"), F.col("h.n").alias("ny"), F.col("h.i").alias("iy")
     ).where("x <> y").where(_bounds(percent)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    near = materialize(near.distinct(), "shingle-near")  # the heads themselves are stored nowhere
     links = _verified(members.union(near), documents, classes, size, percent)
 
     # a member that does not link with its group's head stands for itself from now on, and so needs the entries of its group
     followers = materialize(members.join(links.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "leftsemi"), "shingle-followers")
     apart = members.join(followers, ["x", "y"], "leftanti")
     split = classes.join(apart.select(F.explode(F.array("x", "y")).alias("set_id")).distinct(), "set_id")
-    entries = entries.drop("heads").unionByName(_entries(split, bits)).distinct()
+    entries = entries.unionByName(_entries(split, bits)).distinct()
     found = components(links, "shingle-components").withColumnRenamed("id", "node")
     labelled = materialize(entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "shingle-labelled")
 
@@ -220,7 +218,7 @@ def verified_links(documents: DataFrame, classes: DataFrame, size: int, percent:
         rest = rest.join(own, side, "left").select(
             F.explode(F.array_distinct(F.array(side, F.coalesce("member", side)))).alias(side), "y" if side == "x" else "x"
         )
-    rest = rest.join(materialize(near.distinct(), "shingle-near"), ["x", "y"], "leftanti")
+    rest = rest.join(near, ["x", "y"], "leftanti")
     return links.union(_verified(rest, documents, classes, size, percent))
 
 
