@@ -131,6 +131,46 @@ def test_similar_items_equals_brute_force(spark, heavy_users, tile, shape):
     assert dict(got) == want
 
 
+@pytest.mark.parametrize("shape", ["even", "skewed", "few", "blocks"])
+def test_top_similar_equals_brute_force(spark, shape):
+    rng = random.Random(shape)
+    rows = set()
+    if shape == "skewed":
+        rows |= {(u, i) for u in range(3) for i in range(60) if rng.random() < 0.8} | {(rng.randint(3, 40), rng.randint(0, 59)) for _ in range(60)}
+    elif shape == "even":
+        rows |= {(rng.randint(0, 30), rng.randint(0, 40)) for _ in range(300)}
+    elif shape == "few":
+        rows |= {(u, i) for u in range(4) for i in range(30)} | {(9, 99)}
+    else:
+        rows |= {(100 * (i // 8) + u, i) for i in range(64) for u in rng.sample(range(20), 16)} | {(5000, i) for i in range(64)}
+    inter = spark.createDataFrame(sorted(rows), "user_id int, item int")
+    got = defaultdict(list)
+    for r in recommend.top_similar(inter, 4, seeds=2, list_size=7).orderBy("item", "rank").collect():
+        got[r.item].append((r.other, r.common))
+    assert dict(got) == {a: v for a, v in similar_by_hand(rows, 4).items() if v}
+
+
+def test_top_similar_looks_at_few_pairs(spark):
+    """Items come in groups with the same users, and one user has them all: neighbours are in the group, and only its pairs are looked at."""
+    rng = random.Random(2)
+    rows = [(1000 * (i // 10) + u, i) for i in range(600) for u in rng.sample(range(30), 25)] + [(-1, i) for i in range(600)]
+    inter = spark.createDataFrame(rows, "user_id int, item int")
+    every = recommend.all_similarities(inter).count()
+    looked = recommend.bounded_pairs(inter, 5).count()
+    assert every == 600 * 599 and 600 * 5 <= looked <= 600 * 9
+    assert recommend.top_similar(inter, 5).count() == 3000
+    assert recommend.top_similar(inter.where("false"), 5).isEmpty()
+
+
+def test_all_similarities(spark):
+    rng = random.Random(3)
+    rows = {(rng.randint(0, 20), rng.randint(0, 25)) for _ in range(150)}
+    inter = spark.createDataFrame(sorted(rows), "user_id int, item int")
+    want = {(a, b): c for a, v in similar_by_hand(rows, 1000).items() for b, c in v}
+    for tile in (2_000, 3):
+        assert {(r.item, r.other): r.common for r in recommend.all_similarities(inter, tile=tile).collect()} == want
+
+
 def test_no_pairs_of_a_heavy_user(spark):
     """One user with every item: the pair join must see none of that user's rows."""
     rows = [(0, i) for i in range(3_000)] + [(u, u % 50) for u in range(1, 200)]

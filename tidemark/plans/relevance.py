@@ -52,6 +52,18 @@ def r04_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.similar_items(inter, 5, item="movie_id").withColumn("similarity", F.round("similarity", 6))
 
 
+@query("r04_items_for_item_bounded", f"WITH {b.CLICKS}, {_similar_sql('clicks', 'user_id', 'item', 10)}")
+def r04_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = recommend.top_similar(signals.interactions(b.clicks(spark, sf_dir)), 10)
+    return out.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("r04_similar_movies_bounded", f"WITH {b.RATINGS}, {_similar_sql('ratings', 'user_id', 'movie_id', 5)}")
+def r04_movies_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inter = signals.interactions(b.ratings(spark, sf_dir), "user_id", "movie_id")
+    return recommend.top_similar(inter, 5, item="movie_id").withColumn("similarity", F.round("similarity", 6))
+
+
 _NEAR = _similar_sql("clicks", "user_id", "item", 10)
 
 
@@ -70,6 +82,22 @@ def r03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.items_for_users(inter, recommend.similar_items(inter, 10), 5)
 
 
+@query(
+    "r03_items_for_user_all",
+    f"""WITH {b.CLICKS}, near AS (WITH {_similar_sql("clicks", "user_id", "item", 1 << 30)}),
+        inter AS (SELECT user_id, item, count(*) AS weight FROM clicks GROUP BY user_id, item),
+        scored AS (SELECT user_id, other AS item, sum(weight * CAST(round(similarity * 1000000) AS BIGINT)) AS parts
+          FROM inter JOIN near USING (item) GROUP BY user_id, other)
+        SELECT user_id, item, CAST(parts AS DOUBLE) / 1000000 AS score,
+          CAST(row_number() OVER (PARTITION BY user_id ORDER BY parts DESC, item) AS INTEGER) AS rank
+        FROM scored ANTI JOIN inter USING (user_id, item) QUALIFY rank <= 5""",
+)
+def r03_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From every item that shares a user with one of the user's items."""
+    inter = signals.interactions(b.clicks(spark, sf_dir))
+    return recommend.items_for_users(inter, recommend.all_similarities(inter), 5)
+
+
 def _factor_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     inter = signals.interactions(b.ratings(spark, sf_dir), "user_id", "movie_id")
     return recommend.recommend_for_users(inter, 5, item="movie_id")
