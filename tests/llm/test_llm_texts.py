@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 from llm_cases import frame, lower, sha, spaces, texts, union_of  # noqa: E402
 from tidemark.llm import decontaminate, ngram_join, sharding, substrings  # noqa: E402
 from tidemark.llm.frames import components  # noqa: E402
+from tidemark.scratch import fresh_path  # noqa: E402
 
 
 def test_sharding(spark, tmp_path):
@@ -53,6 +54,12 @@ def test_map_versions(spark, tmp_path):
 def test_empty_tables(spark):
     none, items = frame(spark, []), spark.createDataFrame([], "item_id long, text string")
     assert sharding.shard_documents(none, shards=3, slots=8).count() == 0
+    path = fresh_path(spark, "kept-map")  # not there yet: made, and carried on by the next call
+    assert {r["map_version"] for r in sharding.shard_documents(none.sparkSession.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string"), 3, 8, path).collect()} == {1}
+    again = sharding.shard_documents(spark.createDataFrame([(3, "c")], "doc_id long, text string"), 3, 8, path).collect()
+    assert [r["map_version"] for r in again] == [2]
+    with pytest.raises(ValueError, match="8 slots"):  # a map of other slots would lose rows
+        sharding.shard_documents(spark.createDataFrame([(3, "c")], "doc_id long, text string"), 3, 16, path)
     assert decontaminate.contamination_report(none, items).count() == 0
     assert decontaminate.decontaminate(frame(spark, texts()), items).count() == len(texts())
     assert substrings.remove_repeats(none).count() == 0

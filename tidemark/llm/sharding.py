@@ -112,6 +112,7 @@ def shard_documents(documents: DataFrame, shards: int, slots: int = SLOTS, map_p
     share an id spread; repeated rows share a slot and get places of their own. Other columns of `documents` are not read. The law is
     `bytes`: sizes of shards are equal up to one small slot, unless a single slot outweighs a shard. `map_path` is where the versions of
     the map are kept, by default a new folder in the shared folder: version 0 and the rebalanced version 1, or one version more than it holds.
+    A folder that is not there yet is made; a stored map with another number of slots is refused.
     """
     spark = documents.sparkSession
     records = materialize(
@@ -123,9 +124,13 @@ def shard_documents(documents: DataFrame, shards: int, slots: int = SLOTS, map_p
         "sharded",
     )
     loads = materialize(slot_loads(records, "virtual_slot", "size"), "slot-loads")
-    if map_path is None:
-        map_path = fresh_path(spark, "slot-map")
+    map_path = map_path or fresh_path(spark, "slot-map")
+    at = spark._jvm.org.apache.hadoop.fs.Path(map_path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
         save_map(first_map(spark, shards, slots), map_path)
+    held = load_map(spark, map_path).agg(F.count("*"), F.max("virtual_slot")).head()
+    if tuple(held) != (slots, slots - 1):
+        raise ValueError(f"the stored map has {held[0]} slots, not {slots}")
     save_map(rebalance(load_map(spark, map_path), loads, shards), map_path)
     return place(records, load_map(spark, map_path), loads, ["doc_id", "text_crc32", "size"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
