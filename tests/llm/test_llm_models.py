@@ -379,6 +379,46 @@ def test_graph_recall():
     assert np.mean([len(set(t) & set(p)) / 5 for t, p in zip(truth.tolist(), places.tolist())]) >= 0.9
 
 
+@pytest.mark.parametrize("audited", [20, 10**9])
+def test_the_audit_finds_lost_links(monkeypatch, audited):
+    """A cloud with few planted links, searched with beams far too narrow: the audit widens them until the links are there, also where none of
+    the sampled vectors has one."""
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(4000, 32))
+    v[2000:2040] = v[:40] + 0.02 * rng.normal(size=(40, 32))
+    v = vectors._unit(v.tobytes(), 4000)
+    ids = np.arange(4000)
+    planted = {(i, 2000 + i) for i in range(40)}
+    graph = vectors.build(v.astype(np.float32), 7)
+    widths = []
+    descend = vectors.Graph.descend
+    monkeypatch.setattr(vectors.Graph, "descend", lambda self, q, width: widths.append(width) or descend(self, q, width))
+    monkeypatch.setattr(vectors, "BEAM", 1)
+    linked = vectors._search(graph.vectors, graph, v, v, 0.98, np.flatnonzero(ids % audited == 1), own=True)
+    found = {(int(min(a, b)), int(max(a, b))) for a, b in zip(*np.nonzero(linked), strict=True) if a != b}
+    assert len(found & planted) / len(planted) >= 0.95 and found <= planted and max(widths) > 1
+    # two shards, where no vector meets itself
+    other = vectors.build(v[2000:].astype(np.float32), 8)
+    linked = vectors._search(v[:2000].astype(np.float32), other, v[2000:], v[:2000], 0.98, np.flatnonzero(ids[:2000] % audited == 1))
+    assert len({(int(a), 2000 + int(b)) for a, b in zip(*np.nonzero(linked), strict=True)} & planted) / len(planted) >= 0.95
+
+
+def test_near_duplicates_of_one_large_label(spark, monkeypatch):
+    """Some thousand vectors of one label in several shards, few of which link: recall over real links."""
+    monkeypatch.setattr(vectors, "SHARD", 1200)
+    monkeypatch.setattr(vectors, "TASKS", 8)
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(4000, 24))
+    v[3000:3060] = v[:60] + 0.02 * rng.normal(size=(60, 24))
+    df = spark.createDataFrame([(i, 1, x) for i, x in enumerate(v.tolist())], "vec_id long, label int, embedding array<double>")
+    rows = {r["vec_id"]: r for r in vectors.near_duplicates(df).collect()}
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    links = [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(unit @ unit.T, 1) >= 0.98), strict=True)]
+    assert len(links) >= 55
+    assert sum(rows[b]["component_id"] == rows[a]["component_id"] for a, b in links) >= 0.9 * len(links)
+    assert sum(r["n_links"] for r in rows.values()) <= 2 * len(links) and sum(r["n_links"] for r in rows.values()) >= 1.8 * len(links)
+
+
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     return compare.connect(sf_dir)
