@@ -180,6 +180,9 @@ def test_toxicity_without_labels(spark):
         scores = [r["score"] for r in toxicity.score(documents, toxicity.fit(documents, labels)).collect()]
         assert len(scores) == len(texts()) and all(0 <= s <= 1 for s in scores)
         assert want is None or all(round(s) == want for s in scores)
+    empty = documents.where("false")
+    model = toxicity.fit(empty, spark.createDataFrame([(4, 1), (5, 0)], "doc_id long, toxic int"))
+    assert toxicity.score(empty, model).count() == 0 and toxicity.drop_toxic(empty, model).columns == documents.columns
 
 
 @pytest.fixture(scope="module")

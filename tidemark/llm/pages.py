@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm import words as W
 from tidemark.llm.frames import share
 
-#: Most pages to train on, those with the least hashes; and the most characters of each that training looks at.
+#: Most pages to train on, those with the least hashes; each is read whole.
 SAMPLE = 300
 PATHS, WORDS, MEASURES = 96, 32, 6
 HIDDEN = 20
@@ -396,7 +396,8 @@ def fit(pages: DataFrame, page: str = "html") -> dict[str, np.ndarray]:
 
 def extract(pages: DataFrame, weights: dict[str, np.ndarray], page: str = "html", carry: list[str] | None = None) -> DataFrame:
     """Every row as doc (a struct of its columns, or of those named by carry, so no name clashes) with text, the article's blocks in page order joined
-    by line feeds. A null or empty page, or one without an article, has the empty text."""
+    by line feeds. A null or empty page, or one without an article, has the empty text; repeated rows are rows of their own, and an empty table gives
+    none."""
     held = share(pages.sparkSession, weights)
     rows = pages.select(F.struct(*(f"`{c}`" for c in carry or pages.columns)).alias("doc"), F.col(f"`{page}`").alias("html"))
 

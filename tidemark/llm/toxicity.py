@@ -231,7 +231,8 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Every row as doc (a struct of its columns, so no name clashes) with score, from 0 to 1; null and empty texts score like texts without evidence."""
+    """Every row as doc (a struct of its columns, so no name clashes) with score, from 0 to 1; null and empty texts score like texts without evidence,
+    equal texts alike, repeated rows are rows of their own, and an empty table gives none."""
     shared = share(documents.sparkSession, model)
     rows = documents.select(F.struct(*(f"`{c}`" for c in documents.columns)).alias("doc"), F.col(f"`{text}`").alias("text"))
 
