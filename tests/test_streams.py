@@ -55,3 +55,14 @@ def test_scores_on_arrival(spark):
     )
     flows.start_write(stream, out, mark).awaitTermination()
     assert {r.id: r.sentiment_d for r in spark.read.parquet(out).collect()} == {1: 1.0, 2: 0.0, 3: None}
+
+
+def test_a_table_that_is_a_folder_arrives_whole(spark):
+    from tidemark.plans.streams import _stream
+
+    root = fresh_path(spark, "tables")
+    spark.range(50).repartition(3).write.parquet(f"{root}/events.parquet")
+    spark.range(9).write.parquet(f"{root}/orders.parquet")
+    out = fresh_path(spark, "out")
+    flows.start_write(_stream(spark, root, "events"), out, fresh_path(spark, "mark")).awaitTermination()
+    assert sorted(r.id for r in spark.read.schema("id bigint").parquet(out).collect()) == list(range(50))
