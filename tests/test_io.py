@@ -186,3 +186,12 @@ def test_clean_up(spark):
     path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
     assert os.path.exists(path) and clean_up(spark) >= 1 and not os.path.exists(path)
     assert clean_up(spark) == 0
+
+
+def test_buckets_of_a_join_go_by_what_it_reads(spark):
+    """A join's own estimate is the product of its sides, which would ask for more buckets than Spark allows."""
+    a, b = (materialize(spark.range(20_000).withColumn("x", F.col("id") + 1), name) for name in "ab")
+    joined = a.join(b.withColumnRenamed("x", "y"), "id")
+    assert writers.buckets_for(joined) == 1
+    assert 1 < writers.buckets_for(joined, 10_000) < 1_000
+    assert writers.buckets_for(spark.range(20_000_000), 1) == 100_000

@@ -86,10 +86,15 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     return spark.table(table)
 
 
-def buckets_for(df: DataFrame, bytes_per_bucket: int = 256 << 20) -> int:
-    """A number of buckets by the size Spark estimates for the frame, one at least."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(1, -(-size // bytes_per_bucket))
+def buckets_for(df: DataFrame, bytes_per_bucket: int = 64 << 20) -> int:
+    """A number of buckets by the size of the files and tables the frame reads, one at least and no more than Spark allows.
+
+    Spark's estimate for the frame itself is no use here: for a join it is the product of the two sides.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    most = int(df.sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(1, -(-size // bytes_per_bucket)))
 
 
 def with_output_partitions(df: DataFrame, n: int) -> DataFrame:
