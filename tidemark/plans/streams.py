@@ -14,9 +14,9 @@ from tidemark.streaming import flows, stored
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream of its files; it is one file or a folder of them."""
+    """A table as a stream of its files; it is one file or a folder of them. The path is a pattern, as Spark takes a plain one for a folder."""
     schema = b.table(spark, sf_dir, name).schema
-    return flows.read_stream(spark, f"{sf_dir}/{name}.parquet", schema, "*")
+    return flows.read_stream(spark, f"{sf_dir}/{name}[.]parquet", schema, "*")
 
 
 def _run(spark: SparkSession, df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
