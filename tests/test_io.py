@@ -195,3 +195,20 @@ def test_buckets_of_a_join_go_by_what_it_reads(spark):
     assert writers.buckets_for(joined) == 1
     assert 1 < writers.buckets_for(joined, 10_000) < 1_000
     assert writers.buckets_for(spark.range(20_000_000), 1) == 100_000
+
+
+def test_shuffle_files_go_when_the_table_is_written(spark):
+    import glob
+    import time
+
+    dirs = [str(d) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*")}
+
+    before = files()
+    made = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sums")
+    waited = time.time() + 20
+    while files() - before and time.time() < waited:
+        time.sleep(0.2)
+    assert not files() - before and made.count() == 7

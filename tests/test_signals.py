@@ -203,3 +203,22 @@ def test_a_variant_without_results_scores_zero(spark):
     results = spark.createDataFrame([("v1", "q1", "a", 1), ("v1", "q2", "b", 1), ("v2", "q1", "a", 1)], "variant string, query string, doc_id string, rank int")
     means = {r.variant: (r.queries, r.recall_at_k) for r in signals.mean_metrics(signals.ranking_metrics(results, truth, 3)).collect()}
     assert means == {"v1": (2, 1.0), "v2": (2, 0.5)}
+
+
+def test_pairs_are_counted_where_the_item_is(spark, monkeypatch):
+    """Nothing is shuffled between making the pairs of items and ranking them, and rounds and tasks do not change the result."""
+    plans, kept = [], recommend.materialize
+
+    def noted(df, label):
+        if label == "met":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, label)
+
+    monkeypatch.setattr(recommend, "materialize", noted)
+    monkeypatch.setattr(recommend, "ENTRIES", 100)
+    rng = random.Random(8)
+    rows = {(rng.randint(0, 30), rng.randint(0, 40)) for _ in range(300)}
+    inter = spark.createDataFrame(sorted(rows), "user_id int, item int")
+    got = {(r.item, r.other): r.common for r in recommend.similar_items(inter, 4, heavy_users=2, tile=6).collect()}
+    assert got == {(a, b): c for a, v in similar_by_hand(rows, 4).items() for b, c in v}
+    assert plans and all("Generate" in p and "Exchange" not in p.split("Generate")[0] for p in plans)
