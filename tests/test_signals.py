@@ -222,3 +222,16 @@ def test_pairs_are_counted_where_the_item_is(spark, monkeypatch):
     got = {(r.item, r.other): r.common for r in recommend.similar_items(inter, 4, heavy_users=2, tile=6).collect()}
     assert got == {(a, b): c for a, v in similar_by_hand(rows, 4).items() for b, c in v}
     assert plans and all("Generate" in p and "Exchange" not in p.split("Generate")[0] for p in plans)
+
+
+def test_bounded_pairs_keep_few_of_those_that_meet(spark):
+    """Where items share little nothing can be pruned, and yet no more than the best pairs of an item are stored."""
+    rng = random.Random(12)
+    rows = {(u, i) for u in range(120) for i in rng.sample(range(200), 30)}
+    inter = spark.createDataFrame(sorted(rows), "user_id int, item int")
+    assert recommend.all_similarities(inter).count() > 200 * 150
+    assert recommend.bounded_pairs(inter, 2, seeds=1).count() <= 200 * 3 * 2
+    got = defaultdict(list)
+    for r in recommend.top_similar(inter, 2, seeds=1).orderBy("item", "rank").collect():
+        got[r.item].append((r.other, r.common))
+    assert dict(got) == similar_by_hand(rows, 2)
