@@ -96,3 +96,36 @@ def test_profiles_merge(spark):
         assert 22 <= got["n"].median <= 28 and (got["s"].min, got["s"].distinct, got["s"].median) == (None, 3, None)
     assert stored.stored_profile(spark, two, {"d1"}).where("column = 'n'").first().n == 500
     assert stored.stored_profile(spark, two, by_part=True).count() == 8
+
+
+def test_pairs_are_counted_in_rounds(spark):
+    rows = [(list("abcab"),), (list("aab"),), ([],), (None,), (["b"],)]
+    docs = spark.createDataFrame(rows, "w array<string>")
+    want = Counter()
+    for (words,) in rows:
+        for i, w in enumerate(words or []):
+            want.update((w, c) for j, c in enumerate(words) if i != j and abs(i - j) <= 2)
+    for rounds in (1, 3):
+        counted, names = cooccurrence.pair_counts(docs, "w", window=2, rounds=rounds)
+        assert len(counted) == rounds
+        term = {r.id: r.term for r in names.collect()}
+        found = [(term[r.a], term[r.b], r.n) for part in counted for r in part.collect()]
+        # one row for a pair, whichever word comes first
+        assert {frozenset(p[:2]): p[2] for p in found} == {frozenset(k): n // (1 + (k[0] == k[1])) for k, n in want.items()}
+        assert len(found) == len({frozenset(p[:2]) for p in found})
+        each = cooccurrence.context_counts(docs, "w", window=2, rounds=rounds)
+        assert {r.term: (r.contexts, r.n) for r in each.collect()} == {
+            w: (sum(k[0] == w for k in want), sum(n for k, n in want.items() if k[0] == w)) for w in "abc"
+        }
+
+
+def test_vectors_do_not_depend_on_slices(spark, monkeypatch):
+    words = [f"w{i}" for i in range(7)]
+    docs = spark.createDataFrame([([words[i % 7], words[i * i % 7], words[(i + 2) % 7], words[i * 3 % 5]],) for i in range(60)], "w array<string>")
+    whole = {r.term: np.array(r.vector) for r in cooccurrence.word_vectors(cooccurrence.cooccurrences(docs, "w"), dim=2).collect()}
+    monkeypatch.setattr(cooccurrence, "SLICE", 2)
+    sliced = {r.term: np.array(r.vector) for r in cooccurrence.counted_vectors(*cooccurrence.pair_counts(docs, "w"), dim=2).collect()}
+    assert whole.keys() == sliced.keys() and len(whole) > 3
+    for t, v in whole.items():
+        for u, x in whole.items():
+            assert abs(v @ x - sliced[t] @ sliced[u]) < 1e-6
