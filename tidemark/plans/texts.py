@@ -519,8 +519,7 @@ def _pairs_sql(toks: str) -> str:
 )
 def x10_cooccurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per word, how many others stand within five places, and how often."""
-    pairs = cooccurrence.cooccurrences(b.texts(spark, sf_dir).select(tokens("text").alias("words")), "words", window=5)
-    return pairs.groupBy("term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n"))
+    return cooccurrence.context_counts(b.texts(spark, sf_dir).select(tokens("text").alias("words")), "words", window=5)
 
 
 @query("x10_ppmi_vectors")
