@@ -235,3 +235,21 @@ def test_bounded_pairs_keep_few_of_those_that_meet(spark):
     for r in recommend.top_similar(inter, 2, seeds=1).orderBy("item", "rank").collect():
         got[r.item].append((r.other, r.common))
     assert dict(got) == similar_by_hand(rows, 2)
+
+
+def test_greatest_products_equal_brute_force(spark, monkeypatch):
+    """Every user gets the items with the greatest products, also where all are negative or fewer than wanted."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    u, v = rng.normal(size=(70, 4)).astype("float32"), (rng.normal(size=(300, 4)) * rng.random((300, 1)) ** 3).astype("float32")
+    frame = lambda m: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], "id int, features array<float>")
+    monkeypatch.setattr(recommend, "USERS", 20)
+    for wanted, items in ((5, v), (5, v[:3]), (2, -abs(v[:40]))):
+        found = {}
+        for r in recommend._best_products(frame(u), frame(items), wanted).collect():
+            found.setdefault(r.user, {})[r["rank"]] = (r.item, r.score)
+        want = np.argsort(-(u @ items.T), axis=1)[:, :wanted]
+        for i in range(len(u)):
+            assert [found[i][k + 1][0] for k in range(len(found[i]))] == want[i].tolist()
+            assert all(abs(s - u[i] @ items[j]) < 1e-5 for j, s in found[i].values())
