@@ -129,3 +129,11 @@ def test_vectors_do_not_depend_on_slices(spark, monkeypatch):
     for t, v in whole.items():
         for u, x in whole.items():
             assert abs(v @ x - sliced[t] @ sliced[u]) < 1e-6
+
+
+def test_weights_join_once(spark):
+    docs = spark.createDataFrame(DOCS + [(None, "red dog", None)], "id int, body string, title string")
+    counts = vocabulary.field_counts(docs, "id", {"body": 3, "title": 1})
+    weights = vocabulary.term_weights(counts, vocabulary.vocabulary(counts, 5, 2, 0.9), 5, "id")
+    assert weights._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert None not in {r.id for r in weights.collect()}
