@@ -110,3 +110,14 @@ def test_unit_norm(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<float>")
     assert [r[0] for r in df.select(models.l2_normalize("v")).collect()] == [[0.6, 0.8], [0.0, 0.0]]
     assert df.select(iso(F.timestamp_seconds(F.lit(0)))).first()[0].startswith("1970")
+
+
+def test_lexicon_shuffles_no_row_per_token(spark):
+    docs = spark.createDataFrame([(1, "of the hill of"), (None, "of a"), (2, None), (3, "x")], "id long, t string")
+    tagged = entities.lexicon_tag(docs, "id", "t", entities.lexicon_frame(spark, {"of": "M", "of the": "L"}))
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(id" in line]
+    assert dealt and not any("pos" in line for line in dealt)
+    rows = sorted((r.id or 0, r.pos, r.token, r.tag) for r in tagged.collect())
+    # a document without an id meets no phrase, as a null key joins nothing
+    assert rows == [(0, 0, "of", "O"), (0, 1, "a", "O"), (1, 0, "of", "L"), (1, 1, "the", "L"), (1, 2, "hill", "O"), (1, 3, "of", "M"), (3, 0, "x", "O")]

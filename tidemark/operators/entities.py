@@ -97,31 +97,38 @@ def lexicon_tag(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame) -
     without any. Phrases are lower-case tokens joined by single blanks, of any length, each with one tag.
 
     Each token is joined to the lexicon by the first word of a phrase, and the tokens ahead, as many as the
-    longest phrase has, decide if the rest fits; Spark broadcasts a lexicon that is below its size limit. The phrases found are few; they are
-    laid over the tokens by (id, pos), a key that spreads even one endless document over all tasks.
+    longest phrase has, decide if the rest fits; Spark broadcasts a lexicon that is below its size limit. What was found goes back to the
+    document as one sorted list, of at most as many places as it has tokens times the phrases that cover one, so no row per token is shuffled.
     """
     longest = lexicon.select(F.coalesce(F.max(F.size(F.split("phrase", " "))), F.lit(1))).scalar()
     doc = df.select(id_col, tokens(text_col).alias("_tokens"), longest.alias("_longest"))
     phrases = lexicon.select("tag", F.split("phrase", " ").alias("_words")).select(
-        "tag", "_words", F.get("_words", F.lit(0)).alias("_first"), F.size("_words").alias("_size")
+        "tag", F.get("_words", F.lit(0)).alias("_first"), F.size("_words").alias("_size"), F.expr("slice(_words, 2, size(_words))").alias("_rest")
     )
     starts = F.transform(
         "_tokens",
-        lambda token, at: F.struct(token.alias("_first"), at.alias("_at"), F.slice("_tokens", at + 1, F.col("_longest")).alias("_ahead")),
+        lambda token, at: F.struct(token.alias("_first"), at.alias("_at"), F.slice("_tokens", at + 2, F.col("_longest") - 1).alias("_ahead")),
     )
     hits = (
         doc.select(id_col, F.inline_outer(starts))
         .join(phrases, "_first")
-        .where(F.slice("_ahead", F.lit(1), F.col("_size")) == F.col("_words"))
+        .where(F.slice("_ahead", F.lit(1), F.col("_size") - 1) == F.col("_rest"))
         .select(id_col, "_at", "_size", "tag", F.explode(F.sequence(F.col("_at"), F.col("_at") + F.col("_size") - 1)).alias("pos"))
-        .groupBy(id_col, "pos")
-        .agg(F.min_by("tag", F.struct(-F.col("_size"), "_at")).alias("tag"))
-    )
-    # outer forms: the plain ones make Spark split every text once more, to see if it is empty
-    words = doc.select(id_col, F.posexplode_outer("_tokens").alias("pos", "token")).where(F.col("token").isNotNull())
-    return words.join(hits, [id_col, "pos"], "left").select(
-        id_col, "pos", "token", F.coalesce("tag", F.lit("O")).alias("tag")
+        .groupBy(id_col)
+        .agg(F.sort_array(F.collect_list(F.struct("pos", (-F.col("_size")).alias("_less"), "_at", "tag"))).alias("_found"))
+        .withColumn("_found", F.filter("_found", lambda f, i: ~F.get("_found", i - 1)["pos"].eqNullSafe(f["pos"])))
+        .select(id_col, F.flatten(F.transform("_found", _up_to)).alias("_tags"))
     )
+    # the outer form: the plain one makes Spark split every text once more, to see if it is empty
+    zipped = F.posexplode_outer(F.arrays_zip("_tokens", F.coalesce("_tags", F.array().cast("array<string>")).alias("_tags"))).alias("pos", "_zip")
+    words = doc.join(hits, id_col, "left").select(id_col, zipped).where(F.col("_zip._tokens").isNotNull())
+    return words.select(id_col, "pos", F.col("_zip._tokens").alias("token"), F.coalesce("_zip._tags", F.lit("O")).alias("tag"))
+
+
+def _up_to(found: Column, i: Column) -> Column:
+    """The tags from behind the place found before to this one, null for places between."""
+    before = F.coalesce(F.get("_found", i - 1)["pos"], F.lit(-1))
+    return F.concat(F.array_repeat(F.lit(None).cast("string"), found["pos"] - before - 1), F.array(found["tag"]))
 
 
 def entities_by_document(tagged: DataFrame, id_col: str, token_col: str = "token", tag_col: str = "tag") -> DataFrame:
