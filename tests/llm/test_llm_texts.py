@@ -123,6 +123,14 @@ def test_repeats(spark, monkeypatch, hot):
     assert substrings.remove_repeats(documents).select("doc.*").columns == documents.columns
 
 
+def test_repeats_give_memory_back(spark, monkeypatch):
+    """Every Python step of the search lets its memory go when its task ends."""
+    seen = []
+    monkeypatch.setattr(substrings, "tidied", lambda run: seen.append(run.__name__) or run)
+    substrings.remove_repeats(frame(spark, [(1, "a b"), (2, None)]))
+    assert sorted(seen) == ["anchors", "cut", "rewrite", "stream", "touched", "untouched"]
+
+
 def test_repeats_of_other_width(spark):
     rows = texts()
     got = substrings.remove_repeats(frame(spark, rows), width=9, carry=["doc_id"]).select("doc.doc_id", "n_words", "n_removed", "kept").collect()

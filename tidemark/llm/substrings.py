@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import bit_filter, in_filter, text_key
+from tidemark.llm.frames import bit_filter, in_filter, text_key, tidied
 from tidemark.scratch import materialize
 
 WIDTH = 13
@@ -92,7 +92,7 @@ def repeated_segments(rows: DataFrame, first: DataFrame, width: int) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(W.signed(hashes)), pa.array(ids)], names=["anchor", "doc_id"])
 
     counted = (
-        rows.mapInArrow(anchors, "anchor long, doc_id long")
+        rows.mapInArrow(tidied(anchors), "anchor long, doc_id long")
         .groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
         .where("low < high").select("anchor", "n")
     )
@@ -122,7 +122,7 @@ def repeated_segments(rows: DataFrame, first: DataFrame, width: int) -> DataFram
                     names=["doc_id", "row_id", "begin", "windows", "shard", "words"],
                 )
 
-    return rows.mapInArrow(cut, "doc_id long, row_id binary, begin int, windows int, shard long, words binary")
+    return rows.mapInArrow(tidied(cut), "doc_id long, row_id binary, begin int, windows int, shard long, words binary")
 
 
 def locate(segments: DataFrame, width: int) -> DataFrame:
@@ -144,7 +144,7 @@ def locate(segments: DataFrame, width: int) -> DataFrame:
             yield _search(held, width)
 
     dealt = segments.repartition("shard").sortWithinPartitions("shard")
-    return dealt.select("shard", "segment", "low", "high", "words").mapInArrow(stream, "shard long, segment long, owners array<long>")
+    return dealt.select("shard", "segment", "low", "high", "words").mapInArrow(tidied(stream), "shard long, segment long, owners array<long>")
 
 
 def _search(rows: list[tuple], width: int) -> pa.RecordBatch:
@@ -255,10 +255,10 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         return choose(batches, True)
 
     result = f"{doc}, n_words long, n_removed long, kept string"
-    maybe = rows.mapInArrow(touched, f"{doc}, doc_id long, row_id binary, text string, row_hash long").drop("row_hash")
+    maybe = rows.mapInArrow(tidied(touched), f"{doc}, doc_id long, row_id binary, text string, row_hash long").drop("row_hash")
     first = spans.select("row_id", F.col("doc_id").alias("first_id"), "begins")
     joined = maybe.join(first, "row_id", "left").select(
         "doc", "text", F.coalesce(F.col("doc_id") != F.col("first_id"), F.lit(False)).alias("whole"),
         F.when(F.col("doc_id") == F.col("first_id"), F.col("begins")).alias("begins"),
     )
-    return rows.mapInArrow(untouched, result).unionByName(joined.mapInArrow(rewrite, result))
+    return rows.mapInArrow(tidied(untouched), result).unionByName(joined.mapInArrow(tidied(rewrite), result))
