@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import tokens
 from tidemark.operators import joins, token_index
+from tidemark.plans import bindings as b
 from tidemark.scratch import fresh_path
 from tidemark.sources import sink
 
@@ -98,3 +99,31 @@ def test_join_near_is_all_near_pairs(spark, km):
     assert got == sorted((i, j) for i, x in enumerate(points) for j, y in enumerate(centres) if km_between(x, y) <= km)
     plan = near._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_token_index_splits_large_buckets(spark):
+    """A bucket larger than a task should hold is written by several, and a match reads all its files."""
+    setting, name = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "token_index_split"
+    docs = spark.range(0, 20_000, 1, 8).selectExpr("id", "concat('the ', md5(string(id))) AS text")
+    was = spark.conf.get(setting)
+    spark.conf.set(setting, "64k")
+    try:
+        token_index.index_tokens(docs, name, fresh_path(spark, "index"), buckets=2)
+    finally:
+        spark.conf.set(setting, was)
+    assert len(spark.table(name).inputFiles()) > 2
+    assert token_index.match_ids(spark, name, ["the"]).count() == 20_000
+    token_index.drop_index(spark, name)
+
+
+def test_texts_are_dealt_by_size(spark, sf_dir):
+    """A task's share of the documents does not grow with the table."""
+    setting = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(setting)
+    spark.conf.set(setting, "4k")
+    try:
+        scans = b.documents(spark, sf_dir)._jdf.queryExecution().toRdd().getNumPartitions()
+        dealt = b.texts(spark, sf_dir)._jdf.queryExecution().optimizedPlan().numPartitions()
+    finally:
+        spark.conf.set(setting, was)
+    assert dealt == 4 * scans > spark.sparkContext.defaultParallelism

@@ -15,9 +15,9 @@ BUCKETS = 64
 
 
 def _append(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
-    # hashed before the write, so that a load adds one file to a bucket
+    # dealt by bucket before the write; a bucket too large for one task is split over several, each with a sorted file of its own
     (
-        df.repartition(buckets, key).write.mode("append").format("parquet").option("path", path)
+        df.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets))).hint("rebalance", F.col("_bucket")).drop("_bucket").write.mode("append").format("parquet").option("path", path)
         .bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     )
 
