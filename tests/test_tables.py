@@ -98,3 +98,15 @@ def test_catalogue(spark, ratings):
     catalog.define_view(ratings, "cat_best", F.col("rating") == 5, ["user_id"])
     assert spark.table("cat_best").columns == ["user_id"]
     assert catalog.first_rows(spark, "cat_best", 2).count() == 2
+
+
+def test_exact_profile(spark):
+    """Distinct counts and quantiles as Spark's own aggregates give them, from values that no single task holds."""
+    from tidemark.operators import facets
+
+    df = spark.range(0, 5_001, 1, 5).selectExpr("id % 977 AS a", "IF(id % 3 = 0, NULL, id * id % 211) AS b", "7 AS c", "CAST(NULL AS INT) AS d")
+    got = {r["column"]: r for r in facets.exact_profile(df, ["a", "b", "c", "d"], [0.0, 0.45, 0.55, 1.0]).collect()}
+    want = df.selectExpr(*(f"count(DISTINCT {c}) AS n_{c}" for c in "abc"), *(f"percentile({c}, array(0.0, 0.45, 0.55, 1.0)) AS q_{c}" for c in "abc")).first()
+    assert set(got) == {"a", "b", "c"}
+    for c in "abc":
+        assert got[c]["distinct"] == want[f"n_{c}"] and got[c]["quantiles"] == pytest.approx(want[f"q_{c}"], rel=1e-12)
