@@ -23,18 +23,23 @@ TAG_MAP = _tag_map()
 # Output column per tag.
 TAG_COLUMNS = {"O": "O", "I-LOC": "LOC", "I-PER": "PER", "I-MISC": "MISC", "I-ORG": "ORG"}
 
-# one piece, from the start or an @ to the next @ or the end; the word reaches to the last #result->
-_PIECE = "(?:^|@)word->([^@\\n]*)#result->([^@\\n]*)(?=@|\\z)"
+# what a piece begins with, and what stands between its word and its tag
+_WORD, _RESULT = "word->", "#result->"
 
 
 def parse_tags(col: ColumnLike) -> Column:
-    """`word->X#result->T` pieces joined by @ to a list of (word, tag); other pieces are skipped.
+    """`word->X#result->T` pieces joined by @ to a list of (word, tag); other pieces, and those with a line end, are skipped.
 
-    Two passes of one expression over the whole text, no function call per piece.
+    The word reaches to the last #result->. The text is cut at each @ and the pieces by plain search, without a regular expression.
     """
-    text = as_col(col)
-    words, tags = (F.regexp_extract_all(text, F.lit(_PIECE), F.lit(group)) for group in (1, 2))
-    return F.arrays_zip(words, tags).cast("array<struct<word:string,tag:string>>")
+
+    def pair(piece: Column) -> Column:
+        tag = F.substring_index(piece, _RESULT, -1)
+        size = F.length(piece) - F.length(tag) - len(_WORD + _RESULT)
+        return F.struct(F.substr(piece, F.lit(len(_WORD) + 1), size).alias("word"), tag.alias("tag"))
+
+    pieces = F.filter(F.split(as_col(col), "@"), lambda p: p.startswith(_WORD) & p.contains(_RESULT) & ~p.contains("\n"))
+    return F.transform(pieces, pair)
 
 
 def words_with_tag(pairs: ColumnLike, tag: str) -> Column:

@@ -283,7 +283,7 @@ def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as tag strings, with two broken pieces at the end."""
     pieces = F.transform(tokens("text"), lambda w: F.concat(F.lit("word->"), w, F.lit("#result->"), _tag_of(w)))
     text = F.concat(F.array_join(pieces, "@"), F.lit("@word->lost@#result->O"))
-    return b.documents(spark, sf_dir).select("doc_id", text.alias("finished_ner"))
+    return b.texts(spark, sf_dir).select("doc_id", text.alias("finished_ner"))
 
 
 _TAG_SQL = "(['I-PER', 'I-LOC', 'I-ORG', 'I-MISC', 'O'])[(len(x) + {0}) % 5 + 1]"
