@@ -1,12 +1,14 @@
 import random
 
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tidemark.operators import models
+from tidemark.plans import learning
 from tidemark.scratch import fresh_path
 
 
@@ -69,6 +71,28 @@ def test_grid_varies_the_analyzer(spark, texts):
     assert len(tuned.avgMetrics) == 2 and max(tuned.avgMetrics) > 0.8
 
 
+def test_tuning_is_that_of_spark(spark, texts):
+    """Stored features and shared folds give the metrics and the winner of Spark's own cross-validation."""
+    indexed = models.label_index(texts, "tag").transform(texts)
+    pipeline = models.text_classifier("naive_bayes", ["body"], num_features=20)
+    analyzer, hashing, bayes = pipeline.getStages()
+    grid = ParamGridBuilder().addGrid(hashing.numFeatures, [10, 20]).addGrid(bayes.smoothing, [1.0, 9.0]).build()
+    plain = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(metricName="accuracy"), numFolds=3, seed=7).fit(indexed)
+    tuned = models.tune(pipeline, grid, indexed, folds=3)
+    assert tuned.avgMetrics == pytest.approx(plain.avgMetrics) and tuned.stdMetrics == pytest.approx(plain.stdMetrics) and tuned.getNumFolds() == 3
+    assert tuned.bestModel.stages[1].getNumFeatures() == plain.bestModel.stages[1].getNumFeatures()
+
+
+def test_settings_are_compared_on_all_rows(spark, tmp_path, monkeypatch):
+    rows = spark.range(4_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    seen = []
+    monkeypatch.setattr(learning.models, "tune", lambda pipeline, grid, train, **more: seen.append(train.count()) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        learning._tuned(spark, str(tmp_path))
+    assert seen == [learning._labelled(spark, str(tmp_path))[0].count()] and seen[0] > 2_000
+
+
 def test_weighted_fields(spark):
     df = spark.createDataFrame([("apple pie", "pie"), ("apple", None)], "body string, subject string")
     from pyspark.ml import Pipeline

@@ -80,27 +80,21 @@ def _with_column(predicted: tuple[DataFrame, list[str]]) -> tuple[DataFrame, str
     return predicted[0], "predicted_label", predicted[1]
 
 
-#: Labelled documents that the settings are compared on, those with the least hashes of their ids; the fit that stays takes all.
-TUNE_ROWS = 2_000
-
-
 def _tuned(spark: SparkSession, sf_dir: str):
-    """24 settings (analyzer, prefix, size, smoothing) by 4 folds over at most TUNE_ROWS rows; the winner is fitted on all rows.
+    """24 settings (analyzer, prefix, size, smoothing) by 4 folds over all rows to train on, on which the winner is fitted too.
 
     Returns the settings, the winner, its metric, the number of folds, the predictions and the labels."""
     train, test, labels = _labelled(spark, sf_dir)
-    train = materialize(train.select("doc_id", "text", "lang", "label"), "tune-train")
-    sample = materialize(train.orderBy(hash_bucket("doc_id", 1 << 32, "tune"), "doc_id").limit(TUNE_ROWS), "tune")
     pipeline = models.text_classifier("naive_bayes", ["text"], labels, num_features=5_000)
     analyzer, hashing, bayes = pipeline.getStages()[:3]
     grid = (
         ParamGridBuilder().addGrid(analyzer.kind, ["whitespace", "standard"]).addGrid(analyzer.prefix, [False, True])
         .addGrid(hashing.numFeatures, [1_000, 5_000]).addGrid(bayes.smoothing, [1.0, 0.5, 0.25]).build()
     )
-    tuned = models.tune(pipeline, grid, sample, folds=4, parallelism=8)
+    tuned = models.tune(pipeline, grid, train.select("doc_id", "text", "lang", "label"), folds=4, parallelism=8)
     at = max(range(len(grid)), key=lambda i: tuned.avgMetrics[i])
     best = {p.name: v for p, v in grid[at].items()}
-    return grid, best, tuned.avgMetrics[at], tuned.getNumFolds(), pipeline.fit(train, grid[at]).transform(test), labels
+    return grid, best, tuned.avgMetrics[at], tuned.getNumFolds(), tuned.bestModel.transform(test), labels
 
 
 @query("m04_cross_validate")
