@@ -253,3 +253,28 @@ def test_greatest_products_equal_brute_force(spark, monkeypatch):
         for i in range(len(u)):
             assert [found[i][k + 1][0] for k in range(len(found[i]))] == want[i].tolist()
             assert all(abs(s - u[i] @ items[j]) < 1e-5 for j, s in found[i].values())
+
+
+def test_items_go_past_users_in_rounds(spark, monkeypatch):
+    """Blocks of items that do not fit one broadcast take several, with the same results; nothing of them is shuffled."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    u, v = rng.normal(size=(50, 4)).astype("float32"), (rng.normal(size=(400, 4)) * rng.random((400, 1))).astype("float32")
+    frame = lambda m: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], "id int, features array<float>")
+    monkeypatch.setattr(recommend, "ITEM_BYTES", 100)
+    out = recommend._best_products(frame(u), frame(v), 3)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.user, r["rank"]): r.item for r in out.collect()}
+    want = np.argsort(-(u @ v.T), axis=1)[:, :3]
+    assert got == {(i, k + 1): want[i, k] for i in range(50) for k in range(3)}
+    assert recommend._best_products(frame(u), frame(v).limit(0), 3).count() == 0
+
+
+def test_factor_blocks_grow_with_the_ratings(spark, monkeypatch):
+    made, als = [], recommend.ALS
+    monkeypatch.setattr(recommend, "ALS", lambda **params: made.append(params) or als(**params))
+    monkeypatch.setattr(recommend, "RATINGS", 20)
+    inter = spark.createDataFrame([(u, i, 1) for u in range(30) for i in range(u % 3, 24, 3)], "user_id int, item int, weight int")
+    assert recommend.recommend_for_users(inter, 2, rank=2, iterations=1).count() == 60
+    assert made[0]["numUserBlocks"] == made[0]["numItemBlocks"] == 12
