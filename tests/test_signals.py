@@ -278,3 +278,34 @@ def test_factor_blocks_grow_with_the_ratings(spark, monkeypatch):
     inter = spark.createDataFrame([(u, i, 1) for u in range(30) for i in range(u % 3, 24, 3)], "user_id int, item int, weight int")
     assert recommend.recommend_for_users(inter, 2, rank=2, iterations=1).count() == 60
     assert made[0]["numUserBlocks"] == made[0]["numItemBlocks"] == 12
+
+
+@pytest.mark.parametrize("step", [1, 7, 1000])
+def test_pairs_are_judged_in_arrays_wherever_batches_end(step):
+    """An item's rows may be cut by a batch; names are text here, and ties go to the smaller."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    has = {f"i{i:02d}": rng.sample(range(25), 6) for i in range(40)}
+    users = {u: [i for i in has if u in has[i]] for u in range(25)}
+    rows = [{"item": i, "slice": 0, "size": 6, "other": users[u], "mark": [6] * len(users[u])} for i in has for u in has[i]]
+    batches = [pa.RecordBatch.from_pylist(rows[k : k + step]) for k in range(0, len(rows), step)]
+    every = lambda p: (p["shared"], p["mark"], np.ones(len(p["mark"]), bool), np.ones(len(p["mark"]), bool))
+    got = {r["item"]: [*zip(r["other"], r["common"])] for b in recommend._paired(["size"], every, 3)(iter(batches)) for r in b.to_pylist()}
+    for i in has:
+        common = [(j, len({*has[i]} & {*has[j]})) for j in has if j != i]
+        assert got[i] == sorted((x for x in common if x[1]), key=lambda x: (-x[1], x[0]))[:3]
+
+
+def test_a_floor_is_reached_by_the_best():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        group, n = np.sort(rng.integers(0, 5, rng.integers(0, 60))), int(rng.integers(1, 7))
+        score = rng.integers(0, 9, len(group)).astype(float)
+        floor = recommend._floor(group, score, n)
+        for k in set(group):
+            best = np.sort(score[group == k])[::-1]
+            assert (floor[group == k] <= (best[n - 1] if len(best) >= n else -np.inf)).all()
